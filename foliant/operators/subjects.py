@@ -55,8 +55,12 @@ def raw_prefilter(
 
     One of each group of ``keys`` must occur as it is, one of ``terms`` in any case.
     """
-    text = F.col(column)
-    for group in keys:
-        df = df.where(contains_any(text, group))
-    # The lambda lets the text be lower-cased once for all terms.
-    return df.where(F.exists(F.array(F.lower(text)), lambda low: contains_any(low, terms)))
+    def may_qualify(text: Column) -> Column:
+        found = F.lit(True)
+        for group in keys:
+            found = found & contains_any(text, group)
+        return found & F.exists(F.array(F.lower(text)), lambda low: contains_any(low, terms))
+
+    # The lambdas bind the text and its lower-cased form, so that each is computed
+    # once instead of once per term.
+    return df.where(F.exists(F.array(F.col(column)), may_qualify))

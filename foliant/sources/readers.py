@@ -18,20 +18,23 @@ from foliant.schemas import DISPOSITIONS, SCRAPED_FIELDS, ddl
 INDENTED_SEPARATOR = "\n  },\n"
 
 
-def _with_pos(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        "value",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("pos"),
+def _positioned(lines: DataFrame, value: Column, name: str = "v") -> DataFrame:
+    """``value`` next to its position.
+
+    Both stand in one projection: the row counter keeps later filters from being
+    pushed below it, which would parse every record again for each filter.
+    """
+    pos = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    return lines.select(value.alias(name), pos.alias("pos")).where(F.col(name).isNotNull())
 
 
-def _objects(parsed: DataFrame) -> DataFrame:
-    """Keep rows that hold a JSON object."""
-    return parsed.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
+def _object(text: Column, lenient: bool = False) -> Column:
+    """Parsed text if it is a JSON object, else NULL."""
+    return F.when(F.startswith(strip(text), F.lit("{")), json_parse(text, lenient))
 
 
 def read_edition_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -40,14 +43,20 @@ def read_edition_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def edition_json(lines: DataFrame, column: str = "value") -> DataFrame:
-    fields = F.split(F.col(column), "\t", 5)
-    return lines.where(F.size(fields) >= 5).select(F.get(fields, F.lit(4)).alias("json"))
+    """``json`` of lines with at least five fields.
+
+    Same as the fifth element of a split with limit 5, but only the four short
+    leading fields are looked at and the long one is never decoded.
+    """
+    line = F.col(column)
+    head = F.substring_index(line, "\t", 4)
+    rest = F.substring(line, F.length(head) + 2, F.lit(2**31 - 1))
+    return lines.where(F.octet_length(head) < F.octet_length(line)).select(rest.alias("json"))
 
 
 def read_books_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines; blank and malformed lines are skipped."""
-    lines = _with_pos(spark.read.text(path))
-    return _objects(lines.select(json_parse("value").alias("v"), "pos"))
+    return _positioned(spark.read.text(path), _object(F.col("value")))
 
 
 def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows") -> DataFrame:
@@ -59,14 +68,13 @@ def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows")
     ``multiLine`` does, so keep such files small or rewrite them as JSON Lines.
     """
     if layout == "rows":
-        lines = _with_pos(spark.read.text(path))
         record = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]?\s*$", "")
-        return _objects(lines.select(json_parse(record, lenient=True).alias("v"), "pos"))
+        return _positioned(spark.read.text(path), _object(record, lenient=True))
     if layout == "indented":
-        chunks = _with_pos(spark.read.option("lineSep", INDENTED_SEPARATOR).text(path))
+        chunks = spark.read.option("lineSep", INDENTED_SEPARATOR).text(path)
         body = F.regexp_replace("value", r"^\s*\[\s*|\s*\}\s*\]\s*$", "")
         record = F.concat(body, F.lit("\n}"))
-        return _objects(chunks.select(json_parse(record, lenient=True).alias("v"), "pos"))
+        return _positioned(chunks, _object(record, lenient=True))
     if layout == "whole":
         files = (
             spark.read.option("singleVariantColumn", "v")
@@ -76,14 +84,9 @@ def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows")
         )
         items = F.posexplode(F.try_variant_get("v", "$", "array<variant>")).alias("row", "v")
         rows = files.select(F.col("_metadata.file_path").alias("file"), items)
-        return _objects(
-            rows.select(
-                "v",
-                F.struct(
-                    "file", F.lit(0).cast("bigint").alias("block"), F.col("row").cast("bigint").alias("row")
-                ).alias("pos"),
-            )
-        )
+        objects = rows.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
+        block, row = F.lit(0).cast("bigint"), F.col("row").cast("bigint")
+        return objects.select("v", F.struct("file", block.alias("block"), row.alias("row")).alias("pos"))
     raise ValueError(f"unknown array layout: {layout}")
 
 
@@ -131,16 +134,8 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     first = spark.read.text(path).where(F.length(strip("value")) > 0).limit(1).collect()
     one_per_line = bool(first) and first[0].value.strip().endswith("}")
     objects = spark.read.schema(lists).option("multiLine", not one_per_line).json(path)
-    objects = objects.withColumn(
-        "pos",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
     entries = F.concat(*[_entries(d) for d in DISPOSITIONS])
-    rows = objects.select("pos", F.inline(entries))
+    rows = _positioned(objects, entries, "entries").select("pos", F.inline("entries"))
     return rows.select("isbn", "disposition", F.struct("pos.*", "at").alias("pos"))
 
 
