@@ -314,9 +314,9 @@ def crawled_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unescape_sql(expr: str) -> str:
-    """The entities the raw pages hold."""
-    for entity, code in [("&copy;", 169), ("&middot;", 183), ("&quot;", 34), ("&lt;", 60), ("&gt;", 62), ("&amp;", 38)]:
-        expr = f"replace({expr}, '{entity}', chr({code}))"
+    """The entities the raw pages hold; all of them also count without the semicolon."""
+    for entity, code in [("copy", 169), ("middot", 183), ("quot", 34), ("lt", 60), ("gt", 62), ("amp", 38)]:
+        expr = f"regexp_replace({expr}, '&{entity};?', chr({code}), 'g')"
     return expr
 
 

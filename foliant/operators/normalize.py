@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliant.functions.isbn import is_english_isbn
-from foliant.functions.jsons import has_key, json_path
+from foliant.functions.jsons import json_path
 from foliant.functions.text import (
     blank_to_null, falsy_coalesce, nan_to_null, strip, try_float, try_int,
 )
-from foliant.schemas import RECORD_FIELDS, RECORD_INTEGERS, RECORD_NESTED, RECORD_TEXT
+from foliant.schemas import (
+    RECORD_FIELDS, RECORD_INTEGERS, RECORD_NESTED, RECORD_TEXT, REST_FIELDS, SHARED_FIELDS,
+)
 
 
 def surrogate_id(title: Column | str) -> Column:
@@ -21,80 +23,63 @@ def genre_shelves(genres: Column | str) -> Column:
     return F.transform(genres, lambda g: F.struct(F.lit("1").alias("count"), g.alias("name")))
 
 
-def _text(name: str) -> Column:
-    text = json_path("v", f"$.{name}", "string")
-    if name not in RECORD_INTEGERS:
-        return text
-    # The number 4.7 counts as 4, while the text "4.7" stays as it is.
-    whole = json_path("v", f"$.{name}", "bigint").cast("string")
+def whole_text(v: Column | str) -> Column:
+    """Text of a whole-number field: the number 4.7 counts as 4, the text "4.7" stays."""
+    text = json_path(v, "$", "string")
+    whole = json_path(v, "$", "bigint").cast("string")
     return F.when(text.rlike(r"[.eE]"), F.coalesce(whole, text)).otherwise(text)
 
 
-def normalize_books(raw: DataFrame) -> DataFrame:
-    """``(v, pos)`` -> the normalised record columns, ``pos`` kept.
+def scraped_values(prefix: str = "") -> dict[str, Column]:
+    """Normalised fields of a scraped book whose fields are found behind ``prefix``.
 
-    A record with a ``Title`` key is of the scraped schema and is mapped field by
-    field; any other record is taken over as it is.
+    Fields the scraped schema has no source for are empty.
     """
-    title = json_path("v", "$.Title", "string")
-    genres = F.coalesce(json_path("v", "$.Genre", "array<string>"), F.array().cast("array<string>"))
-    scraped = {
-        "book_id": F.coalesce(
-            blank_to_null(json_path("v", "$.book_id", "string")),
-            surrogate_id(F.coalesce(title, F.lit(""))),
-        ),
-        "title": falsy_coalesce(title, default=""),
-        "title_without_series": falsy_coalesce(title, default=""),
-        "description": falsy_coalesce(json_path("v", "$.Desc", "string"), default=""),
-        "isbn": falsy_coalesce(json_path("v", "$.ISBN", "string"), default=""),
-        "average_rating": F.coalesce(
-            F.nullif(json_path("v", "$.Point", "double"), F.lit(0.0)).cast("string"), F.lit("0.0")
-        ),
-        "ratings_count": F.coalesce(json_path("v", "$.RatingsCount", "bigint").cast("string"), F.lit("0")),
-        "text_reviews_count": F.coalesce(json_path("v", "$.ReviewsCount", "bigint").cast("string"), F.lit("0")),
-        "language_code": falsy_coalesce(json_path("v", "$.Language", "string"), default=""),
-        "is_ebook": F.lit("false"),
-        "popular_shelves": genre_shelves(genres),
-        "num_pages": F.lit(None).cast("string"),
-        "edition_information": F.lit(None).cast("string"),
-    }
-    is_scraped = has_key("v", "Title")
-
-    def field(name: str) -> Column:
-        if name in RECORD_NESTED:
-            as_is = json_path("v", f"$.{name}", RECORD_NESTED[name])
-            mapped = scraped.get(name, F.array().cast(RECORD_NESTED[name]))
-        else:
-            as_is = _text(name)
-            mapped = scraped.get(name, F.lit(""))
-        return F.when(is_scraped, mapped).otherwise(as_is).alias(name)
-
-    keep = [c for c in raw.columns if c != "v"]
-    return raw.select(*[field(name) for name in RECORD_FIELDS], *keep)
-
-
-def normalize_scraped(books: DataFrame) -> DataFrame:
-    """Typed scraped books -> normalised record columns."""
-    title = F.coalesce("Title", F.lit(""))
+    at = lambda name: F.col(prefix + name)
+    title = F.coalesce(at("Title"), F.lit(""))
+    count = lambda name: F.coalesce(at(name), F.lit(0)).cast("string")
     values = {
         "book_id": surrogate_id(title),
         "title": title,
         "title_without_series": title,
-        "description": falsy_coalesce("Desc", default=""),
-        "isbn": falsy_coalesce("ISBN", default=""),
-        "average_rating": F.coalesce(F.nullif("Point", F.lit(0.0)).cast("string"), F.lit("0.0")),
-        "ratings_count": F.coalesce(F.col("RatingsCount"), F.lit(0)).cast("string"),
-        "text_reviews_count": F.coalesce(F.col("ReviewsCount"), F.lit(0)).cast("string"),
-        "language_code": falsy_coalesce("Language", default=""),
+        "description": falsy_coalesce(at("Desc"), default=""),
+        "isbn": falsy_coalesce(at("ISBN"), default=""),
+        "average_rating": F.coalesce(F.nullif(at("Point"), F.lit(0.0)).cast("string"), F.lit("0.0")),
+        "ratings_count": count("RatingsCount"),
+        "text_reviews_count": count("ReviewsCount"),
+        "language_code": falsy_coalesce(at("Language"), default=""),
         "is_ebook": F.lit("false"),
-        "popular_shelves": genre_shelves(F.coalesce("Genre", F.array().cast("array<string>"))),
+        "popular_shelves": genre_shelves(F.coalesce(at("Genre"), F.array().cast("array<string>"))),
         "num_pages": F.lit(None).cast("string"),
         "edition_information": F.lit(None).cast("string"),
     }
     blanks = {name: F.lit("") for name in RECORD_TEXT} | {
         name: F.array().cast(type_) for name, type_ in RECORD_NESTED.items()
     }
-    return books.select(*[(values.get(n, blanks[n])).alias(n) for n in RECORD_FIELDS])
+    return blanks | values
+
+
+def normalize_books(raw: DataFrame) -> DataFrame:
+    """``(plain, scraped, pos)`` -> the normalised record columns, ``pos`` kept.
+
+    Records of the scraped schema are mapped field by field, others taken as they are.
+    """
+    mapped = scraped_values("scraped.")
+    mapped["book_id"] = F.coalesce(blank_to_null("scraped.book_id"), mapped["book_id"])
+
+    def field(name: str) -> Column:
+        as_is = F.col(f"plain.{name}")
+        if name in RECORD_INTEGERS:
+            as_is = whole_text(as_is)
+        return F.when(F.col("scraped").isNull(), as_is).otherwise(mapped[name]).alias(name)
+
+    return raw.select(*[field(name) for name in RECORD_FIELDS], "pos")
+
+
+def normalize_scraped(books: DataFrame) -> DataFrame:
+    """Typed scraped books -> normalised record columns."""
+    values = scraped_values()
+    return books.select(*[values[name].alias(name) for name in RECORD_FIELDS])
 
 
 def rating_value(c: Column | str) -> Column:
@@ -135,12 +120,12 @@ def shelf_names(shelves: Column | str) -> Column:
 def to_catalog(records: DataFrame, with_record: bool = True) -> DataFrame:
     """Normalised records -> typed catalog rows; other columns (``pos``) are kept.
 
-    ``record`` carries the full record; a search that does not select it never
-    reads its Parquet columns.
+    ``record`` carries those parts of the full record that the typed columns do not;
+    a search that does not select it never reads its Parquet columns.
     """
     blank = lambda name: falsy_coalesce(name, default="").alias(name)
     extra = [c for c in records.columns if c not in RECORD_FIELDS]
-    record = [F.struct(*RECORD_FIELDS).alias("record")] if with_record else []
+    record = [F.struct(*REST_FIELDS).alias("record")] if with_record else []
     return records.select(
         "book_id",
         falsy_coalesce("title", "title_without_series", default="").alias("title"),
@@ -162,6 +147,17 @@ def to_catalog(records: DataFrame, with_record: bool = True) -> DataFrame:
     )
 
 
+def record_columns() -> list[Column]:
+    """The full normalised record of a catalog row, as columns.
+
+    Shared text fields come back as the catalog has them: '' where there was no value.
+    """
+    return [
+        F.col(name) if name in SHARED_FIELDS else F.col(f"record.{name}").alias(name)
+        for name in RECORD_FIELDS
+    ]
+
+
 def has_book_id(book_id: Column | str = "book_id") -> Column:
     return blank_to_null(book_id).isNotNull()
 

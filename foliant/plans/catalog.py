@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from foliant.operators.dedup import keep_last_by_id
 from foliant.operators.normalize import has_book_id, normalize_books, to_catalog
@@ -12,7 +12,7 @@ from foliant.sources.writers import write_catalog
 
 
 def build_catalog(raw: DataFrame, observation: Observation | None = None, with_record: bool = True) -> DataFrame:
-    """``(v, pos)`` records -> one typed row per ``book_id``, the last record winning.
+    """Raw records -> one typed row per ``book_id``, the last record winning.
 
     One shuffle, on ``book_id``, with earlier records of an id dropped before it.
     """
@@ -35,8 +35,3 @@ def build_catalog_files(
     raw = read_books(spark, source, format)
     write_catalog(build_catalog(raw, counters), target)
     return counters.get
-
-
-def catalog_columns(catalog: DataFrame) -> DataFrame:
-    """The typed columns without the full record."""
-    return catalog.drop("record") if "record" in catalog.columns else catalog.select(F.col("*"))

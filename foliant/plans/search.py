@@ -6,12 +6,11 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
-from foliant.operators.normalize import normalize_books
+from foliant.operators.normalize import normalize_books, record_columns
 from foliant.operators.predicates import SearchSpec, apply_scan_spec, apply_spec
 from foliant.operators.ranking import (
     limit_offset, result_position, scan_sort_keys, sort_keys, sort_results,
 )
-from foliant.schemas import RECORD_FIELDS
 
 # A page of up to this many rows may be broadcast or named in a filter.
 SMALL_PAGE = 10_000
@@ -41,33 +40,31 @@ def fetch_full_records(hits: DataFrame, records: DataFrame, limit: int) -> DataF
 
 def search_records(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """Page of full records in result order, lazily: top-k first, wide columns after."""
-    records = catalog.select("book_id", "record")
-    found = fetch_full_records(search(catalog, spec), records, spec.limit)
-    return found.select("record.*", "position")
+    found = fetch_full_records(search(catalog, spec), catalog, spec.limit)
+    return found.select(*record_columns(), "position")
 
 
 def search_page(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """``search_records`` in two jobs: the ids of a small page become a pushed filter.
 
     The second scan then skips every row group whose statistics or bloom filter
-    exclude the ids, instead of decoding the wide column of the whole table.
+    exclude the ids, instead of decoding the wide columns of the whole table.
     """
     if spec.limit > SMALL_PAGE:
         return search_records(catalog, spec)
-    hits = search(catalog, spec)
-    ids = [row.book_id for row in hits.select("book_id").collect()]
-    records = catalog.select("book_id", "record").where(F.col("book_id").isin(ids))
-    by_place = F.array_position(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), F.col("book_id"))
-    return records.select("record.*", by_place.alias("position")).orderBy("position")
+    ids = [row.book_id for row in search(catalog, spec).select("book_id").collect()]
+    found = catalog.where(F.col("book_id").isin(ids))
+    place = F.array_position(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), F.col("book_id"))
+    return found.select(*record_columns(), place.alias("position")).orderBy("position")
 
 
 def scan_search(raw: DataFrame, spec: SearchSpec, order: str = "pos") -> DataFrame:
-    """Search without a catalog, over raw ``(v, pos)`` or normalised records.
+    """Search without a catalog, over raw or normalised records.
 
     Without ``sort_by`` the first matches in source order are returned; otherwise
     matches are sorted before the offset is taken, as in the catalog search.
     """
-    records = normalize_books(raw) if "v" in raw.columns else raw
+    records = normalize_books(raw) if "plain" in raw.columns else raw
     found = apply_scan_spec(records, spec)
     keys = scan_sort_keys(spec.sort_by) if spec.sort_by else [F.asc(order)]
     hits = limit_offset(found.orderBy(*keys), spec.limit, spec.offset)
@@ -103,8 +100,3 @@ def similar(books: DataFrame, catalog: DataFrame, book_id: str | None = None) ->
         if c not in ("book_id", "record", "similar_books")
     ])
     return edges.join(targets, "similar_id")
-
-
-def record_columns(catalog: DataFrame) -> DataFrame:
-    """Full records of a catalog as columns."""
-    return catalog.select(*[F.col(f"record.{name}").alias(name) for name in RECORD_FIELDS])

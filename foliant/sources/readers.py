@@ -1,40 +1,63 @@
 """Sources. Every reader is a lazy scan; only ``detect_books_format`` looks at data.
 
-Readers of record files return ``(v VARIANT, pos STRUCT<file, block, row>)``.
-Ordering by ``pos`` restores source order: files by name, splits by offset, and
-within one split the row counter only grows.
+Readers of record files return ``(plain, scraped, pos)``, see ``_raw``.
+``pos`` is ``STRUCT<file, block, row>`` and orders records as in the source: files
+by name, splits by offset, and within one split the row counter only grows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from foliant.functions.jsons import json_parse
+from foliant.functions.jsons import has_key, json_parse, json_path
 from foliant.functions.text import strip
-from foliant.schemas import DISPOSITIONS, SCRAPED_FIELDS, ddl
+from foliant.schemas import DISPOSITIONS, RAW_PLAIN, RAW_SCRAPED, SCRAPED_FIELDS, ddl
 
 # Record separator of an array written with an indent of two blanks. A raw line
 # feed cannot occur inside a JSON string, so this text only occurs between records.
 INDENTED_SEPARATOR = "\n  },\n"
 
 
-def _positioned(lines: DataFrame, value: Column, name: str = "v") -> DataFrame:
-    """``value`` next to its position.
+def file_pos() -> list[Column]:
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return [path.alias("file"), start.alias("block")]
 
-    Both stand in one projection: the row counter keeps later filters from being
-    pushed below it, which would parse every record again for each filter.
+
+def source_pos() -> Column:
+    return F.struct("file", "block", F.monotonically_increasing_id().alias("row")).alias("pos")
+
+
+def _raw(rows: DataFrame, plain: Column, v: Column) -> DataFrame:
+    """The fields of both record schemas, ``(plain, scraped, pos)``.
+
+    ``scraped`` is NULL for records without a ``Title`` key. The row counter stands
+    in the same projection: it keeps later filters from being pushed below it, which
+    would parse every record once more for each of them.
     """
-    pos = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return lines.select(value.alias(name), pos.alias("pos")).where(F.col(name).isNotNull())
+    scraped = F.when(has_key(v, "Title"), json_path(v, "$", RAW_SCRAPED))
+    raw = rows.select(plain.alias("plain"), scraped.alias("scraped"), source_pos())
+    return raw.where(F.col("plain").isNotNull())
+
 
+def raw_from_text(lines: DataFrame, text: Column, lenient: bool = False) -> DataFrame:
+    """JSON texts -> raw records; texts that are no JSON object give none.
 
-def _object(text: Column, lenient: bool = False) -> Column:
-    """Parsed text if it is a JSON object, else NULL."""
-    return F.when(F.startswith(strip(text), F.lit("{")), json_parse(text, lenient))
+    Texts are read straight into the plain schema. Only those that do not fit it (a
+    list with an entry of another kind) or that name a ``Title`` are parsed as
+    VARIANT, which takes them field by field.
+    """
+    options = {"columnNameOfCorruptRecord": "_misfit"}
+    if lenient:
+        options["allowUnquotedControlChars"] = "true"
+    texts = lines.select(strip(text).alias("text"), *file_pos())
+    is_object = F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}"))
+    parsed = F.when(is_object, F.from_json("text", RAW_PLAIN, options))
+    rows = texts.select("text", parsed.alias("parsed"), "file", "block")
+    misfit = F.col("parsed._misfit").isNotNull()
+    has_title = F.col("parsed").isNotNull() & F.contains("text", F.lit('"Title"'))
+    v = F.when(misfit | has_title, json_parse("text", lenient))
+    plain = F.when(misfit, json_path(v, "$", RAW_PLAIN)).otherwise(F.col("parsed"))
+    return _raw(rows, plain, v)
 
 
 def read_edition_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +79,7 @@ def edition_json(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def read_books_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines; blank and malformed lines are skipped."""
-    return _positioned(spark.read.text(path), _object(F.col("value")))
+    return raw_from_text(spark.read.text(path), F.col("value"))
 
 
 def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows") -> DataFrame:
@@ -69,12 +92,12 @@ def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows")
     """
     if layout == "rows":
         record = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]?\s*$", "")
-        return _positioned(spark.read.text(path), _object(record, lenient=True))
+        return raw_from_text(spark.read.text(path), record, lenient=True)
     if layout == "indented":
         chunks = spark.read.option("lineSep", INDENTED_SEPARATOR).text(path)
         body = F.regexp_replace("value", r"^\s*\[\s*|\s*\}\s*\]\s*$", "")
         record = F.concat(body, F.lit("\n}"))
-        return _positioned(chunks, _object(record, lenient=True))
+        return raw_from_text(chunks, record, lenient=True)
     if layout == "whole":
         files = (
             spark.read.option("singleVariantColumn", "v")
@@ -82,11 +105,10 @@ def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows")
             .option("allowUnquotedControlChars", True)
             .json(path)
         )
-        items = F.posexplode(F.try_variant_get("v", "$", "array<variant>")).alias("row", "v")
-        rows = files.select(F.col("_metadata.file_path").alias("file"), items)
+        items = F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v")
+        rows = files.select(*file_pos(), items)
         objects = rows.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
-        block, row = F.lit(0).cast("bigint"), F.col("row").cast("bigint")
-        return objects.select("v", F.struct("file", block.alias("block"), row.alias("row")).alias("pos"))
+        return _raw(objects, json_path("v", "$", RAW_PLAIN), F.col("v"))
     raise ValueError(f"unknown array layout: {layout}")
 
 
@@ -135,7 +157,7 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     one_per_line = bool(first) and first[0].value.strip().endswith("}")
     objects = spark.read.schema(lists).option("multiLine", not one_per_line).json(path)
     entries = F.concat(*[_entries(d) for d in DISPOSITIONS])
-    rows = _positioned(objects, entries, "entries").select("pos", F.inline("entries"))
+    rows = objects.select(*file_pos(), entries.alias("entries")).select(source_pos(), F.inline("entries"))
     return rows.select("isbn", "disposition", F.struct("pos.*", "at").alias("pos"))
 
 
