@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foliant.functions.text import WHITESPACE
 from foliant.operators.dedup import first_n
-from foliant.operators.pages import element_html, markup_text
+from foliant.operators.pages import flat_element, markup_text
 from foliant.schemas import RECORD_FIELDS, RECORD_NESTED, REVIEW
 
 # The strip of both engines, as a DuckDB expression.
@@ -306,7 +306,7 @@ def crawled_pages(spark: SparkSession, d: str) -> DataFrame:
         F.when(n % 23 == 1, "403 Forbidden")
         .when(n % 23 == 2, "Access Denied")
         .when(n % 23 == 4, "Showing 1-0 of 0 books")
-        .otherwise(markup_text(element_html(F.col("html"), "title")))
+        .otherwise(markup_text(flat_element(F.col("html"), "title")))
         .alias("page_title"),
         html.alias("html"),
         n.alias("pos"),

@@ -52,15 +52,24 @@ def parse_count(c: Column | str) -> Column:
 
 
 def try_float(c: Column | str) -> Column:
-    """Text -> double, NULL if it is no number (NaN stays NaN)."""
-    text = F.regexp_replace(strip(c), r"(?<=\d)_(?=\d)", "")
-    return F.when(text.rlike(FLOAT_TEXT), text.try_cast("double"))
+    """Text -> double, NULL if it is no number (NaN stays NaN).
+
+    The cast decides, except where it takes more (``1d``, ``0x1p3``) or less
+    (``1_000``) than a decimal number: such texts are checked by pattern.
+    """
+    text = strip(c)
+    odd = contains_any(text, ["_", "x", "X"]) | F.right(text, F.lit(1)).isin("d", "D", "f", "F")
+    joined = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
+    return F.when(odd, F.when(joined.rlike(FLOAT_TEXT), joined.try_cast("double"))).otherwise(
+        text.try_cast("double")
+    )
 
 
 def try_int(c: Column | str) -> Column:
     """Text -> bigint, NULL if it is no whole number."""
     text = strip(c)
-    return F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
+    joined = F.when(text.rlike(INT_TEXT), F.replace(text, F.lit("_"), F.lit("")))
+    return F.when(F.contains(text, F.lit("_")), joined.try_cast("bigint")).otherwise(text.try_cast("bigint"))
 
 
 def nan_to_null(c: Column | str) -> Column:

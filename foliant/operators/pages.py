@@ -8,6 +8,8 @@ Python step is one Arrow batch that decodes rare entities.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliant.functions.jsons import first_key, json_parse, json_path, json_path_or
@@ -38,9 +40,8 @@ RECORD = [
 
 
 def without_scripts(html: Column) -> Column:
-    """Drop comments and the bodies of scripts and styles, so that no tag is found there."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    return F.regexp_replace(text, r"(?is)<(script|style|template)\b.*?</\1\s*>", "")
+    """Drop comments and whole scripts and styles, so that no tag is found there."""
+    return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>", "")
 
 
 def attribute(name: str, value: str) -> str:
@@ -51,34 +52,64 @@ def class_token(token: str) -> str:
     return rf'\bclass\s*=\s*["\'](?-i:(?:[^"\']*\s)?{token}(?:\s[^"\']*)?)["\']'
 
 
-def element_html(html: Column, tag: str, having: str = "") -> Column:
-    """Inner markup of the first ``tag`` element whose start tag matches ``having``.
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def from_element(html: Column, tag: str, having: str = "", word: str = "") -> Column:
+    """Markup from the first ``tag`` whose start tag matches ``having``, to the end; else NULL.
 
-    The text after the start tag is cut at end tags and pieces are taken until the
-    nested start tags are balanced; an element never closed runs to the end. NULL if
-    there is no such element.
+    ``word`` is a text every match holds: a plain search for it spares most pages
+    the pattern.
     """
-    start = rf"(?is)<{tag}\b[^>]*{having}[^>]*>" if having else rf"(?is)<{tag}\b[^>]*>"
-    rest = F.get(F.split(html, start, 2), F.lit(1))
-    pieces = F.split(rest, rf"(?i)</{tag}\s*>")
-    nested = F.transform(pieces, lambda p: F.regexp_count(p, F.lit(rf"(?i)<{tag}\b")))
-    taken = F.aggregate(
-        nested,
-        F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")),
-        lambda acc, opened: F.when(acc["depth"] == 0, acc).otherwise(
-            F.struct((acc["depth"] + opened - 1).alias("depth"), (acc["n"] + 1).alias("n"))
-        ),
-        lambda acc: acc["n"],
-    )
-    return F.array_join(F.slice(pieces, F.lit(1), taken), f"</{tag}>")
+    start = rf"<{tag}\b[^>]*{having}[^>]*>" if having else rf"<{tag}\b[^>]*>"
+    found = F.regexp_substr(html, F.lit(rf"(?is){start}.*"))
+    return F.when(F.contains(html, F.lit(word)), found) if word else found
+
+
+def close_element(markup: Column) -> Column:
+    """The element that ``markup`` starts with, nested ones of its kind included.
+
+    The markup is cut at end tags and pieces are taken until start and end tags are
+    balanced; an element never closed runs to the end.
+    """
+
+    def close(tag: Column) -> Column:
+        starts = F.concat(F.lit("(?i)<"), tag, F.lit(r"\b"))
+
+        def take(acc: Column, piece: Column) -> Column:
+            depth = acc["open"] + F.regexp_count(piece, starts) - 1
+            more = F.struct(depth.alias("open"), (acc["n"] + 1).alias("n"))
+            return F.when((acc["n"] > 0) & (acc["open"] == 0), acc).otherwise(more)
+
+        def cut(pieces: Column) -> Column:
+            none = F.struct(F.lit(0).alias("open"), F.lit(0).alias("n"))
+            n = F.aggregate(pieces, none, take, lambda acc: acc["n"])
+            end = F.concat(F.lit("</"), tag, F.lit(">"))
+            return F.call_function("array_join", F.slice(pieces, F.lit(1), n), end)
+
+        return bind(F.split(markup, F.concat(F.lit("(?i)</"), tag, F.lit(r"\s*>"))), cut)
+
+    return bind(F.regexp_extract(markup, r"^<(\w+)", 1), close)
+
+
+def element(html: Column, tag: str, having: str = "", word: str = "") -> Column:
+    """First ``tag`` element whose start tag matches ``having``, as markup; else NULL."""
+    return close_element(from_element(html, tag, having, word))
+
+
+def flat_element(html: Column, tag: str, having: str = "") -> Column:
+    """``element`` for kinds that cannot be nested: it ends at the next end tag."""
+    return F.regexp_substr(html, F.lit(rf"(?is)<{tag}\b[^>]*{having}[^>]*>.*?(?:</{tag}\s*>|\z)"))
 
 
 def meta_content(html: Column, having: str) -> Column:
     """``content`` of the first matching ``<meta>``: '' if it has none, NULL without such a tag."""
-    tag = F.regexp_extract(html, rf"(?is)<meta\b[^>]*{having}[^>]*>", 0)
+    tag = F.regexp_substr(html, F.lit(rf"(?is)<meta\b[^>]*{having}[^>]*>"))
     double = F.regexp_extract(tag, r'(?is)\bcontent\s*=\s*"([^"]*)"', 1)
     single = F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*'([^']*)'", 1)
-    return F.when(tag != "", F.coalesce(blank_to_null(double), single))
+    return F.coalesce(blank_to_null(double), single)
 
 
 def markup_text(fragment: Column) -> Column:
@@ -89,22 +120,18 @@ def markup_text(fragment: Column) -> Column:
 def title_markup(html: Column) -> Column:
     """Title by markup: tagged heading, social title, any heading, page title."""
     return F.coalesce(
-        markup_text(element_html(html, "h1", attribute("data-testid", "bookTitle"))),
+        markup_text(flat_element(html, "h1", attribute("data-testid", "bookTitle"))),
         meta_content(html, attribute("property", "og:title")),
-        markup_text(element_html(html, "h1")),
-        markup_text(element_html(html, "title")),
+        markup_text(flat_element(html, "h1")),
+        markup_text(flat_element(html, "title")),
     )
 
 
 def description_markup(html: Column) -> Column:
     """Text of the description block, of its formatted part where there is one."""
-    block = element_html(html, "div", attribute("data-testid", "description"))
-    formatted = class_token("Formatted")
-    tag = F.lower(F.regexp_extract(block, rf"(?is)<(div|span|p|section)\b[^>]*{formatted}[^>]*>", 1))
-    inner = F.lit(None).cast("string")
-    for name in ("div", "span", "p", "section"):
-        inner = F.when(tag == name, element_html(block, name, formatted)).otherwise(inner)
-    return markup_text(F.coalesce(inner, block))
+    block = element(html, "div", attribute("data-testid", "description"), "description")
+    part = lambda block: element(block, r"\w+", class_token("Formatted"), "Formatted")
+    return bind(block, lambda block: markup_text(F.coalesce(part(block), block)))
 
 
 def description_meta(html: Column) -> Column:
@@ -117,7 +144,8 @@ def description_meta(html: Column) -> Column:
 def link_markup(html: Column, href_contains: str = GENRE_HREF) -> Column:
     """Texts of all links whose target contains ``href_contains``, entities still encoded."""
     link = rf'(?is)<a\b[^>]*\bhref\s*=\s*["\'](?-i:[^"\']*\Q{href_contains}\E[^"\']*)["\'][^>]*>(.*?)</a\s*>'
-    return F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(1)), markup_text)
+    found = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(1)), markup_text)
+    return F.when(F.contains(html, F.lit(href_contains)), found).otherwise(F.array().cast("array<string>"))
 
 
 def distinct_texts(texts: Column) -> Column:
@@ -132,15 +160,16 @@ def link_texts(html: Column, href_contains: str = GENRE_HREF) -> Column:
 
 def rating_markup(html: Column) -> Column:
     """Rating by markup; a text that is no number lets the next element count."""
+    block = "RatingStatistics__rating"
     return F.coalesce(
-        try_float(markup_text(element_html(html, "div", class_token("RatingStatistics__rating")))),
-        try_float(markup_text(element_html(html, "span", attribute("itemprop", "ratingValue")))),
+        try_float(markup_text(element(html, "div", class_token(block), block))),
+        try_float(markup_text(element(html, "span", attribute("itemprop", "ratingValue"), "ratingValue"))),
     )
 
 
 def count_markup(html: Column, tag: str, testid: str) -> Column:
     """Digits of the first ``tag`` element with this test id; 0 if there is none."""
-    return parse_count(markup_text(element_html(html, tag, attribute("data-testid", testid))))
+    return parse_count(markup_text(element(html, tag, attribute("data-testid", testid), testid)))
 
 
 # --- embedded state --------------------------------------------------------------

@@ -18,6 +18,8 @@ SETTINGS = {
     # Keep the last of repeated JSON keys, as JSON readers commonly do.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Building a plan takes thousands of column calls; do not trace each to its line.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
