@@ -319,7 +319,7 @@ def extract_books(
     texts = F.slice("_plain", F.col("_n_links") + 5, F.size("_reviews"))
     reviews = F.zip_with("_reviews", texts, lambda r, t: r.withField("Text", t))
     no_texts = F.array().cast(EMPTY_TEXTS)
-    return known.select(
+    books = known.select(
         *keep,
         F.coalesce(blank_to_null("_title"), plain(0)).alias("Title"),
         F.coalesce("_desc", plain(1), plain(2), plain(3)).alias("Desc"),
@@ -334,3 +334,13 @@ def extract_books(
         F.col("_reading").alias("CurrentlyReadingCount"),
         F.col("_wanted").alias("WantToReadCount"),
     )
+    return pinned(books)
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator, which no later filter is pushed below.
+
+    A condition on an extracted field would otherwise be unfolded into the whole
+    chain of projections it comes from, and run that chain once more per use.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
