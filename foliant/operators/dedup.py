@@ -3,7 +3,8 @@
 A key may hold a large share of all rows, so no operator here gathers a key's rows
 in one task: ``row_number() <= n`` is cut to n rows per key before the shuffle (the
 plan shows a partial WindowGroupLimit), minima are partially aggregated, and rows
-are flagged through a join whose many-row side adaptive execution can split.
+are flagged through a join whose many-row side adaptive execution can split (see
+``pinned``).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foliant.functions.text import title_key
+from foliant.operators.pinning import pinned
 
 
 def keep_last_by_id(df: DataFrame, key: str | list[str] = "book_id", order: str | list[str] = "pos") -> DataFrame:
@@ -36,7 +38,7 @@ def flag_first(df: DataFrame, key: str, order: str, known: DataFrame | None = No
     firsts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_first"))
     if known is not None:
         firsts = firsts.join(known.select(key).distinct(), key, "left_anti")
-    keyed = df.where(F.col(key).isNotNull()).join(firsts, key, "left")
+    keyed = df.where(F.col(key).isNotNull()).join(pinned(firsts), key, "left")
     is_first = F.coalesce(F.col("_first") == F.col(order), F.lit(False))
     keyed = keyed.withColumn(flag, is_first).drop("_first").select(*df.columns, flag)
     unkeyed = df.where(F.col(key).isNull()).withColumn(flag, F.lit(None).cast("boolean"))
@@ -52,7 +54,7 @@ def known_titles(df: DataFrame, known: DataFrame, title: str = "Title", keep_kno
     """Rows whose title is (or, with ``keep_known=False``, is not) among ``known.title_key``."""
     keys = known.select("title_key").where(F.col("title_key").isNotNull()).distinct()
     keyed = df.withColumn("title_key", title_key(title))
-    return keyed.join(keys, "title_key", "left_semi" if keep_known else "left_anti")
+    return keyed.join(pinned(keys), "title_key", "left_semi" if keep_known else "left_anti")
 
 
 def distinct_first_isbn(isbns: DataFrame, order: str | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from foliant.functions.jsons import first_key, json_parse, json_path, json_path_
 from foliant.functions.text import (
     blank_to_null, drop_tags, epoch_ms_to_date, html_unescape_all, parse_count, strip, try_float,
 )
+from foliant.operators.pinning import pinned
 from foliant.schemas import REVIEW
 
 # Where a page keeps its state, and the names used inside it.
@@ -335,12 +336,3 @@ def extract_books(
         F.col("_wanted").alias("WantToReadCount"),
     )
     return pinned(books)
-
-
-def pinned(df: DataFrame) -> DataFrame:
-    """The same rows behind a generator, which no later filter is pushed below.
-
-    A condition on an extracted field would otherwise be unfolded into the whole
-    chain of projections it comes from, and run that chain once more per use.
-    """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))

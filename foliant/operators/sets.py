@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from foliant.functions.isbn import blocked_isbn, blocked_isbn_fallback, is_english_isbn
+from foliant.operators.pinning import pinned
 from foliant.schemas import DISPOSITIONS
 
 
@@ -30,7 +31,7 @@ def resume_queue(isbns: DataFrame, processed: DataFrame) -> DataFrame:
     The processed side is made distinct first, so only the list can hold hot keys,
     and that is the side an adaptive skew join may split.
     """
-    return isbns.join(processed.select("isbn").distinct(), "isbn", "left_anti")
+    return isbns.join(pinned(processed.select("isbn").distinct()), "isbn", "left_anti")
 
 
 def split_queue(queue: DataFrame) -> DataFrame:
@@ -52,13 +53,13 @@ def blocked_isbns(log: DataFrame, line: str = "value") -> DataFrame:
 def restore_blocked(failed: DataFrame, blocked: DataFrame) -> DataFrame:
     """Add ``restored`` to the failed entries: true where the page was only blocked."""
     hits = blocked.select("isbn").distinct().withColumn("_hit", F.lit(True))
-    rows = failed.join(hits, "isbn", "left")
+    rows = failed.join(pinned(hits), "isbn", "left")
     return rows.select(*failed.columns, F.coalesce("_hit", F.lit(False)).alias("restored"))
 
 
 def still_failed(failed: DataFrame, blocked: DataFrame) -> DataFrame:
     """Failed entries that were not merely blocked; order columns and repeats are kept."""
-    return failed.join(blocked.select("isbn").distinct(), "isbn", "left_anti")
+    return failed.join(pinned(blocked.select("isbn").distinct()), "isbn", "left_anti")
 
 
 def collect_dispositions(dispositions: DataFrame, chunk: Column | None = None) -> DataFrame:

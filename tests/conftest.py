@@ -12,7 +12,7 @@ from foliant.session import session  # noqa: E402
 def spark():
     spark = session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
-        spark__driver__memory="6g", spark__ui__showConsoleProgress="false",
+        spark__driver__memory="6g", spark__sql__maxMetadataStringLength="10000", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
