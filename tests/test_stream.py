@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from foliant.plans.crawl import triage_pages
 from foliant.streaming import crawl as s
-from tests_pages import PAGES_DDL, page_rows
+from page_rows import PAGES_DDL, page_rows
 
 
 def land(spark, folder, rows, name):
