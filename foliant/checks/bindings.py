@@ -201,7 +201,7 @@ def books(spark: SparkSession, d: str) -> DataFrame:
     chars = F.col("n_chars")
     return rows.select(
         isbn_of(doc).alias("ISBN"),
-        F.substring("text", 1, 40).alias("Title"),
+        F.col("text").alias("Title"),
         F.col("text").alias("Desc"),
         F.array("source").alias("Genre"),
         F.when(F.col("toxic") == 1, F.array(review))
@@ -219,7 +219,7 @@ def books(spark: SparkSession, d: str) -> DataFrame:
 
 BOOKS_SQL = f"""
 books AS (
-  SELECT {isbn_sql('d.doc_id')} AS isbn, substring(text, 1, 40) AS title, text, source, n_chars,
+  SELECT {isbn_sql('d.doc_id')} AS isbn, text AS title, text, source, n_chars,
          coalesce(toxic, 0) = 1 AS has_review, coalesce(quality * 4, 0) AS point,
          CASE WHEN d.doc_id % 6 = 0 THEN NULL WHEN lang = 'en' THEN 'English' WHEN lang = 'fr' THEN 'French'
               WHEN lang = 'de' THEN 'German' ELSE 'Spanish' END AS language,
@@ -231,27 +231,29 @@ flagged AS (
   FROM books)"""
 
 
-# --- resume: customer and orders ----------------------------------------------------
+# --- resume: customer, part and orders ------------------------------------------------
 
 
 def isbn_list(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(isbn_of("c_custkey").alias("isbn"))
+    """ISBNs of customers and of parts; most occur twice."""
+    customers = table(spark, d, "customer").select(isbn_of("c_custkey").alias("isbn"))
+    return customers.union(table(spark, d, "part").select(isbn_of("p_partkey").alias("isbn")))
 
 
 def order_sets(spark: SparkSession, d: str) -> DataFrame:
     """Processed ISBNs by outcome; the outcomes overlap."""
-    orders = table(spark, d, "orders").where(F.col("o_orderkey") % 20 == 0)
     outcome = (
         F.when(F.col("o_orderstatus") == "F", "saved")
         .when(F.col("o_orderstatus") == "O", "failed")
         .otherwise("duplicate")
     )
-    return orders.select(isbn_of("o_custkey").alias("isbn"), outcome.alias("disposition"))
+    return table(spark, d, "orders").select(isbn_of("o_custkey").alias("isbn"), outcome.alias("disposition"))
 
 
 RESUME_SQL = f"""
-listed AS (SELECT {isbn_sql('c_custkey')} AS isbn FROM customer),
-processed AS (SELECT DISTINCT {isbn_sql('o_custkey')} AS isbn FROM orders WHERE o_orderkey % 20 = 0),
+listed AS (SELECT {isbn_sql('c_custkey')} AS isbn FROM customer
+           UNION ALL SELECT {isbn_sql('p_partkey')} FROM part),
+processed AS (SELECT DISTINCT {isbn_sql('o_custkey')} AS isbn FROM orders),
 queue AS (
   SELECT isbn, isbn LIKE '9780%' OR isbn LIKE '9781%' AS is_english
   FROM listed WHERE isbn NOT IN (SELECT isbn FROM processed))"""
@@ -383,7 +385,7 @@ def state_pages(spark: SparkSession, d: str) -> DataFrame:
     )
     book = F.to_json(
         F.struct(
-            F.substring("text", 1, 40).alias("title"),
+            F.col("text").alias("title"),
             F.col("text").alias("description"),
             F.struct(F.struct(language.alias("name")).alias("language")).alias("details"),
             F.array(

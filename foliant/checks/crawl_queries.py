@@ -27,10 +27,6 @@ from foliant.sources import readers as r, writers as w
 CHUNK_SQL = "substring(md5(isbn), 1, 2)"
 
 
-def chunk():
-    return F.substring(F.md5("isbn"), 1, 2)
-
-
 # --- queue ---------------------------------------------------------------------------
 
 
@@ -62,27 +58,27 @@ def processed(spark, d):
 
 # --- titles --------------------------------------------------------------------------
 
-DOC_KEY = b.title_key_sql("substring(text, 1, 40)")
+DOC_KEY = b.title_key_sql("text")
 
 
 @query("dedup_first_title", f"""
     SELECT doc_id, CASE WHEN {DOC_KEY} IS NOT NULL THEN
            row_number() OVER (PARTITION BY {DOC_KEY} ORDER BY doc_id) = 1 END AS is_first FROM documents""")
 def dedup_first(spark, d):
-    docs = b.table(spark, d, "documents").select("doc_id", F.substring("text", 1, 40).alias("title"))
+    docs = b.table(spark, d, "documents").select("doc_id", F.col("text").alias("title"))
     return keep_first_by_title(docs, "title", "doc_id").select("doc_id", "is_first")
 
 
 KNOWN_SQL = f"""WITH known AS (
-      SELECT {b.title_key_sql("substring(text, 1, 40)")} AS k FROM benchmark
+      SELECT {b.title_key_sql("text")} AS k FROM benchmark
       UNION SELECT {DOC_KEY} FROM documents JOIN labels USING (doc_id))
     SELECT doc_id FROM documents WHERE {DOC_KEY} {{test}} (SELECT k FROM known WHERE k IS NOT NULL)"""
 
 
 def _known(spark, d, keep):
-    docs = b.table(spark, d, "documents").select("doc_id", F.substring("text", 1, 40).alias("title"))
+    docs = b.table(spark, d, "documents").select("doc_id", F.col("text").alias("title"))
     labelled = docs.join(b.table(spark, d, "labels"), "doc_id", "left_semi").select("title")
-    known = b.table(spark, d, "benchmark").select(F.substring("text", 1, 40).alias("title")).union(labelled)
+    known = b.table(spark, d, "benchmark").select(F.col("text").alias("title")).union(labelled)
     return known_titles(docs, known.select(title_key("title").alias("title_key")), "title", keep).select("doc_id")
 
 
@@ -131,7 +127,7 @@ def summary_of_checkpoint(spark, d):
 @query("collect_dispositions", f"""WITH {REMOVED_SQL}
     SELECT disposition, {CHUNK_SQL} AS chunk, array_to_string(list_sort(list(isbn)), ',') AS isbns FROM removed GROUP BY ALL""")
 def collected(spark, d):
-    sets = collect_dispositions(removed_isbns(b.books(spark, d)), chunk())
+    sets = collect_dispositions(removed_isbns(b.books(spark, d)))
     return sets.withColumn("isbns", F.array_join("isbns", ","))
 
 
@@ -270,7 +266,7 @@ def rating_fallback(spark, d):
 
 
 STATE_SQL = f"""
-    SELECT d.doc_id, {b.strip_sql('substring(d.text, 1, 40)')} AS title_text, {b.strip_sql('d.text')} AS description, d.source AS genres,
+    SELECT d.doc_id, {b.strip_sql('d.text')} AS title_text, {b.strip_sql('d.text')} AS description, d.source AS genres,
            CASE WHEN d.doc_id % 6 = 0 THEN NULL WHEN lang = 'en' THEN 'English' ELSE upper(lang) END AS language,
            CAST((d.doc_id % 50) AS DOUBLE) / 10.0::DOUBLE AS point, n_chars AS ratings, n_chars % 100 AS reviews,
            d.doc_id + 1 AS reading, d.doc_id + 3 AS wanted, c.authors, c.stars, c.likes, c.days, c.chars

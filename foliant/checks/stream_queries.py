@@ -21,11 +21,11 @@ def _finish(query) -> None:
 
 
 @query("stream_dedup_titles", f"""
-    SELECT DISTINCT {b.title_key_sql("substring(text, 1, 40)")} AS title_key FROM documents
-    WHERE {b.title_key_sql("substring(text, 1, 40)")} IS NOT NULL""")
+    SELECT DISTINCT {b.title_key_sql("text")} AS title_key FROM documents
+    WHERE {b.title_key_sql("text")} IS NOT NULL""")
 def stream_dedup(spark, d):
     out, state = scratch(spark, "titles"), scratch(spark, "titles-state")
-    docs = _stream(spark, d, "documents").select("doc_id", F.substring("text", 1, 40).alias("Title"))
+    docs = _stream(spark, d, "documents").select("doc_id", F.col("text").alias("Title"))
     _finish(s.run(s.stream_dedup_titles(docs).select("title_key"), state, out))
     return spark.read.parquet(out)
 

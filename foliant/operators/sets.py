@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from foliant.functions.isbn import blocked_isbn, blocked_isbn_fallback, is_english_isbn
 from foliant.operators.pinning import pinned
@@ -62,14 +62,16 @@ def still_failed(failed: DataFrame, blocked: DataFrame) -> DataFrame:
     return failed.join(pinned(blocked.select("isbn").distinct()), "isbn", "left_anti")
 
 
-def collect_dispositions(dispositions: DataFrame, chunk: Column | None = None) -> DataFrame:
-    """Distinct ISBNs per disposition as sorted lists.
+def collect_dispositions(dispositions: DataFrame, digits: int = 2) -> DataFrame:
+    """Distinct ISBNs per disposition as sorted lists, each set in ``16 ** digits`` pieces.
 
-    ``chunk`` (a column of the ISBN) splits a set over several rows, which any set
-    that may outgrow one task needs.
+    A set may outgrow one task, so a row holds the ISBNs whose digest starts with
+    its ``chunk``. ``digits=0`` gives one list per disposition, for small sets only.
     """
-    keys = [F.col("disposition")] + ([chunk.alias("chunk")] if chunk is not None else [])
-    return dispositions.groupBy(*keys).agg(F.sort_array(F.collect_set("isbn")).alias("isbns"))
+    chunk = F.substring(F.md5("isbn"), 1, digits).alias("chunk")
+    return dispositions.groupBy("disposition", chunk).agg(
+        F.sort_array(F.collect_set("isbn")).alias("isbns")
+    )
 
 
 def only(dispositions: DataFrame, disposition: str) -> DataFrame:

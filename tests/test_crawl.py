@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from foliant.operators.sets import blocked_isbns, collect_dispositions, merge_checkpoint, split_queue
 from foliant.operators.summaries import (
@@ -105,9 +104,11 @@ def test_checkpoint_sets(spark):
     first = entries(spark, [("1", "failed"), ("2", "failed")])
     merged = merge_checkpoint(first, first, entries(spark, [("2", "duplicate"), ("1", "failed")]))
     assert {x.disposition: x.isbns for x in checkpoint_summary(merged).collect()} == {"failed": 2, "duplicate": 1}
-    assert {x.disposition: x.isbns for x in collect_dispositions(merged).collect()} == {"failed": ["1", "2"], "duplicate": ["2"]}
-    chunked = collect_dispositions(merged, F.col("isbn")).collect()
-    assert sorted((x.disposition, x.chunk) for x in chunked) == [("duplicate", "2"), ("failed", "1"), ("failed", "2")]
+    whole = collect_dispositions(merged, digits=0).collect()
+    assert {x.disposition: x.isbns for x in whole} == {"failed": ["1", "2"], "duplicate": ["2"]}
+    pieces = collect_dispositions(merged).collect()
+    assert sorted((x.disposition, i) for x in pieces for i in x.isbns) == [("duplicate", "2"), ("failed", "1"), ("failed", "2")]
+    assert all(len(x.chunk) == 2 for x in pieces)
 
 
 def test_pivot_signals_last_wins(spark):
