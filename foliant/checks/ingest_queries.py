@@ -11,6 +11,7 @@ from foliant.functions.jsons import json_path, to_json_text
 from foliant.functions.text import digits_only, epoch_ms_to_date
 from foliant.operators.dedup import keep_last_by_id
 from foliant.operators.normalize import normalize_scraped, surrogate_id
+from foliant.operators.sets import append_books
 from foliant.operators.subjects import raw_prefilter
 from foliant.operators.summaries import distinct_isbn_count, ingest_counters
 from foliant.plans.catalog import build_catalog
@@ -122,7 +123,7 @@ def counters_of_ingest(spark, d):
            source || ':1' FROM books""")
 def normalize_both(spark, d):
     """Both schemas in one normalised frame."""
-    both = b.records(spark, d).drop("pos").unionByName(normalize_scraped(b.books(spark, d)))
+    both = append_books(b.records(spark, d).drop("pos"), normalize_scraped(b.books(spark, d)))
     shelf_counts = F.transform("popular_shelves", lambda s: F.concat_ws(":", s["name"], s["count"]))
     return both.select(
         "title", "description", "isbn", "average_rating", "ratings_count", "language_code",

@@ -9,7 +9,7 @@ from foliant.checks.registry import query
 from foliant.operators.cards import book_detail, result_cards
 from foliant.operators.predicates import SearchSpec, apply_spec
 from foliant.operators.ranking import page, page_summary, result_position, sort_keys, sort_results
-from foliant.operators.summaries import match_count, status_rows
+from foliant.operators.summaries import catalog_status, match_count
 from foliant.plans.search import fetch_full_records, lookup, scan_search, search, similar
 from foliant.sources.writers import export_rows
 
@@ -136,7 +136,7 @@ def summary_of_page(spark, d):
     SELECT true AS available, count(*) AS records,
            'Catalog exists. Total records: ' || format('{:,}', count(*)) AS message FROM part""")
 def status(spark, d):
-    return status_rows(b.table(spark, d, "part").agg(F.count(F.lit(1)).alias("records")))
+    return catalog_status(spark, f"{d}/part.parquet")
 
 
 # Raw text search: '%' and '_' are literal, numbers are text.

@@ -29,17 +29,22 @@ def first_n(df: DataFrame, key: str | list[str], order: str | list[str], n: int)
     return _ranked(df, key, [F.asc(c) for c in _listed(order)], n)
 
 
-def flag_first(df: DataFrame, key: str, order: str, known: DataFrame | None = None, flag: str = "is_first") -> DataFrame:
+def flag_first(
+    df: DataFrame, key: str, order: str | list[str], known: DataFrame | None = None, flag: str = "is_first"
+) -> DataFrame:
     """Mark the first row per key; every row is kept.
 
-    Keys listed in ``known`` (same column name) are taken already: none of their
-    rows is first. Rows without a key are not deduplicated and get NULL.
+    ``order`` must tell the rows of a key apart; several columns do so together. Keys
+    listed in ``known`` (same column name) are taken already: none of their rows is
+    first. Rows without a key are not deduplicated and get NULL.
     """
-    firsts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_first"))
+    columns = _listed(order)
+    place = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    firsts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(place).alias("_first"))
     if known is not None:
         firsts = firsts.join(known.select(key).distinct(), key, "left_anti")
     keyed = df.where(F.col(key).isNotNull()).join(pinned(firsts), key, "left")
-    is_first = F.coalesce(F.col("_first") == F.col(order), F.lit(False))
+    is_first = F.coalesce(F.col("_first") == place, F.lit(False))
     keyed = keyed.withColumn(flag, is_first).drop("_first").select(*df.columns, flag)
     unkeyed = df.where(F.col(key).isNull()).withColumn(flag, F.lit(None).cast("boolean"))
     return keyed.unionByName(unkeyed)

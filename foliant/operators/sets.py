@@ -25,6 +25,13 @@ def merge_checkpoint(checkpoint: DataFrame, *updates: DataFrame) -> DataFrame:
     return merged.distinct()
 
 
+def append_books(books: DataFrame, *more: DataFrame) -> DataFrame:
+    """Bag union by column name: repeats are kept, missing columns become NULL."""
+    for other in more:
+        books = books.unionByName(other, allowMissingColumns=True)
+    return books
+
+
 def resume_queue(isbns: DataFrame, processed: DataFrame) -> DataFrame:
     """ISBNs not processed yet; repeats in the list are kept.
 

@@ -19,10 +19,6 @@ def catalog_status(spark: SparkSession, path: str) -> DataFrame:
             F.lit(0).cast("bigint").alias("records"),
             F.lit(f"Catalog does not exist or is invalid: {reason}").alias("message"),
         )
-    return status_rows(counted)
-
-
-def status_rows(counted: DataFrame) -> DataFrame:
     return counted.select(
         F.lit(True).alias("available"),
         "records",

@@ -43,17 +43,22 @@ def judge_pages(pages: DataFrame, genre_href: str = GENRE_HREF) -> DataFrame:
     )
 
 
+def numbered(judged: DataFrame) -> DataFrame:
+    """Add ``_row``, which tells pages of equal ``order`` apart."""
+    return judged.withColumn("_row", F.monotonically_increasing_id())
+
+
 def settle_duplicates(judged: DataFrame, order: str, known: DataFrame | None = None) -> DataFrame:
     """Fill in the open dispositions: the first new title is saved, the rest are duplicates.
 
-    Only rows still open carry a title key, so a title seen on a rejected page does
-    not take it.
+    Takes ``numbered`` rows. Only rows still open carry a title key, so a title seen
+    on a rejected page does not take it.
     """
-    flagged = flag_first(judged, "title_key", order, known)
+    flagged = flag_first(judged, "title_key", [order, "_row"], known)
     settled = F.coalesce(
         F.col("disposition"), F.when(F.col("is_first"), t.SAVED).otherwise(F.lit(t.DUPLICATE))
     )
-    return flagged.withColumn("disposition", settled).drop("is_first", "title_key")
+    return flagged.withColumn("disposition", settled).drop("is_first", "title_key", "_row")
 
 
 def triage_pages(
@@ -70,7 +75,7 @@ def triage_pages(
     so its result is written to the shared folder first; pass ``stage`` to keep it
     elsewhere, or the identity to leave it lazy.
     """
-    return settle_duplicates(stage(judge_pages(pages, genre_href)), order, known)
+    return settle_duplicates(stage(numbered(judge_pages(pages, genre_href))), order, known)
 
 
 def saved_books(triaged: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foliant.functions.text import title_key
 from foliant.operators.pages import GENRE_HREF
-from foliant.plans.crawl import judge_pages, new_dispositions, saved_books, settle_duplicates
+from foliant.plans.crawl import judge_pages, new_dispositions, numbered, saved_books, settle_duplicates
 from foliant.sources.writers import CSV, scraped_csv_rows
 
 
@@ -63,10 +63,10 @@ def store_sink(store: str, order: str = "isbn") -> Callable[[DataFrame, int], No
         spark = batch.sparkSession
         part = f"batch={batch_id}"
         settled_at = f"{store}/settled/{part}"
-        settle_duplicates(batch.persist(), order, _titles_before(spark, store, batch_id)).write.mode(
-            "overwrite"
-        ).parquet(settled_at)
-        batch.unpersist()
+        rows = numbered(batch).persist()
+        settled = settle_duplicates(rows, order, _titles_before(spark, store, batch_id))
+        settled.write.mode("overwrite").parquet(settled_at)
+        rows.unpersist()
         settled = spark.read.parquet(settled_at)
         books = saved_books(settled)
         books.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{store}/books/{part}")

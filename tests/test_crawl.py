@@ -163,3 +163,10 @@ def test_triage(spark, staged):
     assert saved_books(triaged).columns == list(SCRAPED_FIELDS)
     noted = {x.isbn for x in new_dispositions(triaged).collect()}
     assert noted == {"2", "6", "7", "9", "11", "12", "14", "15", "17"}
+
+
+def test_pages_of_equal_order_are_saved_once(spark):
+    rows = [("1", "/book/show/1", "t", page("One"))] * 4
+    df = spark.createDataFrame(rows, "isbn string, url string, page_title string, html string")
+    got = sorted(x.disposition for x in triage_pages(df).collect())
+    assert got == ["duplicate"] * 3 + ["saved"]
