@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from foliant.functions.isbn import blocked_isbn, blocked_isbn_fallback, is_english_isbn
+from foliant.functions.isbn import (
+    BLOCKED_MARK, blocked_isbn, blocked_isbn_fallback, is_english_isbn,
+)
 from foliant.operators.pinning import pinned
 from foliant.schemas import DISPOSITIONS
 
@@ -50,11 +52,17 @@ def blocked_isbns(log: DataFrame, line: str = "value") -> DataFrame:
     """Distinct ISBNs a crawl log names as blocked.
 
     The looser message form counts only if the usual one occurs nowhere in the log;
-    that check is an uncorrelated subquery that stops at its first hit.
+    that check is an uncorrelated subquery that stops at its first hit, while both
+    forms are taken in one scan.
     """
-    usual = log.select(blocked_isbn(line).alias("isbn")).where(F.col("isbn").isNotNull())
-    loose = log.select(blocked_isbn_fallback(line).alias("isbn")).where(F.col("isbn").isNotNull())
-    return usual.distinct().union(loose.where(~usual.exists()).distinct())
+    usual = blocked_isbn(line)
+    # Both forms hold the mark, and few lines do: no other line meets a pattern.
+    marked = log.where(F.contains(F.col(line), F.lit(BLOCKED_MARK)))
+    named = marked.select(
+        F.coalesce(usual, blocked_isbn_fallback(line)).alias("isbn"), usual.isNotNull().alias("usual")
+    ).where(F.col("isbn").isNotNull())
+    only_loose = ~named.where("usual").exists()
+    return named.where(F.col("usual") | only_loose).select("isbn").distinct()
 
 
 def restore_blocked(failed: DataFrame, blocked: DataFrame) -> DataFrame:
