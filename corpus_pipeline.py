@@ -1,17 +1,25 @@
-"""The corpus pipeline: quality rules, near-duplicates."""
+"""The corpus pipeline: quality rules, near-duplicates, pseudonyms, mix, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from foliant.llm.common import materialize, table
+from foliant.llm.mixing import mix
+from foliant.llm.packing import pack
+from foliant.llm.pii import mask
 from foliant.llm.quality import keep_good
 from foliant.llm.simhash import keep_one
 
+# Each stage takes the session, what the stage before it kept, and the folder of the tables.
 STAGES = [
     ("quality rules", lambda spark, docs, sf_dir: keep_good(docs)),
     ("near-duplicates", lambda spark, docs, sf_dir: keep_one(docs)),
+    ("pseudonyms", lambda spark, docs, sf_dir: mask(docs)),
+    ("source mix", lambda spark, docs, sf_dir: mix(docs)),
+    ("packing", lambda spark, docs, sf_dir: pack(docs)),
 ]
+# Pseudonyms and token ids are nothing SQL can express.
 ORACLE_SQL = None
 
 

@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foliant.llm import licenses, topk
 from foliant.llm.common import table
+from foliant.llm.mixing import mix_plan
+from foliant.llm.packing import pack
+from foliant.llm.pii import pii
 from foliant.llm.quality import quality
 from foliant.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": lambda spark, d: licenses.license_scan(table(spark, d, "documents")),
+    "op3_exact_top_k": lambda spark, d: topk.top_k(table(spark, d, "embeddings")),
+    "op4_best_fit_packing": lambda spark, d: pack(table(spark, d, "documents")),
+    "op5_source_mix": lambda spark, d: mix_plan(table(spark, d, "documents")),
     "op6_simhash_components": lambda spark, d: simhash_components(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: quality(table(spark, d, "documents")),
+    "op9_pseudonyms": lambda spark, d: pii(table(spark, d, "documents")),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.SQL,
+    "op3_exact_top_k": topk.SQL,
+}
