@@ -185,7 +185,8 @@ def _sql() -> str:
         # A phrase may stand nearer to the beginning than its place in the template.
         least = -max(p.place for p in t.phrases)
         inside = " AND ".join(f"s + {p.place} >= 0" for p in t.phrases)
-        return f"[s FOR s IN range({least}, len(w)) IF {inside} AND {tests}]"
+        known = quoted(sorted({w for p in t.phrases for w in p.words}))
+        return f"CASE WHEN list_has_all(w, {known}) THEN [s FOR s IN range({least}, len(w)) IF {inside} AND {tests}] ELSE [] END"
 
     def share(i: int, t: Template) -> str:
         if t.base or all(len(p.words) == len(t.words) for p in t.phrases):

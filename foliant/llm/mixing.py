@@ -102,3 +102,27 @@ def mix(docs: DataFrame) -> DataFrame:
     copies = _taken(numbered.drop("_row")).where("_copies > 0").select(F.col("_id").alias("_of"), F.col("_copies").cast("int").alias("_copies"))
     taken = numbered.select("_id", "_row").join(copies, F.col("_id") == F.col("_of"))
     return taken.select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
+
+
+SQL = f"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [{WEIGHTS[0]}.0, {WEIGHTS[1]}.0, {WEIGHTS[2]}.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+rooms AS (SELECT *, source_size * {CEILING}::DOUBLE AS most, source_size * {CEILING}::DOUBLE / weight AS room FROM sources),
+levels AS (
+  SELECT *, row_number() OVER o AS nth,
+    (sum(source_size) OVER () * {SHARE}::DOUBLE - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM rooms WINDOW o AS (ORDER BY room, source NULLS LAST)),
+targets AS (
+  SELECT source, source_size, least(most, (SELECT first(level ORDER BY nth) FROM levels WHERE level <= room) * weight) AS target,
+    ('0x' || substr(md5(coalesce('=' || source, '-')), 1, 13))::BIGINT::DOUBLE / {float(1 << 52)}::DOUBLE AS u
+  FROM levels),
+placed AS (
+  SELECT doc_id, size, t.source_size, t.target, u, row_number() OVER (PARTITION BY s.source ORDER BY size, doc_id NULLS FIRST) AS place,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS e
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, ((floor(e * place + u) - floor(e * (place - 1) + u)) * size)::BIGINT AS taken FROM placed
+"""

@@ -166,3 +166,39 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """
     packed = docs.select("text", "source", F.struct(*docs.columns).alias("_row"))
     return judged(packed, **limits).where("kept").select("_row.*")
+
+
+SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS l
+  FROM documents),
+windows AS (
+  SELECT r, i, list_slice(w, i, i + {WINDOW - 1}) AS x FROM docs, unnest(range(1, len(w) - {WINDOW - 2})) AS t(i)),
+twice AS (SELECT *, count(*) OVER (PARTITION BY r, x) AS n FROM windows),
+repeats AS (
+  SELECT r, sum(least({WINDOW}, coalesce(next - i, {WINDOW})))::BIGINT AS n FROM (
+    SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM twice WHERE n > 1) GROUP BY r),
+base AS (
+  SELECT docs.r, doc_id, source, text, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM docs LEFT JOIN repeats ON docs.r = repeats.r),
+lines AS (
+  SELECT r, source, x, length(x) - length(replace(x, ' ', '')) + 1 AS n, i FROM (
+    SELECT r, source, unnest(y) AS x, unnest(range(len(y))) AS i FROM (
+      SELECT r, source, [z FOR z IN [trim(v, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) FOR v IN string_split(lower(text), chr(10))] IF z <> ''] AS y FROM docs))),
+mains AS (SELECT r, first(x ORDER BY n DESC, x) AS main FROM lines GROUP BY r),
+frequent AS (
+  SELECT source, x FROM (SELECT l.source, l.x, count(DISTINCT main) AS docs FROM lines l JOIN mains USING (r) GROUP BY ALL)
+  JOIN (SELECT source AS s, count(*) AS total FROM docs GROUP BY source) ON source IS NOT DISTINCT FROM s
+  WHERE docs > {MIN_DOCS} AND docs > {SHARE} * total),
+gone AS (
+  SELECT r FROM lines l LEFT JOIN frequent f ON l.source IS NOT DISTINCT FROM f.source AND l.x = f.x
+  GROUP BY r HAVING sum(CASE WHEN f.x IS NOT NULL THEN n ELSE 0 END) >= {DEPLETED} * sum(n))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND gone.r IS NULL AS kept
+FROM base LEFT JOIN gone ON base.r = gone.r
+"""

@@ -6,25 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import licenses, topk
+from foliant.llm import chat, licenses, mixing, quality, topk
 from foliant.llm.common import table
-from foliant.llm.mixing import mix_plan
 from foliant.llm.packing import pack
 from foliant.llm.pii import pii
-from foliant.llm.quality import quality
 from foliant.llm.simhash import simhash_components
+from foliant.llm.toxicity import toxicity
+from foliant.llm.wrappers import main_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": lambda spark, d: chat.chat(table(spark, d, "conversations")),
     "op2_license_scan": lambda spark, d: licenses.license_scan(table(spark, d, "documents")),
     "op3_exact_top_k": lambda spark, d: topk.top_k(table(spark, d, "embeddings")),
     "op4_best_fit_packing": lambda spark, d: pack(table(spark, d, "documents")),
-    "op5_source_mix": lambda spark, d: mix_plan(table(spark, d, "documents")),
+    "op5_source_mix": lambda spark, d: mixing.mix_plan(table(spark, d, "documents")),
     "op6_simhash_components": lambda spark, d: simhash_components(table(spark, d, "documents")),
-    "op7_quality_rules": lambda spark, d: quality(table(spark, d, "documents")),
+    "op7_quality_rules": lambda spark, d: quality.quality(table(spark, d, "documents")),
+    "op8_toxicity": lambda spark, d: toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_pseudonyms": lambda spark, d: pii(table(spark, d, "documents")),
+    "op10_main_text": lambda spark, d: main_texts(table(spark, d, "pages")),
 }
 
 ORACLES: dict[str, str] = {
+    "op1_chat_format": chat.SQL,
     "op2_license_scan": licenses.SQL,
     "op3_exact_top_k": topk.SQL,
+    "op5_source_mix": mixing.SQL,
+    "op7_quality_rules": quality.SQL,
 }

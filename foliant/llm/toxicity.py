@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -92,3 +93,79 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             theta -= rate * fix * m / (np.sqrt(v) + 1e-8)
             bias -= rate * fix * mb / (np.sqrt(vb) + 1e-8)
     return theta, bias
+
+
+def held_out(doc_id="doc_id"):
+    """Whether a row's labels are kept for the test."""
+    digits = F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")
+    return F.crc32(digits) % 3 == 1
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> DataFrame:
+    """``doc_id``, ``positive`` and ``slots`` of the rows to learn from, no more than the two bounds."""
+    known = labels.where(~held_out() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    confirmed = known.where("toxic = 1").select("doc_id")
+    by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = confirmed.orderBy(*by_hash).limit(max_positive).withColumn("positive", F.lit(True))
+    others = docs.select("doc_id").where(~held_out() & F.col("doc_id").isNotNull()).distinct()
+    others = others.join(confirmed, "doc_id", "left_anti").orderBy(*by_hash).limit(max_unlabelled)
+    chosen = chosen.unionByName(others.withColumn("positive", F.lit(False)))
+    # Bounded by the two parameters.
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+    def slots(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [x for w in sorted(text_words(t)) for x in word_features(w)])
+
+    told = rows.select("doc_id", "positive", F.pandas_udf(slots, "array<int>")("text").alias("slots"))
+    # One text per id, so that repeated ids keep within the bounds.
+    return told.groupBy("doc_id", "positive").agg(F.first("slots").alias("slots"))
+
+
+def class_prior(labels: DataFrame) -> float:
+    """The share of confirmed rows among the labelled ones that may be learned from."""
+    known = labels.where(~held_out() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return float(known.agg(F.avg((F.coalesce("toxic", F.lit(0)) == 1).cast("double"))).head()[0] or 0.0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, **bounds):
+    """Weights and intercept of the classifier."""
+    rows = training_sample(docs, labels, **bounds).orderBy("doc_id").toPandas()
+    slots = [np.asarray(x, np.int64) for x in rows["slots"]]
+    positive = [x for x, p in zip(slots, rows["positive"]) if p]
+    unlabelled = [x for x, p in zip(slots, rows["positive"]) if not p]
+    return train(positive, unlabelled, class_prior(labels))
+
+
+def scorer(theta: np.ndarray, bias: float):
+    """A function from a text to its score."""
+    import math
+
+    class Memo(dict):
+        def __missing__(self, word: str) -> float:
+            if len(self) >= MEMO:
+                self.clear()
+            found = self[word] = float(theta[word_features(word)].sum())
+            return found
+
+    memo = Memo()
+
+    def score(text: str | None) -> float:
+        # An exact sum does not depend on the order of the words.
+        return 1 / (1 + math.exp(-max(-35.0, min(35.0, bias + math.fsum(map(memo.__getitem__, text_words(text)))))))
+
+    return score
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, cut: float = CUT, **bounds) -> DataFrame:
+    """Per document: doc_id, held_out, score and predicted."""
+    theta, bias = fit(docs, labels, **bounds)
+    trained = bool(theta.any())
+    model = docs.sparkSession.sparkContext.broadcast((theta, float(bias)))
+
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        score = scorer(*model.value)
+        for texts in batches:
+            yield pd.Series([score(t) if trained else 0.0 for t in texts], dtype="float64")
+
+    rows = docs.select("doc_id", held_out().alias("held_out"), F.pandas_udf(scores, "double")("text").alias("score"))
+    return rows.select("*", (F.col("score") >= cut).cast("int").alias("predicted"))
