@@ -48,7 +48,7 @@ def rows():
         if i % 7 == 0:
             lines += lines[:1] * 2
         out.append((i, "\n".join(lines), f"h{i % 2}" if i % 5 else None))
-    out += [(300 + i, f"{common}\n{common.upper()} \nu{i} v w", "h0") for i in range(4)]
+    out += [(300 + i, f"{common}\n{common.upper()} \nu{i} v w", "h1") for i in range(4)]
     again = "one two three four five six seven eight nine"
     out += [(200, None, "h0"), (201, "", None), (202, "\n \t\n", "h1"), (203, f"{again} x {again} y {again}", "h0"), (203, f"{again} x {again} y {again}", "h0"),
             (None, "a b c d e f g h i " * 3, "h0"), (205, "tick " * 5000, "h1"), (206, "é#\x85x " * 30, "h1"), (207, " ".join(f"w{k}" for k in range(3000)), "h0")]
