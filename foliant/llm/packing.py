@@ -131,7 +131,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
             full, rest = min(many, left // each), 0
             if full:
                 slots.append((length, rank, full * each, each, first, capacity - free))
-                room[free - full * 0 - each * length].append((first, full))
+                room[free - each * length].append((first, full))
             rank, left = rank + full * each, left - full * each
             if full < many and left:
                 # Fewer than one sequence's worth are left.

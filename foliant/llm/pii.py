@@ -130,8 +130,7 @@ def _ssn(text, turn):
 
 def _mixed(text, turn, tweak):
     """Digits stay digits, small letters small and capitals capital; the rest stays."""
-    size = value = 0
-    size = 1
+    value, size = 0, 1
     for c in text:
         base, zero = (10, "0") if c in "0123456789" else (26, "a") if "a" <= c <= "z" else (26, "A") if "A" <= c <= "Z" else (1, c)
         value, size = value * base + ord(c) - ord(zero), size * base
@@ -210,8 +209,8 @@ KINDS = {
     "date": (_date, r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}-[0-9]{1,2}-[0-9]{4})(?![0-9/-]|\.[0-9])"),
     "ssn": (_ssn, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "ipv4": (_ipv4, r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
-    "card": (_card, r"(?<![0-9+])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"),
-    "phone": (_phone, r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-]?[0-9])"),
+    "card": (_card, r"(?<![0-9+])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
+    "phone": (_phone, r"(?<![0-9])\+1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-]?[0-9])"),
 }
 
 
@@ -219,21 +218,36 @@ def finder():
     return re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (_, pattern) in KINDS.items()))
 
 
+def _valid(m: re.Match, turn) -> tuple[int, str | None]:
+    """End and pseudonym of the value that begins with ``m``; a card may be followed by other digits."""
+    told, end = KINDS[m.lastgroup][0](m[0], turn), m.end()
+    if told is None and m.lastgroup == "card":
+        for gap in reversed(list(re.finditer("[ -]", m[0]))):
+            told, end = _card(m[0][: gap.start()], turn), m.start() + gap.start()
+            if told is not None:
+                break
+    return end, told
+
+
 def replace_all(text: str, key: bytes, pattern=None, back: bool = False) -> tuple[str, list[tuple[str, int, int, str]]]:
     """``text`` with its values mapped, and (kind, start, length, pseudonym) of each, in code points of the result."""
     pattern = pattern or finder()
     turn = lambda value, size, tweak: permute(value, size, key, tweak.encode(), back)
     out, spans, at, size = [], [], 0, 0
-    for m in pattern.finditer(text):
-        told = KINDS[m.lastgroup][0](m[0], turn)
+    m = pattern.search(text)
+    while m:
+        end, told = _valid(m, turn)
         if told is None:
+            # Another value may begin within what did not validate.
+            m = pattern.search(text, m.start() + 1)
             continue
         out.append(text[at : m.start()])
         size += m.start() - at
         spans.append((m.lastgroup, size, len(told), told))
         out.append(told)
         size += len(told)
-        at = m.end()
+        at = end
+        m = pattern.search(text, at)
     out.append(text[at:])
     return "".join(out), spans
 

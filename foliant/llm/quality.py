@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliant.llm.common import GAP, let, materialize, source_key, text_of, words_of
+from foliant.llm.common import let, materialize, source_key, text_of, words_of
+from foliant.operators.pinning import pinned
 
 WINDOW = 8
 MIN_DOCS, SHARE, DEPLETED = 20, 0.005, 0.8
@@ -162,10 +163,11 @@ def quality(docs: DataFrame, **limits) -> DataFrame:
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns.
 
-    ``docs`` may have columns named as the verdict's: they are set aside in a struct.
+    ``docs`` may have columns named as the verdict's: they are set aside in a struct. The
+    verdicts are pinned, or the condition would be unfolded into the rules and run them anew.
     """
     packed = docs.select("text", "source", F.struct(*docs.columns).alias("_row"))
-    return judged(packed, **limits).where("kept").select("_row.*")
+    return pinned(judged(packed, **limits).select("_row", "kept")).where("kept").select("_row.*")
 
 
 SQL = f"""

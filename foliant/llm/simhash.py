@@ -182,14 +182,9 @@ def _cut_depth(prints: DataFrame, group: int) -> int:
 def links(prints: DataFrame, budget: int = BUDGET, group: int = GROUP) -> DataFrame:
     """(u, v) with u > v in unsigned order: links that connect what is linked. ``prints``: distinct ``_print``."""
     depth = _cut_depth(prints, group)
-    near = [[b for b in range(1 << depth) if (a ^ b).bit_count() <= budget] if depth <= 8 else None for a in range(1 << min(depth, 8))]
-    if depth <= 8:
-        top = F.shiftrightunsigned("_print", 64 - depth).cast("int") if depth else F.lit(0)
-        partners = F.get(F.array(*[F.array(*map(F.lit, x)) for x in near]), top)
-    else:
-        masks = [m for m in range(1 << depth) if m.bit_count() <= budget]
-        top = F.shiftrightunsigned("_print", 64 - depth).cast("int")
-        partners = F.transform(F.array(*map(F.lit, masks)), lambda m: top.bitwiseXOR(m))
+    top = F.shiftrightunsigned("_print", 64 - depth).cast("int") if depth else F.lit(0)
+    masks = [m for m in range(1 << depth) if m.bit_count() <= budget]
+    partners = F.transform(F.array(*map(F.lit, masks)), lambda m: top.bitwiseXOR(m))
     rows = prints.select("_print", top.alias("_top"), F.explode(partners).alias("_with"))
     rows = rows.select("_print", F.least("_top", "_with").alias("_a"), F.greatest("_top", "_with").alias("_b"))
 
@@ -212,23 +207,19 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): the least node it is connected to.
 
     Alternates the large star (every larger neighbour is tied to the least one) and the
-    small star (so is every smaller neighbour), each round written to the shared folder.
+    small star (so is every smaller neighbour); each round is written to the shared folder.
     """
-    now = materialize(edges.where("u <> v").distinct(), "links")
-    while True:
+    facts = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).head()
+    now, before = materialize(edges.where("u <> v").distinct(), "links"), None
+    while (known := facts(now)) != before:
+        before = known
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = pinned(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialize(large.distinct(), "large-star")
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = pinned(down.groupBy("u").agg(F.min("v").alias("m")))
-        small = down.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = pinned(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
         small = small.select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).where("u <> v")
-        small = materialize(small.distinct(), "small-star")
-        facts = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).head()
-        if facts(small) == facts(now):
-            break
-        now = small
+        now = materialize(small.distinct(), "stars")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

@@ -58,6 +58,18 @@ def test_invalid_stays(text):
     assert replace_all(text, K) == (text, [])
 
 
+@pytest.mark.parametrize(("text", "kinds"), [
+    ("+1 (614) 555-8001 4111111111111111", ["phone", "card"]), ("+1 (614) 555-8001 146.47.206.184", ["phone", "ipv4"]),
+    ("12 4111111111111111", ["card"]), ("4111111111111112 4111111111111111", ["card"]), ("4111111111111111 123 x", ["card"]), ("1.2.3.4,5.6.7.8", ["ipv4", "ipv4"]),
+    ("a.1@x.org b.2@y.org", ["email", "email"]), ('token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" 1999-12-31', ["secret", "date"]),
+    ("4111111111111111 " * 50, ["card"] * 50), ("JO.81@MAIL7.EXAMPLE.COM!!", ["email"]), ("72@mail3.example.com###", ["email"]),
+])
+def test_neighbours(text, kinds):
+    told, spans = replace_all(text, K)
+    assert [s[0] for s in spans] == kinds
+    assert restore(told) == text
+
+
 def test_documents(spark):
     rows = [(1, "mail jo.1@x.org now", "a"), (1, "mail jo.1@x.org now", "a"), (None, None, None), (3, "", "b"), (4, "clean text", "c"),
             (5, "x " * 50_000 + "+1 (614) 555-8001", "d")]
