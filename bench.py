@@ -2,7 +2,7 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores. Inputs that are
 files (dump, JSON Lines, catalog) are derived from the tables before the clock
-starts. Every job writes its whole result to the ``noop`` sink or to files.
+starts. Every job writes its whole result to the ``noop`` sink or to files, and runs twice.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def edition_dump(spark: SparkSession) -> DataFrame:
         F.repeat(F.concat_ws(" ", "p_name", "p_type", "l_shipdate"), 5).alias("notes"),
     )
     items = b.table(spark, D, "lineitem").repartition(int(CPUS))
-    rows = items.join(F.broadcast(b.table(spark, D, "part")), F.col("l_partkey") == F.col("p_partkey"))
+    rows = items.join(b.table(spark, D, "part"), F.col("l_partkey") == F.col("p_partkey"))
     key = F.concat(F.lit("/books/E"), item.cast("string"))
     return rows.select(
         F.concat_ws("\t", F.lit("/type/edition"), key, F.lit("1"), F.lit("2020-01-01"), F.to_json(body)).alias("value")
@@ -56,7 +56,7 @@ def edition_dump(spark: SparkSession) -> DataFrame:
 def raw_books(spark: SparkSession) -> DataFrame:
     """One record per line item with text values; about a quarter of the ids repeat."""
     items = b.table(spark, D, "lineitem").repartition(int(CPUS))
-    rows = items.join(F.broadcast(b.table(spark, D, "part")), F.col("l_partkey") == F.col("p_partkey"))
+    rows = items.join(b.table(spark, D, "part"), F.col("l_partkey") == F.col("p_partkey"))
     text = lambda c: F.col(c).cast("string")
     return rows.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("book_id"),
@@ -98,7 +98,6 @@ def main() -> None:
 
     run = lambda df: df.write.format("noop").mode("overwrite").save()
     catalog = lambda: r.load_catalog(spark, target)
-    books = lambda: catalog().select("book_id", "title", "average_rating", F.col("record.similar_books").alias("similar_books"))
     combined = SearchSpec(
         title_query="red w_dget", rating_min=10, publication_year_min=1996, publication_year_max=2000,
         is_ebook=True, shelf="widget", sort_by="rating", limit=10, offset=20,
@@ -113,7 +112,7 @@ def main() -> None:
         "search_page_records": lambda: run(search_page(catalog(), combined)),
         "lookup_id": lambda: run(lookup(catalog(), "1000-1")),
         "scan_search": lambda: run(scan_search(r.read_books_jsonl(spark, raw), combined)),
-        "similar_one_hop": lambda: run(similar(books(), books())),
+        "similar_one_hop": lambda: run(similar(catalog(), catalog())),
         "extract_markup": lambda: run(extract_books(spark.read.parquet(pages))),
         "extract_state": lambda: run(extract_books(spark.read.parquet(states))),
         "triage_pages": lambda: run(triage_pages(spark.read.parquet(pages), order="pos")),
@@ -126,18 +125,22 @@ def main() -> None:
             ).rows
         ),
     }
+    # Every job runs twice: the first run also loads and compiles code.
+    cold: dict[str, float] = {}
     times: dict[str, float] = {}
     for name, job in jobs.items():
-        start = time.perf_counter()
-        job()
-        times[name] = round(time.perf_counter() - start, 3)
+        for taken in (cold, times):
+            start = time.perf_counter()
+            job()
+            taken[name] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(
             {
-                "metric": "total time of the headline jobs",
+                "metric": "total time of the headline jobs, second run of each",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "first_run": cold,
                 "sf": D.rstrip("/").rsplit("sf", 1)[-1],
                 "dump_mb_per_sec": round(megabytes(dump) / times["dump_filter"], 1),
                 "catalog_books_per_sec": round(n_records / times["catalog_build"]),

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foliant.functions.text import WHITESPACE
-from foliant.operators.dedup import first_n
 from foliant.operators.pages import flat_element, markup_text
 from foliant.schemas import RECORD_FIELDS, RECORD_NESTED, REVIEW
 
@@ -170,7 +169,7 @@ EDITIONS_SQL = f"""
 editions AS (
   SELECT CASE WHEN p_partkey % 7 = 0 THEN '0' || lpad(CAST(p_partkey AS VARCHAR), 9, '0')
               ELSE {isbn_sql('p_partkey')} END AS isbn,
-         lower(p_name || ' ' || p_type) AS subjects
+         lower(p_name || ' ' || p_type) AS subjects, p_partkey
   FROM part),
 novels AS (
   SELECT isbn FROM editions
@@ -342,17 +341,17 @@ triaged AS (
   FROM judged)"""
 
 
-# Turns a page shows of a conversation; extraction looks at fewer of them.
-SHOWN_TURNS = 30
+# Turns per page: longer conversations go over several pages, so that no page grows without bound.
+TURNS = 30
 
 
 def state_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A page with embedded state per document that a conversation belongs to.
+    """A page with embedded state per document and ``TURNS`` turns of its conversation.
 
-    The turns are the reviews. System turns are edges that cannot be resolved, and
+    Documents without a conversation have one page without reviews. The turns are the reviews. System turns are edges that cannot be resolved, and
     assistants have no author node.
     """
-    turns = first_n(table(spark, d, "conversations"), "conv_id", "turn", SHOWN_TURNS)
+    turns = table(spark, d, "conversations").withColumn("sheet", F.floor(F.col("turn") / TURNS))
     ref = lambda kind, *parts: F.concat(F.lit(kind), *parts)
     turn_no = F.col("turn").cast("string")
     edge = F.to_json(F.struct(F.struct(ref("Review:", turn_no).alias("__ref")).alias("node")))
@@ -369,16 +368,19 @@ def state_pages(spark: SparkSession, d: str) -> DataFrame:
     per_conv = (
         turns.select(
             "conv_id",
+            "sheet",
             F.struct(
                 "turn",
                 edge.alias("edge"),
                 F.when(F.col("role") != "system", F.concat(quoted(ref("Review:", turn_no)), review)).alias("node"),
             ).alias("t"),
         )
-        .groupBy("conv_id")
+        .groupBy("conv_id", "sheet")
         .agg(F.array_sort(F.collect_list("t")).alias("turns"))
     )
-    docs = table(spark, d, "documents").join(per_conv, F.col("doc_id") == F.col("conv_id"))
+    docs = table(spark, d, "documents").join(per_conv, F.col("doc_id") == F.col("conv_id"), "left")
+    none = F.array().cast("array<struct<turn:bigint,edge:string,node:string>>")
+    docs = docs.withColumn("turns", F.coalesce("turns", none)).withColumn("sheet", F.coalesce("sheet", F.lit(0).cast("bigint")))
     doc = F.col("doc_id")
     language = F.when(doc % 6 == 0, F.lit(None).cast("string")).otherwise(
         F.when(F.col("lang") == "en", "English").otherwise(F.upper("lang"))
@@ -433,4 +435,5 @@ def state_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("Page").alias("page_title"),
         script.alias("html"),
         doc.alias("pos"),
+        "sheet",
     )

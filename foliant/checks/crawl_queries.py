@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliant.checks import bindings as b
 from foliant.checks.registry import query
-from foliant.functions.text import clean_html_common, digits_only, html_unescape, title_key
+from foliant.functions.text import clean_html, digits_only, html_unescape, title_key
 from foliant.operators import pages as p
 from foliant.operators.dedup import first_n, keep_first_by_title, known_titles
 from foliant.operators.sets import (
@@ -148,9 +148,9 @@ def blocked(spark, d):
 
 @query("blocked_isbns_fallback", f"WITH {b.LOG_SQL} SELECT isbn FROM blocked_loose")
 def blocked_fallback(spark, d):
-    """A log without the usual message form."""
+    """A log in which the usual message has another form."""
     lines = b.log_lines(spark, d)
-    return blocked_isbns(lines.where(~F.contains("value", F.lit("Book '403"))))
+    return blocked_isbns(lines.select(F.replace("value", F.lit("Book '403 Forbidden'"), F.lit("Book refused")).alias("value")))
 
 
 @query("restore_blocked", f"""WITH {b.LOG_SQL}
@@ -168,15 +168,12 @@ def summary_of_restore(spark, d):
 
 # --- pages ---------------------------------------------------------------------------
 
-CLEAN_PAGE_SQL = b.strip_sql("regexp_replace(html, '<.*?>', '', 'g')")
-
 
 @query("clean_html_text", f"""
-    SELECT page_id, {b.strip_sql("replace(replace(replace(replace(replace(regexp_replace(html, '<.*?>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&')")} AS text
-    FROM pages""")
+    SELECT page_id, {b.strip_sql(b.unescape_sql("regexp_replace(html, '<.*?>', '', 'g')"))} AS text FROM pages""")
 def clean_text(spark, d):
-    """Tags and the common entities; the others stay as they are."""
-    return b.table(spark, d, "pages").select("page_id", clean_html_common("html").alias("text"))
+    """Tags out, all entities decoded, stripped."""
+    return b.table(spark, d, "pages").select("page_id", clean_html("html").alias("text"))
 
 
 @query("html_unescape_full", f"SELECT page_id, {b.unescape_sql('html')} AS html FROM pages")
@@ -191,7 +188,7 @@ def _markup_sql(pattern: str) -> str:
 
 @query("page_title", f"SELECT page_id, {_markup_sql('<h1>(.*?)</h1>')} AS title FROM pages")
 def page_title(spark, d):
-    books = p.extract_books(b.table(spark, d, "pages").select("page_id", "html"))
+    books = p.extract_books(b.table(spark, d, "pages").select("page_id", "html"), fields=["Title"])
     return books.select("page_id", F.col("Title").alias("title"))
 
 
@@ -208,7 +205,7 @@ def links(spark, d):
 
 
 @query("count_fallbacks", """
-    SELECT page_id, page_id * 1003 AS ratings, page_id * 7 AS reviews, page_id AS reading, CAST(0 AS BIGINT) AS wanted
+    SELECT page_id, page_id * 1003 AS ratings, page_id * 7 AS reviews, page_id AS reading, page_id % 5 * 11 AS wanted
     FROM pages""")
 def count_fallbacks(spark, d):
     """Counters by markup, put into the raw pages."""
@@ -219,6 +216,8 @@ def count_fallbacks(spark, d):
         span("ratingsCount", F.concat(F.format_number(n * 1003, 0), F.lit(" <b>ratings</b>"))),
         span("reviewsCount", F.concat(F.lit("about "), F.format_number(n * 7, 0))),
         F.lit('<div data-testid="currentlyReadingSignal"><div>'), n.cast("string"), F.lit(" people</div></div>"),
+        F.when(n % 5 != 0, F.concat(F.lit("<div class=w data-testid=toReadSignal title='a > b'>"), (n % 5 * 11).cast("string"), F.lit(" want</div>")))
+        .otherwise(F.lit("")),
     )
     html = F.replace("html", F.lit("<article>"), markup)
     return b.table(spark, d, "pages").select(
@@ -246,7 +245,7 @@ def description_fallback(spark, d):
     )
     meta = F.concat(F.lit('<article><meta name="description" content="Meta &amp; '), F.col("url"), F.lit('">'))
     html = F.replace("html", F.lit("<article>"), F.when(n % 3 == 0, formatted).when(n % 3 == 1, plain).otherwise(meta))
-    books = p.extract_books(b.table(spark, d, "pages").select("page_id", html.alias("html")))
+    books = p.extract_books(b.table(spark, d, "pages").select("page_id", html.alias("html")), fields=["Desc"])
     return books.select("page_id", F.col("Desc").alias("description"))
 
 
@@ -261,34 +260,37 @@ def rating_fallback(spark, d):
         F.lit('<article><div class="RatingStatistics__rating">none</div><span itemprop="ratingValue">'), value, F.lit("</span>")
     )
     html = F.replace("html", F.lit("<article>"), F.when(n % 3 == 0, block).when(n % 3 == 1, span).otherwise(F.lit("<article>")))
-    books = p.extract_books(b.table(spark, d, "pages").select("page_id", html.alias("html")))
+    books = p.extract_books(b.table(spark, d, "pages").select("page_id", html.alias("html")), fields=["Point"])
     return books.select("page_id", F.col("Point").alias("point"))
 
 
 STATE_SQL = f"""
-    SELECT d.doc_id, {b.strip_sql('d.text')} AS title_text, {b.strip_sql('d.text')} AS description, d.source AS genres,
+    SELECT d.doc_id, coalesce(c.sheet, 0) AS sheet, {b.strip_sql('d.text')} AS title_text, {b.strip_sql('d.text')} AS description,
+           d.source AS genres,
            CASE WHEN d.doc_id % 6 = 0 THEN NULL WHEN lang = 'en' THEN 'English' ELSE upper(lang) END AS language,
            CAST((d.doc_id % 50) AS DOUBLE) / 10.0::DOUBLE AS point, n_chars AS ratings, n_chars % 100 AS reviews,
-           d.doc_id + 1 AS reading, d.doc_id + 3 AS wanted, c.authors, c.stars, c.likes, c.days, c.chars
-    FROM documents d JOIN (
-      SELECT conv_id,
+           d.doc_id + 1 AS reading, d.doc_id + 3 AS wanted, coalesce(c.authors, '') AS authors, coalesce(c.stars, 0) AS stars,
+           coalesce(c.likes, 0) AS likes, coalesce(c.days, '') AS days, coalesce(c.chars, 0) AS chars
+    FROM documents d LEFT JOIN (
+      SELECT conv_id, sheet,
              coalesce(string_agg(CASE role WHEN 'user' THEN 'Reader@/user/1' ELSE 'Anonymous@' END, ',' ORDER BY turn) FILTER (role <> 'system'), '') AS authors,
              CAST(coalesce(sum(turn % 5 + 1) FILTER (role <> 'system'), 0) AS BIGINT) AS stars,
              CAST(coalesce(sum(CASE WHEN turn % 2 = 1 THEN turn ELSE 0 END) FILTER (role <> 'system'), 0) AS BIGINT) AS likes,
              coalesce(string_agg(strftime(make_timestamp((turn + 1) * 86400000000), '%Y-%m-%d'), ',' ORDER BY turn) FILTER (role <> 'system'), '') AS days,
              CAST(coalesce(sum(length({b.strip_sql('text')})) FILTER (role <> 'system'), 0) AS BIGINT) AS chars
-      FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations)
-            WHERE n <= 3)
-      GROUP BY conv_id) c ON c.conv_id = d.doc_id"""
+      FROM (SELECT *, turn // {b.TURNS} AS sheet, row_number() OVER (PARTITION BY conv_id, turn // {b.TURNS} ORDER BY turn) AS n
+            FROM conversations)
+      WHERE n <= {p.MAX_REVIEWS} GROUP BY conv_id, sheet) c ON c.conv_id = d.doc_id"""
 
 
 @query("embedded_state_books", STATE_SQL)
 def embedded_state_books(spark, d):
-    """All fields from embedded state; three reviews a page, cut before unresolved ones go."""
-    books = p.extract_books(b.state_pages(spark, d), n_reviews=3)
+    """All fields from embedded state; ten reviews a page, cut before unresolved ones go."""
+    books = p.extract_books(b.state_pages(spark, d))
     total = lambda values: F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return books.select(
         F.col("pos").alias("doc_id"),
+        "sheet",
         F.btrim("Title", F.lit(b.WHITESPACE)).alias("title_text"),
         F.col("Desc").alias("description"),
         F.array_join("Genre", ",").alias("genres"),

@@ -48,13 +48,28 @@ def count_isbns(spark, d):
     return distinct_isbn_count(novel_isbns(r.edition_json(b.edition_lines(spark, d)), **TERMS))
 
 
+# The last digit of a part's key, which its second ISBN ends with.
+MALFORMED_SQL = "(p_partkey % 10 IN (1, 2, 3))"
+
+
 @query("novel_counters", f"""WITH {b.EDITIONS_SQL}
-    SELECT count(*) FILTER (regexp_matches(subjects, 'widget|gear|ring')) AS parsed, CAST(0 AS BIGINT) AS malformed,
-           count(*) FILTER (regexp_matches(subjects, 'widget|gear|ring') AND regexp_matches(subjects, 'rod|promo')) AS excluded,
-           (SELECT count(DISTINCT isbn) FROM novels) AS isbns
+    SELECT count(*) FILTER (regexp_matches(subjects, 'widget|gear|ring')) AS parsed,
+           count(*) FILTER (regexp_matches(subjects, 'widget|gear|ring') AND {MALFORMED_SQL}) AS malformed,
+           count(*) FILTER (regexp_matches(subjects, 'widget|gear|ring') AND regexp_matches(subjects, 'rod|promo') AND NOT {MALFORMED_SQL}) AS excluded,
+           count(DISTINCT isbn) FILTER (regexp_matches(subjects, 'widget|gear|ring') AND NOT regexp_matches(subjects, 'rod|promo') AND NOT {MALFORMED_SQL}) AS isbns
     FROM editions""")
 def counters_of_novels(spark, d):
-    return novel_counters(r.edition_json(b.edition_lines(spark, d)), **TERMS)
+    """Texts that end early, go on after the object, or quote with apostrophes are malformed."""
+    editions = r.edition_json(b.edition_lines(spark, d))
+    isbn = F.get_json_object("json", "$.isbn_10[0]")
+    kind = F.substring(F.btrim(isbn), -1, 1)
+    broken = (
+        F.when(kind == "1", F.expr("left(json, length(json) - 1)"))
+        .when(kind == "2", F.concat("json", F.lit(' {"more": 1}')))
+        .when(kind == "3", F.concat(F.lit("{'a': 1, "), F.expr("substring(json, 2)")))
+        .otherwise(F.col("json"))
+    )
+    return novel_counters(editions.select(broken.alias("json")), **TERMS)
 
 
 @query("raw_prefilter_json", """
@@ -67,13 +82,15 @@ def prefilter_props(spark, d):
 
 @query("english_isbn", f"""WITH {b.CATALOG_SQL}
     SELECT isbn, regexp_replace(asin, '[^0-9]', '', 'g') AS digits, isbn LIKE '9780%' OR isbn LIKE '9781%' AS is_english,
-           false AS asin_is_english FROM catalog""")
+           p_partkey % 4 IN (0, 1) AS short_is_english FROM catalog""")
 def english(spark, d):
+    """Long numbers, and short ones that begin with 0 to 3."""
+    key = F.col("book_id").cast("bigint")
     return b.catalog(spark, d).select(
         "isbn",
         digits_only("asin").alias("digits"),
         is_english_isbn("isbn").alias("is_english"),
-        is_english_isbn("asin").alias("asin_is_english"),
+        is_english_isbn(F.concat((key % 4).cast("string"), F.lpad("book_id", 9, "0"))).alias("short_is_english"),
     )
 
 
@@ -131,9 +148,10 @@ def normalize_both(spark, d):
     )
 
 
-@query("surrogate_ids")
+@query("surrogate_ids", f"""WITH {b.BOOKS_SQL}
+    SELECT isbn AS "ISBN", CAST(CAST('0x' || substring(md5(title), 1, 15) AS BIGINT) AS VARCHAR) AS book_id FROM books""")
 def surrogate_ids(spark, d):
-    """Ids of records that come without one; the hash has no SQL twin."""
+    """Ids of records that come without one."""
     return b.books(spark, d).select("ISBN", surrogate_id("Title").alias("book_id"))
 
 

@@ -11,6 +11,7 @@ from foliant.operators.predicates import SearchSpec, apply_spec
 from foliant.operators.ranking import page, page_summary, result_position, sort_keys, sort_results
 from foliant.operators.summaries import catalog_status, match_count
 from foliant.plans.search import fetch_full_records, lookup, scan_search, search, similar
+from foliant.schemas import RECORD_FIELDS, RECORD_NESTED
 from foliant.sources.writers import export_rows
 
 WITH = f"WITH {b.CATALOG_SQL}"
@@ -156,11 +157,15 @@ def scan_search_literal(spark, d):
     return scan_search(b.records(spark, d), spec).select("position", "book_id", "title")
 
 
-@query("scan_search_wildcard", f"""{WITH}
-    SELECT CAST(0 AS BIGINT) AS position, book_id, title FROM catalog WHERE contains(lower(title), 'r_d')""")
+@query("scan_search_wildcard", f"""{WITH}, found AS (
+      SELECT book_id, title, p_partkey FROM catalog WHERE p_partkey % 3 = 0 AND contains(lower(title), 'r'))
+    SELECT row_number() OVER (ORDER BY p_partkey) AS position, book_id, replace(title, 'r', 'r_%') AS title
+    FROM found ORDER BY p_partkey LIMIT 500""")
 def scan_search_wildcard(spark, d):
-    """A wildcard character is an ordinary one here, so nothing matches."""
-    return scan_search(b.records(spark, d), SearchSpec(title_query="r_d")).select("position", "book_id", "title")
+    """A wildcard character is an ordinary one here: only titles that hold it match."""
+    title = F.when(F.col("pos") % 3 == 0, F.replace("title", F.lit("r"), F.lit("r_%"))).otherwise(F.col("title"))
+    rows = b.records(spark, d).withColumn("title", title).withColumn("description", F.lit(""))
+    return scan_search(rows, SearchSpec(title_query="R_%", sort_by=None, limit=500)).select("position", "book_id", "title")
 
 
 @query("scan_first_matches", f"""{WITH}, found AS (
@@ -194,7 +199,7 @@ def similar_one_hop(spark, d):
 def full_records(spark, d):
     catalog = b.catalog(spark, d)
     spec = SearchSpec(is_ebook=True, limit=30)
-    found = fetch_full_records(search(catalog, spec), catalog, spec.limit)
+    found = fetch_full_records(search(catalog, spec), catalog)
     return found.select("position", "book_id", "description", F.array_join("author_ids", ",").alias("authors"))
 
 
@@ -232,6 +237,19 @@ def cards(spark, d):
     return styles[0].unionByName(styles[1])
 
 
+@query("cards_cut_and_grouped", f"""{WITH}
+    SELECT book_id, format('{{:,}}', ratings_count * 1003) AS ratings,
+           array_to_string(list_slice(list_concat(shelves, ['a', 'b', 'c', 'd', 'e']), 1, 5), ', ') AS shelves FROM catalog""")
+def cards_cut(spark, d):
+    """More than five shelves, and counts beyond a thousand."""
+    more = F.array(*[F.struct(F.lit("1").alias("count"), F.lit(x).alias("name")) for x in "abcde"])
+    records = b.records(spark, d).withColumns({
+        "popular_shelves": F.concat("popular_shelves", more),
+        "ratings_count": (F.col("ratings_count").cast("bigint") * 1003).cast("string"),
+    })
+    return result_cards(records, "card").select("book_id", "ratings", "shelves")
+
+
 @query("excerpt_documents", f"""
     WITH t AS (SELECT doc_id, {b.strip_sql("replace(text, chr(10), ' ')")} AS flat FROM documents)
     SELECT CAST(doc_id AS VARCHAR) AS book_id,
@@ -242,8 +260,9 @@ def excerpts(spark, d):
     docs = b.table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("book_id"), F.col("text").alias("description")
     )
-    empty = b.records(spark, d).limit(0).drop("pos")
-    return result_cards(empty.unionByName(docs, allowMissingColumns=True)).select("book_id", "description")
+    kinds = {name: RECORD_NESTED.get(name, "string") for name in RECORD_FIELDS}
+    rows = docs.select(*[F.col(n) if n in docs.columns else F.lit(None).cast(t).alias(n) for n, t in kinds.items()])
+    return result_cards(rows).select("book_id", "description")
 
 
 @query("book_detail", f"""{WITH}

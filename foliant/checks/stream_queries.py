@@ -11,9 +11,12 @@ from foliant.session import scratch
 from foliant.streaming import crawl as s
 
 
-def _stream(spark, d, name):
-    schema = b.table(spark, d, name).schema
-    return s.stream_pages(spark, d, schema, glob=f"{name}.parquet")
+def _landed(spark, rows):
+    """Rows written as four files, to be read one per batch in the order they were written."""
+    folder = scratch(spark, "landed")
+    for part in range(4):
+        rows.where(F.pmod(F.col("pos"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(folder)
+    return s.stream_pages(spark, folder, rows.schema, files_per_batch=1)
 
 
 def _finish(query) -> None:
@@ -25,8 +28,11 @@ def _finish(query) -> None:
     WHERE {b.title_key_sql("text")} IS NOT NULL""")
 def stream_dedup(spark, d):
     out, state = scratch(spark, "titles"), scratch(spark, "titles-state")
-    docs = _stream(spark, d, "documents").select("doc_id", F.col("text").alias("Title"))
-    _finish(s.run(s.stream_dedup_titles(docs).select("title_key"), state, out))
+    docs = b.table(spark, d, "documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("Title"))
+    stream = _landed(spark, docs)
+    # The second run finds the state of the first and nothing new.
+    for _ in range(2):
+        _finish(s.run(s.stream_dedup_titles(stream).select("title_key"), state, out))
     return spark.read.parquet(out)
 
 
@@ -35,9 +41,7 @@ def stream_dedup(spark, d):
 def stream_counts(spark, d):
     """Running counts in complete mode; the last state is the result."""
     out, state = scratch(spark, "counts"), scratch(spark, "counts-state")
-    pages = scratch(spark, "landed")
-    b.crawled_pages(spark, d).write.parquet(pages)
-    stream = s.stream_pages(spark, pages, spark.read.parquet(pages).schema)
+    stream = _landed(spark, b.crawled_pages(spark, d))
     judged = judge_pages(stream).select(F.coalesce("disposition", F.lit("open")).alias("disposition"))
 
     def keep(batch, batch_id):
@@ -47,14 +51,14 @@ def stream_counts(spark, d):
     return spark.read.parquet(out)
 
 
-@query("stream_triage_store", f"""WITH {b.PAGES_SQL}
-    SELECT isbn, title FROM triaged WHERE disposition = 'saved'""")
+@query("stream_triage_store", f"""WITH {b.PAGES_SQL}, landed AS (
+      SELECT *, row_number() OVER (PARTITION BY early, lower(title) ORDER BY page_id % 4, page_id) AS n FROM judged)
+    SELECT isbn, title FROM landed WHERE early IS NULL AND n = 1""")
 def stream_store(spark, d):
     """Landed pages through the stateless triage into the store of books."""
     store, state = scratch(spark, "store"), scratch(spark, "store-state")
-    pages = scratch(spark, "landed")
-    b.crawled_pages(spark, d).write.parquet(pages)
-    stream = s.stream_pages(spark, pages, spark.read.parquet(pages).schema)
-    _finish(s.run(s.stream_triage(stream), state, batch=s.store_sink(store, order="pos")))
+    stream = _landed(spark, b.crawled_pages(spark, d))
+    for _ in range(2):
+        _finish(s.run(s.stream_triage(stream), state, batch=s.store_sink(store, order="pos")))
     books = spark.read.schema("ISBN string, Title string").json(f"{store}/books")
     return books.select(F.col("ISBN").alias("isbn"), F.col("Title").alias("title"))

@@ -14,6 +14,19 @@ def json_parse(c: Column | str, lenient: bool = False) -> Column:
     return F.try_parse_json(col(c))
 
 
+def one_json(c: Column | str, lenient: bool = False) -> Column:
+    """Whether nothing follows the JSON value a text starts with.
+
+    Parsers stop at the end of the first value. Only texts in which a closing brace is
+    followed by something else than the structure allows are looked at twice.
+    """
+    text = col(c)
+    suspect = text.rlike(r"\}\s*[^\s,\]\}]|\}\s*,[^\[\{]*\{")
+    plain = F.regexp_replace(text, r"[\x00-\x1f]", " ") if lenient else text
+    alone = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    return F.when(suspect, F.coalesce(alone, F.lit(False))).otherwise(True)
+
+
 def json_path(v: Column | str, path: str, type_: str) -> Column:
     """Typed value below ``path`` of a VARIANT; NULL if absent or of another type."""
     return F.try_variant_get(col(v), path, type_)

@@ -92,9 +92,10 @@ def startswith_any(text: Column, prefixes: Iterable[str]) -> Column:
 
 
 def epoch_ms_to_date(ms: Column | str) -> Column:
-    """Epoch milliseconds -> ``yyyy-MM-dd``; 0 and NULL -> NULL."""
+    """Epoch milliseconds -> ``yyyy-MM-dd`` in UTC, whatever the session's zone; 0 and NULL -> NULL."""
     value = F.nullif(col(ms), F.lit(0))
-    return F.date_format(F.timestamp_millis(value), "yyyy-MM-dd")
+    day = ((value - F.pmod(value, F.lit(86_400_000))) / 86_400_000).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), day).cast("string")
 
 
 def excerpt(c: Column | str, size: int) -> Column:
@@ -185,8 +186,3 @@ def html_unescape_all(c: Column | str) -> Column:
 def clean_html(c: Column | str) -> Column:
     """Tags out, entities decoded, stripped; NULL -> ''."""
     return F.coalesce(strip(html_unescape(drop_tags(c))), F.lit(""))
-
-
-def clean_html_common(c: Column | str) -> Column:
-    """``clean_html`` for text known to hold the common entities only (no Python)."""
-    return F.coalesce(strip(unescape_common(drop_tags(c))), F.lit(""))

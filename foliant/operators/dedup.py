@@ -25,7 +25,11 @@ def keep_first(df: DataFrame, key: str | list[str], order: str | list[str]) -> D
 
 
 def first_n(df: DataFrame, key: str | list[str], order: str | list[str], n: int) -> DataFrame:
-    """First ``n`` rows per key."""
+    """First ``n`` rows per key.
+
+    Up to n = 1000 (``spark.sql.optimizer.windowGroupLimitThreshold``) rows are cut before
+    the shuffle; with a larger n a key's rows meet in one task first.
+    """
     return _ranked(df, key, [F.asc(c) for c in _listed(order)], n)
 
 

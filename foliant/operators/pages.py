@@ -8,7 +8,9 @@ Python step is one Arrow batch that decodes rare entities.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,7 +22,7 @@ from foliant.operators.pinning import pinned
 from foliant.schemas import REVIEW
 
 # Where a page keeps its state, and the names used inside it.
-STATE_SCRIPT = r'(?is)<script\b[^>]*\bid\s*=\s*["\'](?-i:__NEXT_DATA__)["\'][^>]*>(.*?)</script\s*>'
+STATE_ID = "__NEXT_DATA__"
 STATE_SCHEMA = "props struct<pageProps:struct<apolloState:map<string,string>>>"
 STRIPPED_DESCRIPTION = """$['description({"stripped":true})']"""
 SIGNAL_TYPE = "SocialSignal"
@@ -45,12 +47,31 @@ def without_scripts(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>", "")
 
 
+# The rest of a start tag: a quoted value may hold a closing bracket. Possessive, so
+# that no page makes the pattern go back.
+REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+
+
 def attribute(name: str, value: str) -> str:
-    return rf'\b{name}\s*=\s*["\'](?-i:{value})["\']'
+    """An attribute with this whole name whose value matches; quoted or not."""
+    return rf"""{name}\s*=\s*(?:"(?-i:{value})"|'(?-i:{value})'|(?-i:{value})(?=[\s/>]))"""
 
 
 def class_token(token: str) -> str:
-    return rf'\bclass\s*=\s*["\'](?-i:(?:[^"\']*\s)?{token}(?:\s[^"\']*)?)["\']'
+    one = rf"(?:{{0}}*\s)?{token}(?:\s{{0}}*)?"
+    double, single = one.format('[^"]'), one.format("[^']")
+    return rf"""class\s*=\s*(?:"(?-i:{double})"|'(?-i:{single})'|(?-i:{token})(?=[\s/>]))"""
+
+
+def start_tag(tag: str, having: str = "") -> str:
+    """Pattern of a whole start tag, of one with an attribute that matches ``having``."""
+    if not having:
+        return rf"<{tag}(?=[\s/>]){REST}>"
+    before = rf"""(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s(?!{having}))*+"""
+    return rf"<{tag}(?=[\s/>]){before}\s{having}{REST}>"
+
+
+STATE_SCRIPT = rf"(?is){start_tag('script', attribute('id', STATE_ID))}(.*?)</script\s*>"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -64,8 +85,7 @@ def from_element(html: Column, tag: str, having: str = "", word: str = "") -> Co
     ``word`` is a text every match holds: a plain search for it spares most pages
     the pattern.
     """
-    start = rf"<{tag}\b[^>]*{having}[^>]*>" if having else rf"<{tag}\b[^>]*>"
-    found = F.regexp_substr(html, F.lit(rf"(?is){start}.*"))
+    found = F.regexp_substr(html, F.lit(rf"(?is){start_tag(tag, having)}.*"))
     return F.when(F.contains(html, F.lit(word)), found) if word else found
 
 
@@ -102,20 +122,23 @@ def element(html: Column, tag: str, having: str = "", word: str = "") -> Column:
 
 def flat_element(html: Column, tag: str, having: str = "") -> Column:
     """``element`` for kinds that cannot be nested: it ends at the next end tag."""
-    return F.regexp_substr(html, F.lit(rf"(?is)<{tag}\b[^>]*{having}[^>]*>.*?(?:</{tag}\s*>|\z)"))
+    return F.regexp_substr(html, F.lit(rf"(?is){start_tag(tag, having)}.*?(?:</{tag}\s*>|\z)"))
 
 
 def meta_content(html: Column, having: str) -> Column:
     """``content`` of the first matching ``<meta>``: '' if it has none, NULL without such a tag."""
-    tag = F.regexp_substr(html, F.lit(rf"(?is)<meta\b[^>]*{having}[^>]*>"))
-    double = F.regexp_extract(tag, r'(?is)\bcontent\s*=\s*"([^"]*)"', 1)
-    single = F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*'([^']*)'", 1)
-    return F.coalesce(blank_to_null(double), single)
+    tag = F.regexp_substr(html, F.lit(rf"(?is){start_tag('meta', having)}"))
+    # Up to the attribute that is called content, not one whose name ends so.
+    before = r"""(?is)^<meta(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s(?!content\s*=))*+\scontent\s*=\s*"""
+    double = F.regexp_extract(tag, before + '"([^"]*)"', 1)
+    single = F.regexp_extract(tag, before + "'([^']*)'", 1)
+    bare = F.regexp_extract(tag, before + r"""([^\s"'>]+)""", 1)
+    return F.coalesce(blank_to_null(double), blank_to_null(single), bare)
 
 
 def markup_text(fragment: Column) -> Column:
     """Text of a fragment, entities still encoded."""
-    return F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
+    return F.regexp_replace(fragment, rf"(?s)</?[a-zA-Z!?]{REST}>", "")
 
 
 def title_markup(html: Column) -> Column:
@@ -144,7 +167,8 @@ def description_meta(html: Column) -> Column:
 
 def link_markup(html: Column, href_contains: str = GENRE_HREF) -> Column:
     """Texts of all links whose target contains ``href_contains``, entities still encoded."""
-    link = rf'(?is)<a\b[^>]*\bhref\s*=\s*["\'](?-i:[^"\']*\Q{href_contains}\E[^"\']*)["\'][^>]*>(.*?)</a\s*>'
+    target = rf"""href\s*=\s*(?:"(?-i:[^"]*\Q{href_contains}\E[^"]*)"|'(?-i:[^']*\Q{href_contains}\E[^']*)'|(?-i:[^\s"'>]*\Q{href_contains}\E[^\s"'>]*))"""
+    link = rf"(?is){start_tag('a', target)}(.*?)</a\s*>"
     found = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(1)), markup_text)
     return F.when(F.contains(html, F.lit(href_contains)), found).otherwise(F.array().cast("array<string>"))
 
@@ -245,7 +269,9 @@ def resolve_reviews(pages: DataFrame, n: int = MAX_REVIEWS) -> DataFrame:
     return pages.withColumn("_reviews", reviews).drop("_root", "_nodes")
 
 
-def state_fields(pages: DataFrame, html: str = "html", n_reviews: int = MAX_REVIEWS) -> DataFrame:
+def state_fields(
+    pages: DataFrame, html: str = "html", n_reviews: int = MAX_REVIEWS, with_reviews: bool = True
+) -> DataFrame:
     """Add the fields the embedded state gives, as columns with a leading '_'."""
     pages = pages.withColumn("_state", embedded_state(html))
     pages = pages.withColumns(
@@ -273,66 +299,82 @@ def state_fields(pages: DataFrame, html: str = "html", n_reviews: int = MAX_REVI
             "_wanted": F.coalesce(social_signal("_state", WANT_TO_READ), zero),
         }
     )
-    return resolve_reviews(pages, n_reviews).drop("_state", "_book", "_work")
+    if with_reviews:
+        pages = resolve_reviews(pages, n_reviews)
+    return pages.drop("_state", "_book", "_work")
 
 
 def extract_books(
-    pages: DataFrame, html: str = "html", genre_href: str = GENRE_HREF, n_reviews: int = MAX_REVIEWS
+    pages: DataFrame,
+    html: str = "html",
+    genre_href: str = GENRE_HREF,
+    n_reviews: int = MAX_REVIEWS,
+    fields: Sequence[str] = tuple(RECORD),
 ) -> DataFrame:
-    """Add the ten fields of a book record to each page; ``html`` itself is dropped."""
+    """Add ``fields`` of a book record to each page; ``html`` itself is dropped.
+
+    Only what the fields need is built: without ``Review`` no reviews are resolved, and
+    without texts to decode no row goes through Python.
+    """
+    unknown = set(fields) - set(RECORD)
+    if unknown:
+        raise ValueError(f"no such fields: {sorted(unknown)}")
+    wanted = set(fields)
     keep = [F.col(c) for c in pages.columns if c != html]
-    known = state_fields(pages, html, n_reviews)
+    known = state_fields(pages, html, n_reviews, "Review" in wanted)
+    no_title = blank_to_null("_title").isNull()
     no_genres = F.coalesce(F.size("_genres") == 0, F.lit(True))
     no_desc = F.col("_desc").isNull() & F.col("_raw_desc").isNull()
     falsy = lambda c: F.coalesce(F.col(c) == 0, F.lit(True))
-    incomplete = (
-        blank_to_null("_title").isNull() | no_desc | no_genres | falsy("_point") | falsy("_ratings")
-        | falsy("_text_reviews") | falsy("_reading") | falsy("_wanted")
-    )
+    gaps = {
+        "Title": no_title, "Desc": no_desc, "Genre": no_genres, "Point": falsy("_point"), "RatingsCount": falsy("_ratings"),
+        "ReviewsCount": falsy("_text_reviews"), "CurrentlyReadingCount": falsy("_reading"), "WantToReadCount": falsy("_wanted"),
+    }
+    incomplete = reduce(or_, [gap for name, gap in gaps.items() if name in wanted], F.lit(False))
     # Pages whose state is complete never have their markup looked at.
     known = known.withColumn("_dom", F.when(incomplete, without_scripts(F.col(html))))
-    dom = F.col("_dom")
-    links = F.when(no_genres, link_markup(dom, genre_href))
-    links = F.coalesce(links, F.array().cast(EMPTY_TEXTS))
-    raw = F.concat(
-        F.array(
-            F.when(blank_to_null("_title").isNull(), title_markup(dom)),
-            F.when(F.col("_desc").isNull(), drop_tags("_raw_desc")),
-            F.when(no_desc, description_markup(dom)),
-            F.when(no_desc, description_meta(dom)),
-        ),
-        links,
-        F.transform("_reviews", lambda r: drop_tags(r["Text"])),
-    )
-    known = known.withColumns(
-        {
-            "_raw": raw,
-            "_n_links": F.size(links),
-            "_dom_point": F.when(falsy("_point"), rating_markup(dom)),
-            "_ratings": F.when(falsy("_ratings"), count_markup(dom, "span", "ratingsCount")).otherwise(F.col("_ratings")),
-            "_text_reviews": F.when(falsy("_text_reviews"), count_markup(dom, "span", "reviewsCount")).otherwise(F.col("_text_reviews")),
-            "_reading": F.when(falsy("_reading"), count_markup(dom, "div", "currentlyReadingSignal")).otherwise(F.col("_reading")),
-            "_wanted": F.when(falsy("_wanted"), count_markup(dom, "div", "toReadSignal")).otherwise(F.col("_wanted")),
-        }
-    )
-    known = known.drop("_dom", html).withColumn("_plain", F.transform(html_unescape_all("_raw"), strip))
+    dom, none = F.col("_dom"), F.array().cast(EMPTY_TEXTS)
+    links = F.coalesce(F.when(no_genres, link_markup(dom, genre_href)), none) if "Genre" in wanted else none
+    # Texts whose entities are decoded together: title, three descriptions, links, reviews.
+    parts = [F.lit(None).cast("string")] * 4
+    if "Title" in wanted:
+        parts[0] = F.when(no_title, title_markup(dom))
+    if "Desc" in wanted:
+        parts[1] = F.when(F.col("_desc").isNull(), drop_tags("_raw_desc"))
+        parts[2] = F.when(no_desc, description_markup(dom))
+        parts[3] = F.when(no_desc, description_meta(dom))
+    texts = [F.array(*parts), links]
+    if "Review" in wanted:
+        texts.append(F.transform("_reviews", lambda r: drop_tags(r["Text"])))
+    counts = {
+        "RatingsCount": ("_ratings", "span", "ratingsCount"), "ReviewsCount": ("_text_reviews", "span", "reviewsCount"),
+        "CurrentlyReadingCount": ("_reading", "div", "currentlyReadingSignal"), "WantToReadCount": ("_wanted", "div", "toReadSignal"),
+    }
+    found = {c: F.when(falsy(c), count_markup(dom, tag, testid)).otherwise(F.col(c)) for name, (c, tag, testid) in counts.items() if name in wanted}
+    if "Point" in wanted:
+        found["_dom_point"] = F.when(falsy("_point"), rating_markup(dom))
+    decoded = wanted & {"Title", "Desc", "Genre", "Review"}
+    if decoded:
+        found |= {"_raw": F.concat(*texts), "_n_links": F.size(links)}
+    known = known.withColumns(found).drop("_dom", html) if found else known.drop("_dom", html)
+    if decoded:
+        known = known.withColumn("_plain", F.transform(html_unescape_all("_raw"), strip))
     plain = lambda i: blank_to_null(F.get("_plain", F.lit(i)))
-    texts = F.slice("_plain", F.col("_n_links") + 5, F.size("_reviews"))
-    reviews = F.zip_with("_reviews", texts, lambda r, t: r.withField("Text", t))
-    no_texts = F.array().cast(EMPTY_TEXTS)
-    books = known.select(
-        *keep,
-        F.coalesce(blank_to_null("_title"), plain(0)).alias("Title"),
-        F.coalesce("_desc", plain(1), plain(2), plain(3)).alias("Desc"),
-        F.when(no_genres, F.coalesce(distinct_texts(F.slice("_plain", F.lit(5), F.col("_n_links"))), no_texts))
-        .otherwise(F.col("_genres"))
-        .alias("Genre"),
-        reviews.alias("Review"),
-        F.coalesce(F.nullif("_point", F.lit(0.0)), F.col("_dom_point"), F.lit(0.0)).alias("Point"),
-        F.col("_language").alias("Language"),
-        F.col("_ratings").alias("RatingsCount"),
-        F.col("_text_reviews").alias("ReviewsCount"),
-        F.col("_reading").alias("CurrentlyReadingCount"),
-        F.col("_wanted").alias("WantToReadCount"),
-    )
-    return pinned(books)
+
+    def genres() -> Column:
+        by_link = F.coalesce(distinct_texts(F.slice("_plain", F.lit(5), F.col("_n_links"))), none)
+        return F.when(no_genres, by_link).otherwise(F.col("_genres"))
+
+    def reviews() -> Column:
+        own = F.slice("_plain", F.col("_n_links") + 5, F.size("_reviews"))
+        return F.zip_with("_reviews", own, lambda r, t: r.withField("Text", t))
+
+    values: dict[str, Callable[[], Column]] = {
+        "Title": lambda: F.coalesce(blank_to_null("_title"), plain(0)),
+        "Desc": lambda: F.coalesce("_desc", plain(1), plain(2), plain(3)),
+        "Genre": genres,
+        "Review": reviews,
+        "Point": lambda: F.coalesce(F.nullif("_point", F.lit(0.0)), F.col("_dom_point"), F.lit(0.0)),
+        "Language": lambda: F.col("_language"),
+    } | {name: (lambda c=c: F.col(c)) for name, (c, _, _) in counts.items()}
+    return pinned(known.select(*keep, *[values[name]().alias(name) for name in RECORD if name in wanted]))

@@ -8,7 +8,6 @@ from foliant.functions.isbn import (
     BLOCKED_MARK, blocked_isbn, blocked_isbn_fallback, is_english_isbn,
 )
 from foliant.operators.pinning import pinned
-from foliant.schemas import DISPOSITIONS
 
 
 def processed_isbns(*sets: DataFrame) -> DataFrame:
@@ -87,8 +86,3 @@ def collect_dispositions(dispositions: DataFrame, digits: int = 2) -> DataFrame:
     return dispositions.groupBy("disposition", chunk).agg(
         F.sort_array(F.collect_set("isbn")).alias("isbns")
     )
-
-
-def only(dispositions: DataFrame, disposition: str) -> DataFrame:
-    assert disposition in DISPOSITIONS
-    return dispositions.where(F.col("disposition") == disposition)

@@ -28,12 +28,13 @@ SEPARATOR = "\x01"
 
 
 def subjects_lower(subjects: Column | str) -> Column:
+    """The subjects in lower case, one by one; ``subjects_text`` joins them for the term search."""
     return F.transform(subjects, F.lower)
 
 
 def subjects_text(subjects: Column | str) -> Column:
     """All subjects as one lower-cased text, so that a term is searched once."""
-    return F.lower(F.array_join(subjects, SEPARATOR))
+    return F.array_join(subjects_lower(subjects), SEPARATOR)
 
 
 def include_subjects(text: Column, terms: Iterable[str] = INCLUDE_TERMS) -> Column:

@@ -41,6 +41,19 @@ def observe_ingest(records: DataFrame, observation: Observation | str) -> DataFr
     )
 
 
+def observe_parsing(raw: DataFrame, observation: Observation | str) -> DataFrame:
+    """Count the texts that were no record, and drop them; for readers with ``keep_malformed``."""
+    counted = raw.observe(observation, F.count_if(F.col("plain").isNull()).alias("parse_errors"))
+    return counted.where(F.col("plain").isNotNull())
+
+
+def parse_summary(raw: DataFrame) -> DataFrame:
+    """``records`` and ``parse_errors`` of what a reader with ``keep_malformed`` gives."""
+    return raw.agg(
+        F.count_if(F.col("plain").isNotNull()).alias("records"), F.count_if(F.col("plain").isNull()).alias("parse_errors")
+    )
+
+
 def ingest_counters(records: DataFrame) -> DataFrame:
     return records.agg(
         F.count(F.lit(1)).alias("read"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from foliant.operators.dedup import keep_last_by_id
 from foliant.operators.normalize import has_book_id, normalize_books, to_catalog
-from foliant.operators.summaries import observe_ingest
+from foliant.operators.summaries import observe_ingest, observe_parsing
 from foliant.sources.readers import read_books
 from foliant.sources.writers import write_catalog
 
@@ -30,8 +30,8 @@ def catalog_of(records: DataFrame, observation: Observation | None = None, with_
 def build_catalog_files(
     spark: SparkSession, source: str, target: str, format: str = "auto"
 ) -> dict[str, int]:
-    """Rebuild the catalog at ``target``; returns the counters read, indexed, skipped."""
-    counters = Observation("ingest")
-    raw = read_books(spark, source, format)
-    write_catalog(build_catalog(raw, counters), target)
-    return counters.get
+    """Rebuild the catalog at ``target``; returns the counters read, indexed, skipped, parse_errors."""
+    counters, errors = Observation("ingest"), Observation("parse")
+    raw = read_books(spark, source, format, keep_malformed=True)
+    write_catalog(build_catalog(observe_parsing(raw, errors), counters), target)
+    return counters.get | errors.get

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foliant.functions.text import blank_to_null, title_key
 from foliant.operators import triage as t
@@ -13,9 +13,11 @@ from foliant.operators.dedup import flag_first
 from foliant.operators.normalize import backfill_language
 from foliant.operators.pages import GENRE_HREF, RECORD, extract_books
 from foliant.operators.sets import (
-    blocked_isbns, processed_isbns, restore_blocked, resume_queue, split_queue, still_failed,
+    blocked_isbns, merge_checkpoint, processed_isbns, restore_blocked, resume_queue, split_queue, still_failed,
 )
 from foliant.session import materialize
+from foliant.sources.readers import read_checkpoint, read_scraped_books
+from foliant.sources.writers import CSV, checkpoint_objects, path_exists, replace_table, rewrite_clean_books, scraped_csv_rows
 
 
 def judge_pages(pages: DataFrame, genre_href: str = GENRE_HREF) -> DataFrame:
@@ -38,7 +40,8 @@ def judge_pages(pages: DataFrame, genre_href: str = GENRE_HREF) -> DataFrame:
     return books.withColumns(
         {
             "disposition": disposition,
-            "title_key": F.when(disposition.isNull(), title_key("Title")),
+            # A blank title is a title of its own: only the first such page is saved.
+            "title_key": F.when(disposition.isNull(), F.coalesce(title_key("Title"), F.lit(""))),
         }
     )
 
@@ -91,10 +94,11 @@ def new_dispositions(triaged: DataFrame) -> DataFrame:
 
 def flag_books(books: DataFrame) -> DataFrame:
     """Add ``bucket`` to stored books: keep, failed or non_english (which wins)."""
-    bucket = (
-        F.when(t.non_english_reload(), t.NON_ENGLISH).when(t.zero_data(), t.FAILED).otherwise("keep")
-    )
-    return books.withColumn("bucket", bucket)
+    return books.withColumn("bucket", flag_bucket())
+
+
+def flag_bucket() -> Column:
+    return F.when(t.non_english_reload(), t.NON_ENGLISH).when(t.zero_data(), t.FAILED).otherwise("keep")
 
 
 def clean_books(books: DataFrame) -> DataFrame:
@@ -108,8 +112,29 @@ def removed_isbns(books: DataFrame) -> DataFrame:
     return flagged.select(F.col("ISBN").alias("isbn"), F.col("bucket").alias("disposition"))
 
 
+def reload_store(spark: SparkSession, books: str, csv: str, checkpoint: str, chunks: int = 1) -> int:
+    """Clean a stored crawl: JSON and CSV are written anew, what goes is noted in the checkpoint.
+
+    Returns how many books went; if none did, nothing is touched. The checkpoint is
+    written first and the stores are swapped whole, so that a job that fails in between
+    can simply be run again.
+    """
+    stored = read_scraped_books(spark, books)
+    removed = materialize(removed_isbns(stored), "removed")
+    n = stored.agg(F.count_if(flag_bucket() != "keep")).head()[0]
+    if not n:
+        return 0
+    old = read_checkpoint(spark, checkpoint).select("isbn", "disposition") if path_exists(spark, checkpoint) else removed.limit(0)
+    noted = merge_checkpoint(old, removed)
+    replace_table(checkpoint_objects(noted, chunks), checkpoint, format="json")
+    kept = materialize(clean_books(stored), "kept-books")
+    replace_table(scraped_csv_rows(kept), csv, CSV, format="csv")
+    rewrite_clean_books(kept, n, books)
+    return n
+
+
 def stored_title_keys(books: DataFrame) -> DataFrame:
-    keys = books.select(title_key("Title").alias("title_key"))
+    keys = books.select(F.coalesce(title_key("Title"), F.when(F.col("Title").isNotNull(), F.lit(""))).alias("title_key"))
     return keys.where(F.col("title_key").isNotNull()).distinct()
 
 

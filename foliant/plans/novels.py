@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F
 
 from foliant.functions.isbn import preferred_isbn
+from foliant.functions.jsons import one_json
 from foliant.operators.subjects import (
     EXCLUDE_TERMS, INCLUDE_TERMS, PREFILTER_KEYS, PREFILTER_TERMS, exclude_subjects,
     include_subjects, raw_prefilter, subjects_text,
@@ -25,13 +26,12 @@ def parse_editions(
     ``malformed`` marks texts that are no JSON.
     """
     kept = raw_prefilter(editions, "json", keys, terms)
-    parsed = kept.select(
-        F.from_json("json", EDITION, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("e")
-    )
+    options = {"columnNameOfCorruptRecord": "_corrupt_record", "allowSingleQuotes": "false"}
+    parsed = kept.select(F.when(one_json("json"), F.from_json("json", EDITION, options)).alias("e"))
     return parsed.select(
         preferred_isbn("e.isbn_13", "e.isbn_10").alias("isbn"),
         subjects_text("e.subjects").alias("subjects"),
-        F.col("e._corrupt_record").isNotNull().alias("malformed"),
+        (F.col("e").isNull() | F.col("e._corrupt_record").isNotNull()).alias("malformed"),
     )
 
 

@@ -12,9 +12,6 @@ from foliant.operators.ranking import (
     limit_offset, result_position, scan_sort_keys, sort_keys, sort_results,
 )
 
-# A page of up to this many rows may be broadcast or named in a filter.
-SMALL_PAGE = 10_000
-
 
 def search(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """Page of typed catalog rows with their ``position``.
@@ -27,32 +24,24 @@ def search(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     return result_position(hits, sort_keys(spec.sort_by))
 
 
-def fetch_full_records(hits: DataFrame, records: DataFrame, limit: int) -> DataFrame:
-    """Full records of a page of hits, in page order.
-
-    ``limit`` bounds the page; only a page known to be small is broadcast.
-    """
-    page = hits.select("book_id", "position")
-    if limit <= SMALL_PAGE:
-        page = F.broadcast(page)
-    return records.join(page, "book_id").orderBy("position")
+def fetch_full_records(hits: DataFrame, records: DataFrame) -> DataFrame:
+    """Full records of a page of hits, in page order. The page is broadcast if it turns out small."""
+    return records.join(hits.select("book_id", "position"), "book_id").orderBy("position")
 
 
 def search_records(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """Page of full records in result order, lazily: top-k first, wide columns after."""
-    found = fetch_full_records(search(catalog, spec), catalog, spec.limit)
-    return found.select(*record_columns(), "position")
+    return fetch_full_records(search(catalog, spec), catalog).select(*record_columns(), "position")
 
 
 def search_page(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
-    """``search_records`` in two jobs: the ids of a small page become a pushed filter.
+    """``search_records`` in two jobs: the ids of the page become a pushed filter.
 
-    The second scan then skips every row group whose statistics or bloom filter
-    exclude the ids, instead of decoding the wide columns of the whole table.
+    The second scan then skips every row group whose statistics exclude the ids, instead of
+    decoding the wide columns of the whole table. The ids of one page pass through the
+    driver; take ``search_records`` for pages too large for that.
     """
-    if spec.limit > SMALL_PAGE:
-        return search_records(catalog, spec)
-    ids = [row.book_id for row in search(catalog, spec).select("book_id").collect()]
+    ids = [row.book_id for row in search(catalog, spec).select("book_id", "position").orderBy("position").collect()]
     found = catalog.where(F.col("book_id").isin(ids))
     place = F.array_position(F.array(*[F.lit(i) for i in ids]).cast("array<string>"), F.col("book_id"))
     return found.select(*record_columns(), place.alias("position")).orderBy("position")
@@ -81,8 +70,9 @@ def next_page(spec: SearchSpec) -> SearchSpec:
 
 
 def similar_edges(books: DataFrame) -> DataFrame:
-    """``similar_books`` lists -> one edge per row."""
-    return books.select("book_id", F.posexplode("similar_books").alias("rank", "similar_id"))
+    """``similar_books`` lists, here or in ``record`` as a catalog keeps them -> one edge per row."""
+    listed = "similar_books" if "similar_books" in books.columns else "record.similar_books"
+    return books.select("book_id", F.posexplode(listed).alias("rank", "similar_id"))
 
 
 def similar(books: DataFrame, catalog: DataFrame, book_id: str | None = None) -> DataFrame:

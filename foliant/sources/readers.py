@@ -1,4 +1,4 @@
-"""Sources. Every reader is a lazy scan; only ``detect_books_format`` looks at data.
+"""Sources. Readers are lazy scans; ``auto`` and checkpoints look at the kind of each file first.
 
 Readers of record files return ``(plain, scraped, pos)``, see ``_raw``.
 ``pos`` is ``STRUCT<file, block, row>`` and orders records as in the source: files
@@ -7,15 +7,19 @@ by name, splits by offset, and within one split the row counter only grows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from foliant.functions.jsons import has_key, json_parse, json_path
+from foliant.functions.jsons import has_key, json_parse, json_path, one_json
 from foliant.functions.text import strip
 from foliant.schemas import DISPOSITIONS, RAW_PLAIN, RAW_SCRAPED, SCRAPED_FIELDS, ddl
 
-# Record separator of an array written with an indent of two blanks. A raw line
-# feed cannot occur inside a JSON string, so this text only occurs between records.
+# Record separator of an array written with an indent of two blanks.
 INDENTED_SEPARATOR = "\n  },\n"
+# What surrounds a record on a line of its own. No part matches the empty text, after
+# which the next part would not be tried at the same place.
+ROW_FRAME = r"^\s*\[\s*|^\s+|\s*[,\]]\s*$|\s+$"
 
 
 def file_pos() -> list[Column]:
@@ -27,37 +31,46 @@ def source_pos() -> Column:
     return F.struct("file", "block", F.monotonically_increasing_id().alias("row")).alias("pos")
 
 
-def _raw(rows: DataFrame, plain: Column, v: Column) -> DataFrame:
+def _raw(rows: DataFrame, plain: Column, scraped: Column, keep_malformed: bool = False) -> DataFrame:
     """The fields of both record schemas, ``(plain, scraped, pos)``.
 
     ``scraped`` is NULL for records without a ``Title`` key. The row counter stands
     in the same projection: it keeps later filters from being pushed below it, which
     would parse every record once more for each of them.
     """
-    scraped = F.when(has_key(v, "Title"), json_path(v, "$", RAW_SCRAPED))
     raw = rows.select(plain.alias("plain"), scraped.alias("scraped"), source_pos())
-    return raw.where(F.col("plain").isNotNull())
+    return raw if keep_malformed else raw.where(F.col("plain").isNotNull())
 
 
-def raw_from_text(lines: DataFrame, text: Column, lenient: bool = False) -> DataFrame:
+def raw_from_text(lines: DataFrame, text: Column, lenient: bool = False, keep_malformed: bool = False) -> DataFrame:
     """JSON texts -> raw records; texts that are no JSON object give none.
 
     Texts are read straight into the plain schema. Only those that do not fit it (a
     list with an entry of another kind) or that name a ``Title`` are parsed as
-    VARIANT, which takes them field by field.
+    VARIANT, which takes them field by field. Quotes must be double, and nothing may
+    follow the object. With ``keep_malformed`` such texts are rows whose ``plain`` is NULL;
+    blank ones never are.
     """
-    options = {"columnNameOfCorruptRecord": "_misfit"}
+    options = {"columnNameOfCorruptRecord": "_misfit", "allowSingleQuotes": "false"}
     if lenient:
         options["allowUnquotedControlChars"] = "true"
-    texts = lines.select(strip(text).alias("text"), *file_pos())
-    is_object = F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}"))
+    texts = lines.select(strip(text).alias("text"), *file_pos()).where(F.length("text") > 0)
+    is_object = F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}")) & one_json("text", lenient)
     parsed = F.when(is_object, F.from_json("text", RAW_PLAIN, options))
     rows = texts.select("text", parsed.alias("parsed"), "file", "block")
     misfit = F.col("parsed._misfit").isNotNull()
     has_title = F.col("parsed").isNotNull() & F.contains("text", F.lit('"Title"'))
-    v = F.when(misfit | has_title, json_parse("text", lenient))
-    plain = F.when(misfit, json_path(v, "$", RAW_PLAIN)).otherwise(F.col("parsed"))
-    return _raw(rows, plain, v)
+    # A text that fits no schema may be malformed: then it gives no map either.
+    whole = {k: x for k, x in options.items() if k != "columnNameOfCorruptRecord"}
+    sound = ~misfit | F.when(misfit, F.from_json("text", "map<string,string>", whole)).isNotNull()
+    v = F.when((misfit | has_title) & sound, json_parse("text", lenient))
+    # Unless the session allows them, VARIANT refuses repeated keys. Structs keep the last one.
+    struct = F.when(v.isNull() & has_title & sound, F.from_json("text", RAW_SCRAPED, whole))
+    struct = F.when(struct["Title"].isNotNull(), struct)
+    plain = F.when(misfit, F.coalesce(json_path(v, "$", RAW_PLAIN), F.col("parsed"))).otherwise(F.col("parsed"))
+    plain = F.when(sound, plain)
+    scraped = F.coalesce(F.when(has_key(v, "Title"), json_path(v, "$", RAW_SCRAPED)), struct)
+    return _raw(rows, plain, scraped, keep_malformed)
 
 
 def read_edition_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -77,66 +90,130 @@ def edition_json(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(F.octet_length(head) < F.octet_length(line)).select(rest.alias("json"))
 
 
-def read_books_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines; blank and malformed lines are skipped."""
-    return raw_from_text(spark.read.text(path), F.col("value"))
+def read_books_jsonl(spark: SparkSession, path: str | list[str], keep_malformed: bool = False) -> DataFrame:
+    """JSON Lines; blank lines are skipped, malformed ones too unless asked for."""
+    return raw_from_text(spark.read.text(path), F.col("value"), keep_malformed=keep_malformed)
 
 
-def read_books_json_array(spark: SparkSession, path: str, layout: str = "rows") -> DataFrame:
+def read_books_json_array(
+    spark: SparkSession, path: str | list[str], layout: str = "rows", keep_malformed: bool = False
+) -> DataFrame:
     """One JSON array of records.
 
     ``rows``: one record per line, as an appending writer leaves it; splittable.
-    ``indented``: pretty-printed with an indent of two; splittable by its separator.
-    ``whole``: any other layout; each file is parsed by one task, as Spark's
-    ``multiLine`` does, so keep such files small or rewrite them as JSON Lines.
+    ``indented``: pretty-printed with an indent of two and no raw line feed inside a
+    text; splittable by its separator.
+    ``whole``: any other layout. Each file is cut into its records by one task, so
+    rewrite very large ones as JSON Lines; a file beyond the two gigabytes of one text
+    is an error.
     """
     if layout == "rows":
-        record = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]?\s*$", "")
-        return raw_from_text(spark.read.text(path), record, lenient=True)
+        record = F.regexp_replace("value", ROW_FRAME, "")
+        return raw_from_text(spark.read.text(path), record, True, keep_malformed)
     if layout == "indented":
         chunks = spark.read.option("lineSep", INDENTED_SEPARATOR).text(path)
         body = F.regexp_replace("value", r"^\s*\[\s*|\s*\}\s*\]\s*$", "")
-        record = F.concat(body, F.lit("\n}"))
-        return raw_from_text(chunks, record, lenient=True)
+        record = F.when(F.length(strip(body)) > 0, F.concat(body, F.lit("\n}"))).otherwise("")
+        return raw_from_text(chunks, record, True, keep_malformed)
     if layout == "whole":
-        files = (
-            spark.read.option("singleVariantColumn", "v")
-            .option("multiLine", True)
-            .option("allowUnquotedControlChars", True)
-            .json(path)
-        )
-        items = F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v")
-        rows = files.select(*file_pos(), items)
-        objects = rows.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")))
-        return _raw(objects, json_path("v", "$", RAW_PLAIN), F.col("v"))
+        # One file per row; the records stay texts, so that no value has to hold them all.
+        files = spark.read.text(path, wholetext=True).select("value", *file_pos())
+        texts = files.mapInPandas(_array_records(), "value string, file string, block long")
+        return raw_from_record_texts(texts, keep_malformed)
     raise ValueError(f"unknown array layout: {layout}")
 
 
-def detect_books_format(spark: SparkSession, path: str) -> str:
-    """``jsonl``, or the layout of an array: ``rows``, ``indented`` or ``whole``.
+def raw_from_record_texts(texts: DataFrame, keep_malformed: bool = False) -> DataFrame:
+    """``raw_from_text`` for ``value, file, block`` rows that carry their place themselves."""
+    meta = F.struct(F.col("file").alias("file_path"), F.col("block").alias("file_block_start")).alias("_metadata")
+    return raw_from_text(texts.select("value", meta), F.col("value"), True, keep_malformed)
+
+
+def _array_records():
+    """Cut the text of an array into the texts of its elements, in batches.
 
-    Looks at the first two non-blank lines only.
+    Built inside a function, so that it travels to the executors by value. What cannot
+    be read ends the file and is given as one row, which counts as malformed.
+    """
+
+    def cut(frames):
+        import json
+        import re
+
+        import pandas as pd
+
+        decode, gap = json.JSONDecoder(strict=False).raw_decode, re.compile(r"[\s,]*")
+
+        def elements(text):
+            at = gap.match(text).end()
+            if not text.startswith("[", at):
+                if text[at:].strip():
+                    yield text[at:]
+                return
+            at = gap.match(text, at + 1).end()
+            while at < len(text) and text[at] != "]":
+                try:
+                    end = decode(text, at)[1]
+                except ValueError:
+                    yield text[at : at + 1000]
+                    return
+                yield text[at:end]
+                at = gap.match(text, end).end()
+
+        for frame in frames:
+            for text, file, block in zip(frame["value"], frame["file"], frame["block"]):
+                batch = []
+                for record in elements(text):
+                    batch.append(record)
+                    if len(batch) == 5000:
+                        yield pd.DataFrame({"value": batch, "file": file, "block": block})
+                        batch = []
+                if batch:
+                    yield pd.DataFrame({"value": batch, "file": file, "block": block})
+
+    return cut
+
+
+def detect_books_formats(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """The files of each kind: ``jsonl``, ``rows`` or ``whole``.
+
+    A file that starts with a bracket is an array; it has ``rows`` if every line is a record of its
+    own. The texts are read once for it, as lines and without parsing; name the format
+    where that is known.
+    """
+    line = strip("value")
+    body = F.regexp_replace(line, ROW_FRAME, "")
+    record = F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}"))
+    own = (F.length(body) == 0) | (record & one_json(body, lenient=True))
+    lines = spark.read.text(path).select(line.alias("line"), own.alias("own"), *file_pos())
+    lines = lines.where(F.length("line") > 0).withColumn("row", F.monotonically_increasing_id())
+    first = F.min_by(F.startswith("line", F.lit("[")), F.struct("block", "row"))
+    files = lines.groupBy("file").agg(first.alias("array"), F.bool_and("own").alias("rows"))
+    found: dict[str, list[str]] = {}
+    for f in files.orderBy("file").collect():
+        kind = "jsonl" if not f["array"] else "rows" if f["rows"] else "whole"
+        found.setdefault(kind, []).append(f["file"])
+    return found
+
+
+def read_books(spark: SparkSession, path: str, format: str = "auto", keep_malformed: bool = False) -> DataFrame:
+    """Records of either file kind; ``format`` is ``auto``, ``jsonl`` or an array layout.
+
+    ``auto`` decides for each file of ``path`` on its own.
     """
-    lines = spark.read.text(path).where(F.length(strip("value")) > 0).limit(2).collect()
-    head = [line.value.strip() for line in lines]
-    if not head or not head[0].startswith("["):
-        return "jsonl"
-    if head[0] != "[" or len(head) < 2:
-        return "whole"
-    if head[1].rstrip(",").endswith("}"):
-        return "rows"
-    if head[1] == "{" and lines[1].value.rstrip() == "  {":
-        return "indented"
-    return "whole"
-
-
-def read_books(spark: SparkSession, path: str, format: str = "auto") -> DataFrame:
-    """Records of either file kind; ``format`` is ``auto``, ``jsonl`` or an array layout."""
-    if format == "auto":
-        format = detect_books_format(spark, path)
     if format == "jsonl":
-        return read_books_jsonl(spark, path)
-    return read_books_json_array(spark, path, format)
+        return read_books_jsonl(spark, path, keep_malformed)
+    if format != "auto":
+        return read_books_json_array(spark, path, format, keep_malformed)
+    kinds = detect_books_formats(spark, path)
+    parts = [
+        read_books_jsonl(spark, files, keep_malformed) if kind == "jsonl"
+        else read_books_json_array(spark, files, kind, keep_malformed)
+        for kind, files in kinds.items()
+    ]
+    if not parts:
+        return read_books_jsonl(spark, path, keep_malformed)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_isbn_list(spark: SparkSession, path: str) -> DataFrame:
@@ -153,11 +230,21 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     unreadable object gives none either. ``pos`` orders the entries of a list.
     """
     lists = ", ".join(f"{d}_isbns array<string>" for d in DISPOSITIONS)
-    first = spark.read.text(path).where(F.length(strip("value")) > 0).limit(1).collect()
-    one_per_line = bool(first) and first[0].value.strip().endswith("}")
-    objects = spark.read.schema(lists).option("multiLine", not one_per_line).json(path)
+    # Objects on lines of their own are read line by line; in files that hold other
+    # lines, the whole text is one object.
+    line = strip("value")
+    alone = F.startswith(line, F.lit("{")) & F.endswith(line, F.lit("}"))
+    lines = spark.read.text(path).select(line.alias("text"), alone.alias("alone"), *file_pos()).where(F.length("text") > 0)
+    kinds = lines.groupBy("file").agg(F.bool_and("alone").alias("alone")).collect()
+    parts = []
+    for one_per_line in (True, False):
+        files = [k["file"] for k in kinds if k["alone"] == one_per_line]
+        if files:
+            objects = spark.read.schema(lists).option("multiLine", not one_per_line).json(files)
+            parts.append(objects.select("*", *file_pos()))
+    objects = reduce(DataFrame.unionByName, parts) if parts else spark.read.schema(lists).json(path).select("*", *file_pos())
     entries = F.concat(*[_entries(d) for d in DISPOSITIONS])
-    rows = objects.select(*file_pos(), entries.alias("entries")).select(source_pos(), F.inline("entries"))
+    rows = objects.select("file", "block", entries.alias("entries")).select(source_pos(), F.inline("entries"))
     return rows.select("isbn", "disposition", F.struct("pos.*", "at").alias("pos"))
 
 

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliant.functions.jsons import to_json_text
 from foliant.functions.text import falsy_coalesce
 from foliant.schemas import DISPOSITIONS, SCRAPED_FIELDS
 
-CHECKPOINT_CHUNK = 100_000
 # Cells are written as they are: quotes doubled, blanks kept, NULL as nothing.
 CSV = {
     "header": True, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
-BLOOM_COLUMNS = ["book_id", "isbn", "isbn13", "asin"]
+BLOOM_COLUMNS = ["isbn", "isbn13", "asin"]
 
 
 def write_isbn_list(isbns: DataFrame, path: str, mode: str = "error") -> None:
@@ -63,40 +62,56 @@ def checkpoint_objects(dispositions: DataFrame, chunks: int) -> DataFrame:
     return dispositions.groupBy(chunk.alias("chunk")).agg(*lists).drop("chunk")
 
 
-def write_checkpoint(dispositions: DataFrame, path: str, mode: str = "error") -> None:
-    """Write the checkpoint as JSON objects of three lists.
+def write_checkpoint(dispositions: DataFrame, path: str, mode: str = "error", chunks: int = 1) -> None:
+    """Write the checkpoint as ``chunks`` JSON objects of three lists, one per line.
 
-    A checkpoint of up to ``CHECKPOINT_CHUNK`` entries is one object; a larger one
-    is split into one object per line, all of which the reader takes together.
+    One object holds its lists in one task: give about one chunk per 100,000 entries.
+    The reader takes all objects together.
     """
-    chunks = dispositions.count() // CHECKPOINT_CHUNK + 1
-    objects = checkpoint_objects(dispositions, chunks)
-    objects.write.mode(mode).json(path)
+    checkpoint_objects(dispositions, chunks).write.mode(mode).json(path)
 
 
 def write_catalog(catalog: DataFrame, path: str, sort_by: str | None = "book_id") -> None:
     """Rebuild the catalog table.
 
-    Rows are sorted within each file so that row groups carry narrow value ranges,
-    and the identifier columns get bloom filters: both let the scan skip row groups
-    for equality filters. Sorting inside partitions needs no further shuffle.
+    Files hold disjoint ranges of ``sort_by`` and are sorted by it, so that a lookup or a
+    page's late fetch opens the files of its ids only; that takes a shuffle of the
+    finished rows. The other identifiers get bloom filters of a size that fits their
+    values. With ``sort_by=None`` rows stay as they are.
     """
     if sort_by:
-        catalog = catalog.sortWithinPartitions(sort_by)
-    replace_table(catalog, path, {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_COLUMNS})
+        catalog = catalog.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_COLUMNS}
+    replace_table(catalog, path, blooms | {"parquet.bloom.filter.adaptive.enabled": "true"})
 
 
 def replace_table(df: DataFrame, path: str, options: dict[str, str] | None = None, format: str = "parquet") -> None:
-    """Write next to ``path``, then swap: the old table may be an input of ``df``."""
+    """Write next to ``path``, then swap: the old table may be an input of ``df``.
+
+    The old table is moved aside and only removed when the new one is in its place; it is
+    moved back if that fails.
+    """
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    mark = uuid.uuid4().hex
+    staged, aside = (f"{path.rstrip('/')}.{kind}-{mark}" for kind in ("staged", "old"))
     df.write.format(format).options(**(options or {})).save(staged)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     target = hadoop(path)
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(target, True)
+    had_one = files.exists(target)
+    if had_one and not files.rename(target, hadoop(aside)):
+        raise OSError(f"could not move {path} aside")
     if not files.rename(hadoop(staged), target):
+        if had_one:
+            files.rename(hadoop(aside), target)
         raise OSError(f"could not move {staged} to {path}")
+    if had_one:
+        files.delete(hadoop(aside), True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def rewrite_clean_books(kept: DataFrame, removed: int, path: str) -> bool:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foliant.functions.text import title_key
 from foliant.operators.pages import GENRE_HREF
-from foliant.plans.crawl import judge_pages, new_dispositions, numbered, saved_books, settle_duplicates
+from foliant.plans.crawl import judge_pages, new_dispositions, numbered, saved_books, settle_duplicates, stored_title_keys
 from foliant.sources.writers import CSV, scraped_csv_rows
 
 
@@ -34,9 +34,10 @@ def stream_triage(pages: DataFrame, genre_href: str = GENRE_HREF) -> DataFrame:
 def stream_dedup_titles(
     books: DataFrame, title: str = "Title", event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
-    """First row per title over the whole life of the query.
+    """One row per title over the whole life of the query.
 
-    The state grows with the number of distinct titles. With ``event_time`` and
+    Of several rows that come in one micro-batch any may be the one kept; ``store_sink``
+    keeps the first by its order. The state grows with the number of distinct titles. With ``event_time`` and
     ``delay`` it only spans that interval and stays bounded, at the price of
     letting a title through again after it.
     """
@@ -72,9 +73,7 @@ def store_sink(store: str, order: str = "isbn") -> Callable[[DataFrame, int], No
         books.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{store}/books/{part}")
         scraped_csv_rows(books).write.mode("overwrite").options(**CSV).csv(f"{store}/books_csv/{part}")
         new_dispositions(settled).write.mode("overwrite").parquet(f"{store}/checkpoint/{part}")
-        books.select(title_key("Title").alias("title_key")).write.mode("overwrite").parquet(
-            f"{store}/titles/{part}"
-        )
+        stored_title_keys(books).write.mode("overwrite").parquet(f"{store}/titles/{part}")
 
     return write
 
@@ -82,7 +81,10 @@ def store_sink(store: str, order: str = "isbn") -> Callable[[DataFrame, int], No
 def _titles_before(spark: SparkSession, store: str, batch_id: int) -> DataFrame | None:
     try:
         titles = spark.read.parquet(f"{store}/titles")
-    except AnalysisException:
+    except AnalysisException as error:
+        # Only a missing folder means that there are no titles yet.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return titles.where(F.col("batch") < batch_id).select("title_key")
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import Observation
+from pyspark.sql import Observation, functions as F
 
 from foliant.operators.normalize import surrogate_id
 from foliant.operators.summaries import catalog_status
@@ -9,6 +9,7 @@ from foliant.plans.catalog import build_catalog, build_catalog_files
 from foliant.plans.search import search_page, search_records
 from foliant.operators.predicates import SearchSpec
 from foliant.sources import readers as r
+from foliant.sources.writers import write_catalog
 
 
 def build(spark, write, records, name="books"):
@@ -116,3 +117,17 @@ def test_files_end_to_end(spark, write, tmp_path):
     assert [x.num_pages for x in lazy] == ["27", "26", "25", "24", "23"]
     assert lazy == eager
     assert lazy[0].similar_books == ["1"]
+
+
+def test_files_hold_disjoint_ranges(spark, tmp_path):
+    rows = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("book_id"), F.col("id").cast("string").alias("isbn"))
+    rows = rows.select("*", F.lit("").alias("isbn13"), F.lit("").alias("asin"))
+    path = str(tmp_path / "catalog")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_catalog(rows.repartition(8), path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min("book_id").alias("lo"), F.max("book_id").alias("hi"))
+    spans = [(r.lo, r.hi) for r in files.orderBy("lo").collect()]
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    size = sum(f.stat().st_size for f in (tmp_path / "catalog").glob("*.parquet"))
+    assert size < 2_000_000

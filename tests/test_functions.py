@@ -94,3 +94,13 @@ def test_json_defaults_tell_null_from_missing(spark):
     rows = ['{"a":null}', "{}", '{"a":3}']
     got = values(spark, rows, j.json_path_or(F.parse_json("c"), "$.a", "int", 7))
     assert got == [None, 7, 3]
+
+
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert values(spark, [86_400_000, -1, 1_500_000_000_123], t.epoch_ms_to_date("c"), "bigint") == [
+            "1970-01-02", "1969-12-31", "2017-07-14"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -136,3 +136,13 @@ def test_filters_stay_above_extraction(spark):
     plan = p.extract_books(df).where(F.col("Point") > 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate inline")
     assert plan.count("from_json(StructField(props") == 1
+
+
+def test_fields_only_build_what_they_need(spark):
+    pages = spark.createDataFrame([("1", "<h1 title='a > b'>Title</h1><div data-testid=toReadSignal>7 want</div>")], "isbn string, html string")
+    title = p.extract_books(pages, fields=["Title"])
+    assert title.columns == ["isbn", "Title"] and title.head().Title == "Title"
+    plan = title._jdf.queryExecution().toString()
+    assert "getReviews" not in plan and "toReadSignal" not in plan
+    counts = p.extract_books(pages, fields=["WantToReadCount"])
+    assert counts.head().WantToReadCount == 7 and "Python" not in counts._jdf.queryExecution().toString()

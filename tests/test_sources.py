@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from foliant.operators.normalize import normalize_books
+from foliant.operators.summaries import parse_summary
 from foliant.sources import readers as r, writers as w
 
 BOOKS = [
@@ -21,7 +22,7 @@ def test_jsonl_skips_what_is_no_object(spark, write):
     lines = [json.dumps(BOOKS[0]), "", "  ", "{broken", "3", "[1]", '"text"', json.dumps(BOOKS[1]), '{"a":1} x',
              json.dumps(BOOKS[2])]
     path = write("\n\n" + "\n".join(lines))
-    assert r.detect_books_format(spark, path) == "jsonl"
+    assert list(r.detect_books_formats(spark, path)) == ["jsonl"]
     assert titles(r.read_books(spark, path)) == ["One", "Two }, {", "Drei"]
 
 
@@ -41,10 +42,11 @@ def test_array_layouts(spark, write):
     }
     for layout, text in layouts.items():
         path = write("\n \n" + text, layout)
-        assert r.detect_books_format(spark, path) == layout
+        assert list(r.detect_books_formats(spark, path)) == ["rows" if layout == "rows" else "whole"]
         assert titles(r.read_books(spark, path)) == ["One", "Two }, {", "Drei"], layout
+        assert titles(r.read_books(spark, path, layout)) == ["One", "Two }, {", "Drei"], layout
     path = write(json.dumps(BOOKS, indent=4), "wide")
-    assert r.detect_books_format(spark, path) == "whole"
+    assert list(r.detect_books_formats(spark, path)) == ["whole"]
     assert titles(r.read_books(spark, path)) == ["One", "Two }, {", "Drei"]
 
 
@@ -52,6 +54,50 @@ def test_broken_array_gives_nothing(spark, write):
     assert titles(r.read_books(spark, write('[{"book_id":"1"', "broken"), "whole")) == []
 
 
+def test_kinds_of_files_and_records_between(spark, write, tmp_path):
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text("\n".join(json.dumps(b) for b in BOOKS[:2]))
+    (folder / "b.json").write_text("[" + json.dumps(BOOKS[2]) + ",\n" + json.dumps(BOOKS[0], indent=1) + "]")
+    (folder / "c.json").write_text(json.dumps(BOOKS[:2]))
+    kinds = r.detect_books_formats(spark, str(folder))
+    assert {k: len(v) for k, v in kinds.items()} == {"jsonl": 1, "whole": 2}
+    assert sorted(titles(r.read_books(spark, str(folder)))) == ["Drei", "One", "One", "One", "Two }, {", "Two }, {"]
+    feed = write('[\n  {\n    "book_id": "1",\n    "title": "a\nb"\n  }\n]', "feed")
+    assert titles(r.read_books(spark, feed)) == ["a\nb"]
+
+
+def test_malformed_texts_are_counted(spark, write):
+    lines = [json.dumps(BOOKS[0]), "{'book_id':'2'}", '{"book_id":"3"} {"book_id":"4"}', '{"book_id":"5"},{"book_id":"6"}', "[1]", "", json.dumps(BOOKS[1])]
+    raw = r.read_books_jsonl(spark, write("\n".join(lines)), keep_malformed=True)
+    assert parse_summary(raw).head().asDict() == {"records": 2, "parse_errors": 4}
+    cut = r.read_books(spark, write('[{"book_id":"1"}, {"book_id":', "cut"), keep_malformed=True)
+    assert parse_summary(cut).head().asDict() == {"records": 1, "parse_errors": 1}
+
+
+def test_array_beyond_one_variant_value(spark, tmp_path):
+    record = json.dumps({"book_id": "1", "title": "t", "description": "x" * 990})
+    path = tmp_path / "large"
+    with open(path, "w") as file:
+        file.write("[\n " + record)
+        for _ in range(139_999):
+            file.write(",\n " + record)
+        file.write("]")
+    assert path.stat().st_size > 138 << 20
+    assert r.read_books(spark, str(path), "whole").count() == 140_000
+
+
+def test_repeated_keys_in_any_session(spark, write):
+    path = write('{"Title":"a","Title":"b","ISBN":"1"}')
+    old = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
+    try:
+        for allowed in ("true", "false"):
+            spark.conf.set("spark.sql.variant.allowDuplicateKeys", allowed)
+            assert titles(r.read_books_jsonl(spark, path)) == ["b"]
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", old)
+
+
 def test_isbn_list(spark, write, tmp_path):
     path = write(" 978 \n\n978\n1\n   \n")
     assert sorted(x.isbn for x in r.read_isbn_list(spark, path).collect()) == ["1", "978", "978"]
@@ -63,7 +109,7 @@ def entries(df):
     return sorted((x.isbn, x.disposition) for x in df.collect())
 
 
-def test_checkpoint_layouts(spark, write, tmp_path, monkeypatch):
+def test_checkpoint_layouts(spark, write, tmp_path):
     want = [("1", "failed"), ("2", "duplicate"), ("3", "failed")]
     full = {"failed_isbns": ["1", "3"], "duplicate_isbns": ["2"], "non_english_isbns": []}
     for n, text in enumerate([json.dumps(full), json.dumps(full, indent=4)]):
@@ -73,10 +119,9 @@ def test_checkpoint_layouts(spark, write, tmp_path, monkeypatch):
         assert [x.isbn for x in failed] == ["1", "3"]
     assert entries(r.read_checkpoint(spark, write('{"failed_isbns":["9"]}', "part"))) == [("9", "failed")]
     assert entries(r.read_checkpoint(spark, write("{oops", "bad"))) == []
-    # A large checkpoint is split over several objects and read back whole.
-    monkeypatch.setattr(w, "CHECKPOINT_CHUNK", 10)
+    # A checkpoint may be split over several objects and is read back whole.
     many = spark.range(100).select(F.col("id").cast("string").alias("isbn"), F.lit("failed").alias("disposition"))
-    w.write_checkpoint(many.union(many), str(tmp_path / "many"))
+    w.write_checkpoint(many.union(many), str(tmp_path / "many"), chunks=10)
     assert spark.read.text(str(tmp_path / "many")).count() > 5
     assert entries(r.read_checkpoint(spark, str(tmp_path / "many"))) == entries(many)
 
