@@ -59,17 +59,19 @@ def raw_from_text(lines: DataFrame, text: Column, lenient: bool = False, keep_ma
     parsed = F.when(is_object, F.from_json("text", RAW_PLAIN, options))
     rows = texts.select("text", parsed.alias("parsed"), "file", "block")
     misfit = F.col("parsed._misfit").isNotNull()
-    has_title = F.col("parsed").isNotNull() & F.contains("text", F.lit('"Title"'))
-    # A text that fits no schema may be malformed: then it gives no map either.
+    # A text that does not fit the schema may be malformed: then it gives no map either.
     whole = {k: x for k, x in options.items() if k != "columnNameOfCorruptRecord"}
     sound = ~misfit | F.when(misfit, F.from_json("text", "map<string,string>", whole)).isNotNull()
-    v = F.when((misfit | has_title) & sound, json_parse("text", lenient))
+    has_title = F.contains("text", F.lit('"Title"'))
+    # One projection per step: each is used more than once by the next.
+    rows = rows.select("*", misfit.alias("misfit"), (F.col("parsed").isNotNull() & sound).alias("sound"))
+    v = F.when(F.col("sound") & (F.col("misfit") | has_title), json_parse("text", lenient))
+    rows = rows.select("*", v.alias("v"), has_title.alias("has_title"))
     # Unless the session allows them, VARIANT refuses repeated keys. Structs keep the last one.
-    struct = F.when(v.isNull() & has_title & sound, F.from_json("text", RAW_SCRAPED, whole))
-    struct = F.when(struct["Title"].isNotNull(), struct)
-    plain = F.when(misfit, F.coalesce(json_path(v, "$", RAW_PLAIN), F.col("parsed"))).otherwise(F.col("parsed"))
-    plain = F.when(sound, plain)
-    scraped = F.coalesce(F.when(has_key(v, "Title"), json_path(v, "$", RAW_SCRAPED)), struct)
+    again = F.when(F.col("sound") & F.col("has_title") & F.col("v").isNull(), F.from_json("text", RAW_SCRAPED, whole))
+    scraped = F.coalesce(F.when(has_key("v", "Title"), json_path("v", "$", RAW_SCRAPED)), F.when(again["Title"].isNotNull(), again))
+    fitted = F.coalesce(F.when(F.col("misfit"), json_path("v", "$", RAW_PLAIN)), F.col("parsed"))
+    plain = F.when(F.col("sound"), fitted)
     return _raw(rows, plain, scraped, keep_malformed)
 
 

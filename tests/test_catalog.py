@@ -104,7 +104,7 @@ def test_files_end_to_end(spark, write, tmp_path):
         for n in range(30)
     ] + [{"title": "x"}]
     source, target = write(json.dumps(records, indent=2)), str(tmp_path / "catalog")
-    assert build_catalog_files(spark, source, target) == {"read": 31, "indexed": 30, "skipped": 1}
+    assert build_catalog_files(spark, source, target) == {"read": 31, "indexed": 30, "skipped": 1, "parse_errors": 0}
     assert build_catalog_files(spark, source, target)["indexed"] == 30
     status = catalog_status(spark, target).first()
     assert (status.available, status.records) == (True, 30)
