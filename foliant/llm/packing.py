@@ -38,39 +38,62 @@ def tokenizer_file() -> str:
 
 
 def id_bytes(definition: str, memo_size: int = MEMO):
-    """A function from a text to its ids as little-endian unsigned 32-bit numbers.
-
-    The tokenizer never looks across white space, so each run of other characters is
-    encoded once and remembered; the memory is emptied when it holds ``memo_size``
-    runs. Texts with special tokens, or with separators on which Python and the
-    tokenizer disagree, are encoded whole.
+    """A function from the UTF-8 bytes of a text to its ids as little-endian unsigned 32-bit numbers.
+
+    The tokenizer lower-cases and never looks across white space, so A-Z are lowered first and each
+    run of other characters is encoded once and remembered; the memory is emptied when it
+    holds ``memo_size`` runs. Of a run of plain letters and the punctuation after it, which
+    the tokenizer splits there, the letters go straight to its model. Texts with special
+    tokens, or with combining marks, which lowering first might join otherwise, are
+    encoded whole.
     """
     import re
+    import unicodedata
     from array import array
 
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_str(definition)
-    odd = re.compile("[\x1c-\x1f]|<\\||\\|>")
+    tokenizer = Tokenizer.from_str(definition)
+    model = tokenizer.model
+    # Special tokens, and U+0300 to U+036F.
+    odd = re.compile(rb"<\||\|>|\xcc[\x80-\xbf]|\xcd[\x80-\xaf]")
+    # Letters, then ASCII punctuation without the apostrophe.
+    simple = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+    # The letter that stands for each byte in the model's vocabulary.
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def whole(text: str) -> bytes:
-        return array("I", model.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     class Memo(dict):
-        def __missing__(self, run: str) -> bytes:
+        def __missing__(self, run: bytes) -> bytes:
             if len(self) >= memo_size:
                 self.clear()
-            found = self[run] = whole(run)
+            text = run.decode("utf-8", "surrogatepass")
+            m = simple.fullmatch(text)
+            word = m[1] if m else ""
+            if m and word.isascii():
+                found = array("I", [t.id for t in model.tokenize(word)]).tobytes()
+            elif m and word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word):
+                mapped = word.encode().decode("latin-1").translate(letter)
+                found = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
+            else:
+                found, m = whole(text), None
+            if m and m[2]:
+                found += self[m[2].encode()]
+            self[run] = found
             return found
 
     memo = Memo()
 
-    def ids(text: str | None) -> bytes:
+    def ids(text: bytes | None) -> bytes:
         if not text:
             return b""
         if odd.search(text):
-            return whole(text)
-        return b"".join(map(memo.__getitem__, text.split()))
+            return whole(text.decode("utf-8", "surrogatepass"))
+        return b"".join(map(memo.__getitem__, text.lower().split()))
 
     return ids
 
@@ -91,7 +114,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
         task, seen, names = TaskContext.get().partitionId(), {}, [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            texts = batch.column(1).cast(pa.binary()) if pa.types.is_string(batch.column(1).type) else batch.column(1).cast(pa.large_binary())
+            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
                 told = ids(text.as_py()) + end
                 for k, at in enumerate(range(0, len(told), 4 * capacity)):
                     part = told[at : at + 4 * capacity]
