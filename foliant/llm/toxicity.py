@@ -140,7 +140,10 @@ def held_out(doc_id="doc_id"):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> DataFrame:
-    """``doc_id``, ``positive`` and ``slots`` of the rows to learn from, no more than the two bounds."""
+    """``doc_id``, ``positive`` and ``slots`` of the rows to learn from, no more than the two bounds.
+
+    Slots are 32-bit numbers in one binary value, which keeps the collected sample small.
+    """
     known = labels.where(~held_out() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     confirmed = known.where("toxic = 1").select("doc_id")
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -152,9 +155,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def slots(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted({x for w in text_words(t) for x in word_features(w)}))
+        return texts.map(lambda t: np.array(sorted({x for w in text_words(t) for x in word_features(w)}), np.int32).tobytes())
 
-    told = rows.select("doc_id", "positive", F.pandas_udf(slots, "array<int>")("text").alias("slots"))
+    told = rows.select("doc_id", "positive", F.pandas_udf(slots, "binary")("text").alias("slots"))
     # One text per id, so that repeated ids keep within the bounds.
     return told.groupBy("doc_id", "positive").agg(F.first("slots").alias("slots"))
 
@@ -167,10 +170,8 @@ def class_prior(labels: DataFrame) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, **bounds) -> tuple[dict[int, float], float] | None:
     """Weights by slot and the intercept of the calibrated classifier; None without examples."""
-    rows = training_sample(docs, labels, **bounds).orderBy("doc_id", "positive").toPandas()
-    slots = [np.asarray(x, np.int64) for x in rows["slots"]]
-    positive = [x for x, p in zip(slots, rows["positive"]) if p]
-    unlabelled = [x for x, p in zip(slots, rows["positive"]) if not p]
+    rows = training_sample(docs, labels, **bounds).orderBy("doc_id", "positive").collect()
+    positive, unlabelled = ([np.frombuffer(r["slots"], np.int32) for r in rows if r["positive"] == p] for p in (True, False))
     prior = class_prior(labels)
     if not positive or not unlabelled or not 0 < prior < 1:
         return None
