@@ -2,10 +2,10 @@
 
 DataFrame functions only. A document's host is its ``source``.
 
-``line_counts``: for every host and normalised line (lower case, trimmed) the number of distinct documents that hold it. Documents with the
-same main line (the one with most words, the larger hash on ties) are copies and count
-once, so that a group of copies does not turn its own lines into boilerplate: copies are
-left to the deduplication. A line is over the limit if more than ``min_docs`` documents
+``line_counts``: for every host and normalised line (lower case, trimmed) the number of distinct documents that hold it. Documents whose
+normalised lines are all the same are copies and count once, so that a group of copies
+does not turn its own lines into boilerplate: copies are left to the deduplication.
+Documents that differ in any line are distinct. A line is over the limit if more than ``min_docs`` documents
 and more than ``share`` of its host's rows hold it. Such lines are removed for the
 verdict; a document is depleted if at least ``depleted`` of its words go with them.
 
@@ -111,16 +111,16 @@ def line_facts(docs: DataFrame) -> DataFrame:
 
 def _exploded(facts: DataFrame) -> DataFrame:
     rows = facts.select(
-        "_k1", "_k2", "_host", F.array_max("_lines")["line"].alias("_main"),
+        "_k1", "_k2", "_host", F.xxhash64("_lines").alias("_doc"),
         F.aggregate("_lines", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("_total"),
         F.posexplode("_lines").alias("_pos", "_x"),
     )
-    return rows.select("_k1", "_k2", "_host", "_main", "_total", "_pos", F.col("_x.line").alias("_line"), F.col("_x.n").alias("_n"))
+    return rows.select("_k1", "_k2", "_host", "_doc", "_total", "_pos", F.col("_x.line").alias("_line"), F.col("_x.n").alias("_n"))
 
 
 def line_counts(facts: DataFrame) -> DataFrame:
     """(host, line, number of distinct documents). Counted partially before each shuffle."""
-    return _exploded(facts).groupBy("_host", "_line").agg(F.count_distinct("_main").alias("_docs"))
+    return _exploded(facts).groupBy("_host", "_line").agg(F.count_distinct("_doc").alias("_docs"))
 
 
 def frequent_lines(facts: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:

@@ -74,3 +74,23 @@ def test_copies_are_not_boilerplate_and_empty(spark):
     df = spark.createDataFrame([(i, text, "s") for i in range(100)], "doc_id long, text string, source string")
     assert quality(df).where("kept").count() == 100
     assert quality(df.limit(0)).count() == 0
+
+
+def test_long_shared_passages_count_plain_documents(spark):
+    """The shared passage is the longest line of every document that holds it; copies still count once."""
+    passage, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    rows = [(i, f"{passage}\nown line {i}\nby the way", "s") for i in range(40)]
+    rows += [(100 + i, f"{other}\nthe same end", "s") for i in range(40)]
+    rows += [(200 + i, f"{passage if i % 2 else other}\n" + " ".join(f"v{i}x{k}" for k in range(70)), "s") for i in range(6)]
+    rows += [(300 + i, f"{passage}\nown line {i}", None) for i in range(5)]
+    norm = {i: [x.strip() for x in t.split("\n")] for i, t, _ in rows}
+    n = lambda x: x.count(" ") + 1
+    docs = defaultdict(set)
+    for i, _, s in rows:
+        for x in norm[i]:
+            docs[s, x].add(tuple(norm[i]))
+    lost = {i: sum(n(x) for x in norm[i] if len(docs[s, x]) > 20) for i, _, s in rows}
+    want = {i for i, _, _ in rows if lost[i] < 0.8 * sum(map(n, norm[i]))}
+    assert want == {i for i, _, _ in rows if i >= 100}
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    assert {r.doc_id for r in quality(df).where("kept").collect()} == want
