@@ -6,12 +6,14 @@ DataFrame functions only. A document's host is its ``source``.
 normalised lines are all the same are copies and count once, so that a group of copies
 does not turn its own lines into boilerplate: copies are left to the deduplication.
 Documents that differ in any line are distinct. A line is over the limit if more than ``min_docs`` documents
-and more than ``share`` of its host's rows hold it. Such lines are removed for the
-verdict; a document is depleted if at least ``depleted`` of its words go with them.
+and more than ``share`` of its host's rows hold it. Such lines are removed; a document
+is depleted if at least ``depleted`` of its words go with them. ``quality`` judges, and
+``keep_good`` also returns the texts without these lines. What is left keeps its order
+and its characters. The base rules and the word counts are those of the whole text.
 
 Defined results: a NULL text has no words and fails the base rules; a NULL source is a
 host of its own; repeated rows get one verdict each; further columns are ignored by
-``quality`` and kept by ``keep_good``; empty tables give empty results. Texts are taken
+``quality`` and kept as they are by ``keep_good`` (``n_chars`` too); empty tables give empty results. Texts are taken
 whole, whatever their length.
 """
 
@@ -102,19 +104,20 @@ def line_facts(docs: DataFrame) -> DataFrame:
     """One row per text, as a written table: content hashes, host, and the hash and words of each line.
 
     A line is lower-cased and trimmed; its words are counted by the blanks between them.
+    A line without words is NULL, which keeps the places of the others.
     """
     n_words = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
     trimmed = F.transform(F.split(F.lower(text_of()), "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
-    lines = F.transform(F.filter(trimmed, lambda x: x != ""), lambda x: F.struct(n_words(x).alias("n"), F.xxhash64(x).alias("line")))
+    lines = F.transform(trimmed, lambda x: F.when(x != "", F.struct(n_words(x).alias("n"), F.xxhash64(x).alias("line"))))
     return materialize(docs.select(*_content(), source_key().alias("_host"), lines.alias("_lines")), "line-facts")
 
 
 def _exploded(facts: DataFrame) -> DataFrame:
     rows = facts.select(
         "_k1", "_k2", "_host", F.xxhash64("_lines").alias("_doc"),
-        F.aggregate("_lines", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("_total"),
+        F.aggregate("_lines", F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x["n"], F.lit(0))).alias("_total"),
         F.posexplode("_lines").alias("_pos", "_x"),
-    )
+    ).where("_x IS NOT NULL")
     return rows.select("_k1", "_k2", "_host", "_doc", "_total", "_pos", F.col("_x.line").alias("_line"), F.col("_x.n").alias("_n"))
 
 
@@ -131,8 +134,8 @@ def frequent_lines(facts: DataFrame, min_docs: int = MIN_DOCS, share: float = SH
     return materialize(over.select("_host", "_line"), "frequent-lines")
 
 
-def depleted_texts(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """Content hashes of the texts that lose too much, as a written table.
+def lost_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+    """Content hashes of the texts with lines over the limit, the places of these lines and ``_gone``, as a written table.
 
     Being tables with known sizes, both sides are broadcast if they are small and
     joined by a shuffle, with hot keys split, if they are not.
@@ -140,16 +143,22 @@ def depleted_texts(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     facts = line_facts(docs)
     lost = _exploded(facts).join(frequent_lines(facts, min_docs, share), ["_host", "_line"])
     once = lost.groupBy("_k1", "_k2", "_pos").agg(F.first("_n").alias("_n"), F.first("_total").alias("_total"))
-    texts = once.groupBy("_k1", "_k2").agg(F.sum("_n").alias("_lost"), F.first("_total").alias("_total"))
-    return materialize(texts.where(F.col("_lost") >= depleted * F.col("_total")).select("_k1", "_k2"), "depleted")
+    texts = once.groupBy("_k1", "_k2").agg(F.collect_list("_pos").alias("_places"), F.sum("_n").alias("_lost"), F.first("_total").alias("_total"))
+    return materialize(texts.select("_k1", "_k2", "_places", (F.col("_lost") >= depleted * F.col("_total")).alias("_gone")), "lost-lines")
+
+
+def without_lines(text: Column, places: Column) -> Column:
+    """``text`` without the lines at ``places``; as it is where these are NULL."""
+    rest = lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i))
+    return F.when(places.isNull(), text).otherwise(F.array_join(let(F.split(text, "\n"), rest), "\n"))
 
 
 def judged(docs: DataFrame, **limits) -> DataFrame:
-    """``docs`` with the base columns and ``kept``."""
-    gone = depleted_texts(docs, **limits).withColumn("_gone", F.lit(True))
+    """``docs`` with the base columns, ``kept`` and ``_places``, those of its lines over the limit."""
+    lost = lost_lines(docs, **limits)
     rows = base_rules(docs.select("*", *_content()))
-    rows = rows.join(gone, ["_k1", "_k2"], "left")
-    return rows.withColumn("kept", ~F.col("base_failed") & F.col("_gone").isNull()).drop("_k1", "_k2", "_gone")
+    rows = rows.join(lost, ["_k1", "_k2"], "left")
+    return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("_gone", F.lit(False))).drop("_k1", "_k2", "_gone")
 
 
 RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -161,13 +170,15 @@ def quality(docs: DataFrame, **limits) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns.
+    """The rows of ``docs`` that pass, with their own columns; ``text`` is without the lines over the limit.
 
     ``docs`` may have columns named as the verdict's: they are set aside in a struct. The
     verdicts are pinned, or the condition would be unfolded into the rules and run them anew.
     """
     packed = docs.select("text", "source", F.struct(*docs.columns).alias("_row"))
-    return pinned(judged(packed, **limits).select("_row", "kept")).where("kept").select("_row.*")
+    kept = pinned(judged(packed, **limits).select("_row", "_places", "kept")).where("kept")
+    clean = without_lines(F.col("_row.text"), F.col("_places")).alias("text")
+    return kept.select(*(clean if name == "text" else F.col("_row").getField(name).alias(name) for name in docs.columns))
 
 
 SQL = f"""

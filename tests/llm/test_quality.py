@@ -94,3 +94,17 @@ def test_long_shared_passages_count_plain_documents(spark):
     assert want == {i for i, _, _ in rows if i >= 100}
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     assert {r.doc_id for r in quality(df).where("kept").collect()} == want
+
+
+def test_kept_texts_lose_frequent_lines(spark):
+    """Copies, blank lines and line ends around the removed lines stay as they are."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(i, f"\n{own(i)}\r\n  Sign UP now \n\t\n\nEnd {i}\n", "s", i) for i in range(30)]
+    rows += [(100, f"sign up now\n{own(100)}\nSign up NOW", "s", 1), (101, f"{own(101)}\nSign up now", "t", 2), (102, f"\n\n{own(102)}\r\n", "s", 3)]
+    rows += [rows[0]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(3)
+    got = keep_good(df)
+    assert got.columns == df.columns
+    want = Counter((i, t.replace("  Sign UP now \n", ""), s, n) for i, t, s, n in rows if i not in (100,))
+    want[100, own(100), "s", 1] = 1
+    assert Counter(map(tuple, got.collect())) == want
