@@ -9,7 +9,8 @@ page, so every task first aligns its own pages of a host, and of a host, however
 wrapper per task is shuffled and aligned to the end.
 
 From a host's wrapper follows where its main text is: from the root down as long as one
-container holds nearly all text in slots outside menus, headers, footers and the like.
+container holds all text in slots outside menus, headers, footers and the like. What
+the others hold is the same on all pages, so no slot of any page is left behind.
 Pages then give the texts found along that path, without such elements and without the
 texts that are the same on all pages of the host. A page that does not fit its wrapper
 is judged by a wrapper of its own.
@@ -221,20 +222,27 @@ def expression(w: list, pages: int | None = None) -> str:
     return f"({inner})" + ("*" if lacks and w[4] else "+" if w[4] else "?") if lacks or w[4] else inner
 
 
-def _mass(w: list) -> int:
-    return w[2] + sum(map(_mass, w[5])) if w[0] != "#" else w[2]
+LEAST = 4
+
+
+def _same(w: list, least: int) -> bool:
+    """Is this text the same on all of at least ``least`` pages?"""
+    return w[3] != "*" and w[1] >= least and not w[4]
 
 
-def content_path(w: list, share: float = 0.8) -> list[str]:
-    """Keys from the root to the element with the main text."""
+def _in_slots(w: list, least: int) -> bool:
+    """Does this part of a wrapper hold any text that is not the same on all pages?"""
+    return not _same(w, least) if w[0] == "#" else any(_in_slots(k, least) for k in w[5])
+
+
+def content_path(w: list, least: int = LEAST) -> list[str]:
+    """Keys from the root to the innermost container with all text in slots."""
     path: list[str] = []
     while True:
-        masses = [(_mass(k), k) for k in w[5]]
-        total = sum(m for m, _ in masses)
-        best = max((x for x in masses if x[1][0].split(".")[0] in CONTAINER), key=lambda x: x[0], default=None)
-        if best is None or not total or best[0] < share * total:
+        live = [k for k in w[5] if _in_slots(k, least)]
+        if len(live) != 1 or live[0][0].split(".")[0] not in CONTAINER:
             return path
-        w = best[1]
+        w = live[0]
         path.append(w[0])
 
 
@@ -243,7 +251,7 @@ def template_texts(w: list, least: int, path: tuple[str, ...] = ()) -> list[str]
     out = []
     for kid in w[5]:
         if kid[0] == "#":
-            if kid[3] != "*" and kid[1] >= least and not kid[4]:
+            if _same(kid, least):
                 out.append("/".join(path) + "=" + kid[3])
         else:
             out += template_texts(kid, least, (*path, kid[0]))
@@ -303,7 +311,6 @@ def extract(page: str | None, rule: dict | None) -> str:
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-LEAST = 4
 
 
 def _host(url: str = "url"):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from foliant.llm.wrappers import align, content_path, expression, extract, main_texts, parse, wrapper, wrappers
+from foliant.llm.wrappers import align, content_path, expression, extract, main_texts, parse, template_texts, wrapper, wrappers
 
 
 def page(n, body, title="News", extra=""):
@@ -56,3 +56,22 @@ def test_whole_pages_are_read():
     body = article(*[f"paragraph {i}" for i in range(5000)])
     assert extract(page(1, body), None).count("\n") == 5000
     assert content_path(wrapper(parse(page(1, body)))) == ["html", "body", "article"]
+
+
+def by_rule(pages):
+    """The texts of the pages of one host."""
+    both = wrapper(parse(pages[0]))
+    for p in pages[1:]:
+        both = align(both, wrapper(parse(p)))
+    rule = {"path": content_path(both), "fixed": template_texts(both, 4)}
+    return [extract(p, rule) for p in pages]
+
+
+def test_no_slot_is_left_behind():
+    story = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    pages = [f"<body><p>Shop</p><h1>Title {i}</h1><p class='lead'>lead {i}</p><div class='story'><p>{story(i)}</p></div></body>" for i in range(6)]
+    assert by_rule(pages) == [f"Title {i}\nlead {i}\n{story(i)}" for i in range(6)]
+    table = lambda i: f"<table><tr><td>side {i}</td><td><div><h2>Head {i}</h2><div>{story(i)}</div></div></td></tr></table>"
+    assert by_rule([table(i) for i in range(6)]) == [f"side {i}\nHead {i}\n{story(i)}" for i in range(6)]
+    mixed = [f"<body><div class='a'>{story(i)}</div></body>" for i in range(9)] + [f"<body><div class='a'>one {i}</div><div class='b'>two {i}</div></body>" for i in range(2)]
+    assert by_rule(mixed) == [story(i) for i in range(9)] + [f"one {i}\ntwo {i}" for i in range(2)]
