@@ -13,7 +13,8 @@ container holds all text in slots outside menus, headers, footers and the like.
 the others hold is the same on all pages, so no slot of any page is left behind.
 Pages then give the texts found along that path, without such elements and without the
 texts that are the same on all pages of the host. A page that does not fit its wrapper
-is judged by a wrapper of its own.
+is judged by a wrapper of its own, and where all of its text lies in menus and the like,
+all of it is given.
 
 Defined results: a NULL or empty page has no text; NULL and unreadable urls share a host;
 repeated rows are pages of their own but count once for what is the same on all pages; further columns are
@@ -72,6 +73,14 @@ class Node:
         self.main = tag in ("article", "main")
 
 
+def _named(token: str) -> bool:
+    """Is a whole class, id or role made of nothing but ``NAMES``? (``ad-banner`` and ``navMenu`` are, ``has-sidebar`` is not.)"""
+    if token.lower() in NAMES:
+        return True
+    parts = re.findall(r"[^\W\d_]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
+    return bool(parts) and all(p in NAMES for p in parts)
+
+
 def _open(tag: str, attributes: str) -> Node:
     names, furniture = "", tag in FURNITURE
     if attributes:
@@ -79,9 +88,8 @@ def _open(tag: str, attributes: str) -> Node:
             value = value.strip("\"'")
             if kind.lower() != "role":
                 names += "." + re.sub(r"\d+", "", " ".join(value.split()))
-            if tag not in ("html", "body", "main"):
-                parts = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower())
-                furniture = furniture or any(p in NAMES for p in parts)
+            if tag not in ("html", "body", "main", "article"):
+                furniture = furniture or any(map(_named, value.split()))
         furniture = furniture or bool(HIDDEN.search(attributes))
     return Node(tag, tag + names, furniture)
 
@@ -294,6 +302,15 @@ def main_text(root: Node, path: list[str], fixed: set[str] = frozenset()) -> str
     return "\n".join(x for x in lines if x)
 
 
+def _unmarked(node: Node) -> Node:
+    """The same tree, nothing in it taken for furniture."""
+    node.furniture = False
+    for kid in node.kids:
+        if not isinstance(kid, str):
+            _unmarked(kid)
+    return node
+
+
 def extract(page: str | None, rule: dict | None) -> str:
     """The main text of one page by its host's rule."""
     if not page:
@@ -307,7 +324,7 @@ def extract(page: str | None, rule: dict | None) -> str:
             text = rest if 2 * len(rest) >= len(text) else text
         if text:
             return text
-    return main_text(root, content_path(wrapper(root)))
+    return main_text(root, content_path(wrapper(root))) or main_text(_unmarked(root), [])
 
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"

@@ -75,3 +75,14 @@ def test_no_slot_is_left_behind():
     assert by_rule([table(i) for i in range(6)]) == [f"side {i}\nHead {i}\n{story(i)}" for i in range(6)]
     mixed = [f"<body><div class='a'>{story(i)}</div></body>" for i in range(9)] + [f"<body><div class='a'>one {i}</div><div class='b'>two {i}</div></body>" for i in range(2)]
     assert by_rule(mixed) == [story(i) for i in range(9)] + [f"one {i}\ntwo {i}" for i in range(2)]
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<article class='post has-sidebar'><p>x</p></article>", "x"), ("<article class='category-social'>x</article><aside>y</aside>", "x"),
+    ("<div class='content no-sidebar'><p>x</p></div><div class='sidebar'>y</div>", "x"), ("<article class='social'>x</article>", "x"),
+    ("<div class='postWithComments'>x</div><div id='navMenu'>y</div><div class='ad-banner-2'>z</div>", "x"),
+    ("<div class='widget'><p>a</p></div><footer>b</footer>", "a\nb"), ("<form><p>x</p></form>", "x"),
+])
+def test_names_are_whole_classes(html, text):
+    assert extract(html, None) == text
+    assert extract(html, {"path": [], "fixed": []}) == text
