@@ -5,14 +5,16 @@ Pages are aligned one after the other: equal tags match and are aligned within;
 that only one side has becomes optional; tags that come again among the children of an
 element become a repeated group; texts that differ become a slot, equal ones stay as
 part of the template. Aligning two wrappers is the same as aligning a wrapper and a
-page, so every task first aligns its own pages of a host, and of a host, however large, only one
-wrapper per task is shuffled and aligned to the end.
+page. Every page becomes a wrapper of its own, those of equal pages of a host are cut to one by a shuffle; then
+every task aligns its own wrappers of a host, and of a host, however large, only one
+per task is shuffled and aligned to the end.
 
 From a host's wrapper follows where its main text is: from the root down as long as one
 container holds all text in slots outside menus, headers, footers and the like. What
 the others hold is the same on all pages, so no slot of any page is left behind.
 Pages then give the texts found along that path, without such elements and without the
-texts that are the same on all pages of the host. A page that does not fit its wrapper
+texts that are the same on all of at least four distinct pages of the host. Within an
+article or main element no text counts as the same. A page that does not fit its wrapper
 is judged by a wrapper of its own, and where all of its text lies in menus and the like,
 all of it is given.
 
@@ -238,16 +240,23 @@ def _same(w: list, least: int) -> bool:
     return w[3] != "*" and w[1] >= least and not w[4]
 
 
-def _in_slots(w: list, least: int) -> bool:
-    """Does this part of a wrapper hold any text that is not the same on all pages?"""
-    return not _same(w, least) if w[0] == "#" else any(_in_slots(k, least) for k in w[5])
+def _is_content(w: list) -> bool:
+    return w[0].split(".")[0] in ("article", "main")
+
+
+def _in_slots(w: list, least: int, content: bool = False) -> bool:
+    """Does this part of a wrapper hold any text that is within the content or not the same on all pages?"""
+    if w[0] == "#":
+        return content or not _same(w, least)
+    content = content or _is_content(w)
+    return any(_in_slots(k, least, content) for k in w[5])
 
 
 def content_path(w: list, least: int = LEAST) -> list[str]:
     """Keys from the root to the innermost container with all text in slots."""
     path: list[str] = []
     while True:
-        live = [k for k in w[5] if _in_slots(k, least)]
+        live = [k for k in w[5] if _in_slots(k, least, any(x.split(".")[0] in ("article", "main") for x in path))]
         if len(live) != 1 or live[0][0].split(".")[0] not in CONTAINER:
             return path
         w = live[0]
@@ -255,13 +264,13 @@ def content_path(w: list, least: int = LEAST) -> list[str]:
 
 
 def template_texts(w: list, least: int, path: tuple[str, ...] = ()) -> list[str]:
-    """Places and hashes of the texts that are the same on all of at least ``least`` pages."""
+    """Places and hashes of the texts outside the content that are the same on all of at least ``least`` pages."""
     out = []
     for kid in w[5]:
         if kid[0] == "#":
             if _same(kid, least):
                 out.append("/".join(path) + "=" + kid[3])
-        else:
+        elif not _is_content(kid):
             out += template_texts(kid, least, (*path, kid[0]))
     return out
 
@@ -335,21 +344,28 @@ def _host(url: str = "url"):
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """``host`` and ``wrapper`` (JSON) from pages with host and html, aligned in tasks first."""
+    """``host`` and ``wrapper`` (JSON) from the distinct pages with host and html, aligned in tasks first."""
+
+    def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[tuple[str, int]] = set()
+        for frame in frames:
+            out = []
+            for host, page, mark in zip(frame["host"], frame["html"], frame["mark"]):
+                if page and (host, mark) not in seen:
+                    seen.add((host, mark))
+                    out.append((host, mark, json.dumps(wrapper(parse(page)))))
+            if out:
+                yield pd.DataFrame(out, columns=["host", "mark", "wrapper"])
 
     def tasks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list] = {}
-        seen: set[tuple[str, int]] = set()
         for frame in frames:
-            for host, page in zip(frame["host"], frame["html"]):
-                mark = (host, hash(page))
-                if page and mark not in seen:
-                    seen.add(mark)
-                    own = wrapper(parse(page))
-                    found[host] = align(found[host], own) if host in found else own
+            for host, told in zip(frame["host"], frame["wrapper"]):
+                w = json.loads(told)
+                found[host] = align(found[host], w) if host in found else w
             if len(found) > 2000:
                 yield pd.DataFrame({"host": list(found), "wrapper": [json.dumps(w) for w in found.values()]})
-                found, seen = {}, set()
+                found = {}
         if found:
             yield pd.DataFrame({"host": list(found), "wrapper": [json.dumps(w) for w in found.values()]})
 
@@ -360,7 +376,9 @@ def infer(pages: DataFrame) -> DataFrame:
             both = w if both is None else align(both, w)
         return pd.DataFrame({"host": frame["host"].iloc[:1], "wrapper": [json.dumps(both)]})
 
-    partly = pages.select("host", "html").mapInPandas(tasks, "host string, wrapper string")
+    each = pages.select("host", "html", F.xxhash64("html").alias("mark")).mapInPandas(own, "host string, mark bigint, wrapper string")
+    distinct = each.groupBy("host", "mark").agg(F.first("wrapper").alias("wrapper")).sortWithinPartitions("host", "mark")
+    partly = distinct.select("host", "wrapper").mapInPandas(tasks, "host string, wrapper string")
     return partly.groupBy("host").applyInPandas(all_tasks, "host string, wrapper string")
 
 

@@ -86,3 +86,13 @@ def test_no_slot_is_left_behind():
 def test_names_are_whole_classes(html, text):
     assert extract(html, None) == text
     assert extract(html, {"path": [], "fixed": []}) == text
+
+
+def test_copies_in_many_tasks_and_equal_texts_of_articles(spark):
+    copy = "<body><h1>Only once</h1><p>first</p><p>second</p><p>third</p><h2>End</h2></body>"
+    rows = [(i, "http://copies.org/", copy) for i in range(8)]
+    rows += [(10 + i, "http://news.org/", f"<body><p>Site</p><article><h2>Summary</h2><p>{'text %d ' % i * 9}</p></article></body>") for i in range(8)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 16), "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    assert {got[i] for i in range(8)} == {"Only once\nfirst\nsecond\nthird\nEnd"}
+    assert all(got[10 + i] == "Summary\n" + ("text %d " % i * 9).strip() for i in range(8))
