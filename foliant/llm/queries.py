@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm import chat, licenses, mixing, quality, topk
+from foliant.llm import chat, lexical, licenses, mixing, quality, topk
 from foliant.llm.common import table
 from foliant.llm.packing import pack
 from foliant.llm.pii import pii
 from foliant.llm.simhash import simhash_components
 from foliant.llm.toxicity import toxicity
+from foliant.llm.whitening import whiten
 from foliant.llm.wrappers import main_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": lambda spark, d: toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_pseudonyms": lambda spark, d: pii(table(spark, d, "documents")),
     "op10_main_text": lambda spark, d: main_texts(table(spark, d, "pages")),
+    "op11_whitening": lambda spark, d: whiten(table(spark, d, "embeddings")),
+    "op12_ranked_search": lambda spark, d: lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark")),
 }
 
 ORACLES: dict[str, str] = {
@@ -33,4 +36,5 @@ ORACLES: dict[str, str] = {
     "op3_exact_top_k": topk.SQL,
     "op5_source_mix": mixing.SQL,
     "op7_quality_rules": quality.SQL,
+    "op12_ranked_search": lexical.SQL,
 }
