@@ -10,6 +10,7 @@ from foliant.llm import chat, lexical, licenses, mixing, quality, topk
 from foliant.llm.common import table
 from foliant.llm.packing import pack
 from foliant.llm.pii import pii
+from foliant.llm.repeats import repeats_digest
 from foliant.llm.simhash import simhash_components
 from foliant.llm.toxicity import toxicity
 from foliant.llm.whitening import whiten
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_main_text": lambda spark, d: main_texts(table(spark, d, "pages")),
     "op11_whitening": lambda spark, d: whiten(table(spark, d, "embeddings")),
     "op12_ranked_search": lambda spark, d: lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op13_repeats": lambda spark, d: repeats_digest(table(spark, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {

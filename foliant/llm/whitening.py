@@ -81,22 +81,25 @@ def secular_roots(d: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndarray,
     other = np.where(below, np.minimum(at + 1, m - 1), at)
     far = poles[at, other]
     far[-1] = np.inf
+    open_ = np.arange(m)
     for _ in range(80):
+        u, left = t[open_], poles[open_]
         with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            parts = weight / (poles - t[:, None])
-            f = 1 + parts.sum(axis=1)
-            slope = (parts / (poles - t[:, None])).sum(axis=1)
-        rising = f > 0
-        high, low = np.where(rising, t, high), np.where(rising, low, t)
-        # Newton on f t (far - t): without its two poles the function is nearly straight.
-        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            bend = slope + f / t - np.where(np.isinf(far), 0.0, f / (far - t))
-            step = t - f / bend
-        good = np.isfinite(step) & (step > low) & (step < high)
-        new = np.where(good, step, (low + high) / 2)
-        done = np.abs(new - t) <= 8 * EPS * np.abs(t)
-        t = new
-        if done.all():
+            inverse = 1 / (left - u[:, None])
+            parts = weight * inverse
+            f, size = 1 + parts.sum(axis=1), 1 + np.abs(parts).sum(axis=1)
+            slope = (parts * inverse).sum(axis=1)
+            rising = f > 0
+            high[open_], low[open_] = np.where(rising, u, high[open_]), np.where(rising, low[open_], u)
+            # Newton on f t (far - t): without its two poles the function is nearly straight.
+            step = u - f / (slope + f / u - f / (far[open_] - u))
+        good = np.isfinite(step) & (step > low[open_]) & (step < high[open_])
+        new = np.where(good, step, (low[open_] + high[open_]) / 2)
+        # No digit of f is left, or none of the root changes.
+        still = (np.abs(f) > 4 * EPS * size) & (np.abs(new - u) > 4 * EPS * np.abs(u))
+        t[open_] = np.where(np.abs(f) > 4 * EPS * size, new, u)
+        open_ = open_[still]
+        if not len(open_):
             break
     # A root never sits on its pole.
     tiny = np.finfo(np.float64).tiny
