@@ -36,8 +36,8 @@ from foliant.llm.common import materialize
 from foliant.operators.pinning import pinned
 
 K = 10
-# Words of one pass over the documents, items scored at a time, score cells a task holds.
-VOCABULARY, ITEMS, CELLS = 1 << 19, 4096, 1 << 22
+# Words of one pass over the documents, items scored at a time, score cells and postings a task holds.
+VOCABULARY, ITEMS, CELLS, POSTINGS = 1 << 19, 4096, 1 << 22, 1 << 20
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Bytes of words stay, A-Z become a-z, all others of ASCII separate.
@@ -159,12 +159,13 @@ class Postings:
         """Scores of classes (rows) for items (columns); ``parts`` are the words' shares."""
         begin = self.first[words]
         lengths = self.first[words + 1] - begin
-        total = int(lengths.sum())
         out = np.zeros(shape[0] * shape[1], np.int64)
-        if total:
-            ends = np.cumsum(lengths)
-            at = np.arange(total) + np.repeat(begin - (ends - lengths), lengths)
-            np.add.at(out, np.repeat(owners, lengths) * shape[1] + self.items[at], np.repeat(parts, lengths))
+        # Postings are unfolded a bounded number at a time.
+        cuts = np.searchsorted(np.cumsum(lengths), np.arange(0, lengths.sum() + POSTINGS, POSTINGS))
+        for a, b in zip(cuts, [*cuts[1:], len(words)]):
+            n, first = lengths[a:b], begin[a:b]
+            at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+            np.add.at(out, np.repeat(owners[a:b], n) * shape[1] + self.items[at], np.repeat(parts[a:b], n))
         return out.reshape(shape)
 
 
