@@ -26,10 +26,25 @@ def _texts(spark, d) -> DataFrame:
     return b.records(spark, d).select(to_json_text(F.struct(*RECORD_FIELDS)).alias("json"), F.col("pos").alias("n"))
 
 
-def _array_file(rows: DataFrame, path: str, before: str, between: str, after: str) -> None:
-    """One file that holds all records as an array. The join of texts stands for another program's file."""
-    one = rows.agg(F.concat(F.lit(before), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "json"))), lambda x: x["json"]), between), F.lit(after)).alias("value"))
-    one.coalesce(1).write.text(path)
+def _array_files(rows: DataFrame, path: str, gap: str, files: int = 3) -> None:
+    """Arrays of the records in order, ``gap`` between two; written row by row."""
+
+    def framed(frames):
+        import pandas as pd
+
+        last = None
+        for frame in frames:
+            records = frame["json"].tolist()
+            if not records:
+                continue
+            yield pd.DataFrame({"json": ["["] if last is None else [last + ","]})
+            yield pd.DataFrame({"json": [x + "," for x in records[:-1]]})
+            last = records[-1]
+        if last is not None:
+            yield pd.DataFrame({"json": [last, "]"]})
+
+    ordered = rows.repartitionByRange(files, "n").sortWithinPartitions("n").select("json")
+    ordered.mapInPandas(framed, "json string").write.option("lineSep", gap).text(path)
 
 
 # --- record files ---------------------------------------------------------------------
@@ -40,10 +55,10 @@ def mixed_folder(spark, d):
     """JSON Lines and three layouts of arrays in one folder; each file is read by its own kind."""
     path, rows = scratch(spark, "mixed"), _texts(spark, d)
     rows.where("n % 4 = 0").select("json").write.text(f"{path}/lines")
-    _array_file(rows.where("n % 4 = 1"), f"{path}/rows", "[\n", ",\n", "\n]")
-    _array_file(rows.where("n % 4 = 2"), f"{path}/single", "[", ",", "]")
+    _array_files(rows.where("n % 4 = 1"), f"{path}/rows", "\n")
+    _array_files(rows.where("n % 4 = 2"), f"{path}/single", " ")
     pretty = rows.where("n % 4 = 3").select(F.replace("json", F.lit(',"'), F.lit(',\n    "')).alias("json"), "n")
-    _array_file(pretty, f"{path}/pretty", "[\n  ", ",\n  ", "\n]\n")
+    _array_files(pretty, f"{path}/pretty", "\n  ")
     return _catalog_row(build_catalog(r.read_books(spark, f"{path}/*")))
 
 
@@ -52,10 +67,21 @@ def array_line_feeds(spark, d):
     """Raw line feeds within texts, which readers of arrays accept."""
     path = scratch(spark, "feeds")
     rows = _texts(spark, d).select(F.replace("json", F.lit('"title_without_series":"'), F.lit('"title_without_series":"a\nb ')).alias("json"), "n")
-    _array_file(rows, path, "[\n  ", ",\n  ", "\n]\n")
+    _array_files(rows, path, "\n  ")
     return _catalog_row(build_catalog(r.read_books(spark, path)))
 
 
+@query("array_any_layout", CATALOG_ROW_SQL)
+def array_any_layout(spark, d):
+    """Pretty-printed records with brackets, quotes and backslashes in their texts, read by splits."""
+    path = scratch(spark, "any-layout")
+    odd = F.concat(F.lit('}, {"x": [\\" ] \\'), F.col("title_without_series"))
+    records = b.records(spark, d).withColumn("title_without_series", odd)
+    pretty = F.to_json(F.struct(*RECORD_FIELDS), {"pretty": "true", "ignoreNullFields": "false"})
+    _array_files(records.select(pretty.alias("json"), F.col("pos").alias("n")), path, "\n")
+    return _catalog_row(build_catalog(r.read_books_json_array(spark, path, "split")))
+
+
 BROKEN_SQL = "(p_partkey % 5 IN (1, 2, 3, 4))"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foliant.functions.jsons import has_key, json_parse, json_path, one_json
 from foliant.functions.text import strip
+from foliant.sources.arrays import array_elements
 from foliant.schemas import DISPOSITIONS, RAW_PLAIN, RAW_SCRAPED, SCRAPED_FIELDS, ddl
 
 # Record separator of an array written with an indent of two blanks.
@@ -105,9 +106,11 @@ def read_books_json_array(
     ``rows``: one record per line, as an appending writer leaves it; splittable.
     ``indented``: pretty-printed with an indent of two and no raw line feed inside a
     text; splittable by its separator.
-    ``whole``: any other layout. Each file is cut into its records by one task, so
-    rewrite very large ones as JSON Lines; a file beyond the two gigabytes of one text
-    is an error.
+    ``split``: any layout, splittable anywhere and without a limit of size, at the price of
+    two more passes over the bytes (see ``arrays``). Elements are cut by structure, so one that
+    cannot be parsed does not end the file.
+    ``whole``: any layout, each file cut into its records by one task in one pass, for many
+    small files; a file beyond the two gigabytes of one text is an error.
     """
     if layout == "rows":
         record = F.regexp_replace("value", ROW_FRAME, "")
@@ -117,6 +120,8 @@ def read_books_json_array(
         body = F.regexp_replace("value", r"^\s*\[\s*|\s*\}\s*\]\s*$", "")
         record = F.when(F.length(strip(body)) > 0, F.concat(body, F.lit("\n}"))).otherwise("")
         return raw_from_text(chunks, record, True, keep_malformed)
+    if layout == "split":
+        return raw_from_record_texts(array_elements(spark, path), keep_malformed)
     if layout == "whole":
         # One file per row; the records stay texts, so that no value has to hold them all.
         files = spark.read.text(path, wholetext=True).select("value", *file_pos())
@@ -177,7 +182,7 @@ def _array_records():
 
 
 def detect_books_formats(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """The files of each kind: ``jsonl``, ``rows`` or ``whole``.
+    """The files of each kind: ``jsonl``, ``rows`` or ``whole`` (an array of another layout).
 
     A file that starts with a bracket is an array; it has ``rows`` if every line is a record of its
     own. The texts are read once for it, as lines and without parsing; name the format
@@ -201,7 +206,8 @@ def detect_books_formats(spark: SparkSession, path: str | list[str]) -> dict[str
 def read_books(spark: SparkSession, path: str, format: str = "auto", keep_malformed: bool = False) -> DataFrame:
     """Records of either file kind; ``format`` is ``auto``, ``jsonl`` or an array layout.
 
-    ``auto`` decides for each file of ``path`` on its own.
+    ``auto`` decides for each file of ``path`` on its own, and reads arrays without a record
+    per line as ``split``.
     """
     if format == "jsonl":
         return read_books_jsonl(spark, path, keep_malformed)
@@ -210,7 +216,7 @@ def read_books(spark: SparkSession, path: str, format: str = "auto", keep_malfor
     kinds = detect_books_formats(spark, path)
     parts = [
         read_books_jsonl(spark, files, keep_malformed) if kind == "jsonl"
-        else read_books_json_array(spark, files, kind, keep_malformed)
+        else read_books_json_array(spark, files, "split" if kind == "whole" else kind, keep_malformed)
         for kind, files in kinds.items()
     ]
     if not parts:
