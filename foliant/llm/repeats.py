@@ -1,46 +1,45 @@
 """Removal of repeated passages by the suffix order of prefix-free parsed texts.
 
 Every byte covered by a string of ``length`` bytes that also starts at another place is
-repeated. Texts are parsed into phrases by a hash that rolls over eight bytes: where it is
-a multiple of ``EVERY``, a phrase ends and the next begins. Where that leaves a phrase
-without end for half a length, a weaker trigger (``OFTEN``) ends it. Both depend on the
-bytes around them alone, so equal strings are cut alike. A string that starts inside a phrase is a
-suffix of that phrase, of a bytes, and what follows the phrase's end; so the order of all
-strings of the corpus is the order of phrase suffixes, and among equal ones the order of
-what follows.
+repeated. Texts are parsed into phrases by a hash that rolls over eight bytes: its least value
+among the first four fifths of a string triggers the end of the phrase in which the string starts.
+Triggers depend on the bytes around them alone, so equal strings are cut alike, and every string
+passes one. A string is a suffix of its phrase, of a bytes, and what follows the phrase's end; so
+the order of all strings of the corpus is the order of phrase suffixes (the suffix order of
+the dictionary), and among equal ones the order of what follows (that of the parse).
 
 What occurs once needs no order, and most of a corpus does:
 
 1. One pass over the texts finds the phrases' ends and a hash of the bytes behind each. No
    repeated string passes an end whose hash stands nowhere else.
 2. The other ends are looked up in their texts, a copy of a text once. The phrase and the
-   ``length`` bytes behind it are an end's context. Contexts found twice by their 128-bit
-   fingerprint are repeated as they are: copies, and the inside of shared passages.
+   bytes behind it that its strings span are an end's context. Contexts are sorted over
+   ranges by hash and 128-bit fingerprint; those equal to a neighbour are repeated as they
+   are: copies, and the inside of shared passages.
 3. A context found once may still share strings with others behind whose ends the same bytes
-   begin, as at the rim of a passage. Only these are ordered: what follows the ends (the
-   suffixes of the parse) by a range-partitioned sort, in which neighbours' common prefixes
-   tell which of them agree for how long, and the distinct suffixes of the phrases (of the
-   dictionary) by another. Rank of the suffix and rank of the first follower that agrees as
-   far as the string goes make a string's rank in corpus order; ranks that two strings have
-   are repeated.
-
-Strings without any trigger in reach (runs of few letters, mostly) are compared as they are,
-once per text.
-
-A text is known by two 64-bit hashes, phrases' contexts by a 128-bit one; equal
-fingerprints count as equal. No group is gathered in a task: common strings, hot texts
-and hot contexts are partially aggregated, and the sort deals ties out over its ranges.
+   begin, as at the rim of a passage. Each such group is put in order by its phrases read
+   backwards and by what follows them. Neighbours' common lengths tell at once which
+   strings have an equal with the same phrase or the same follower; what could still have
+   one that differs in both is ranked string by string: by phrase suffix, and by the first
+   follower that agrees as far as the string goes. Equal ranks are repeated strings.
+4. Groups beyond ``GROUP`` contexts, as about a passage that a large share of all documents
+   holds, are ranked by range-partitioned sorts instead, in any number of tasks.
+
+A text is known by two 64-bit hashes, a context by a 128-bit one; equal fingerprints
+count as equal. No unbounded group is gathered in a task: hot hashes are partially
+aggregated, sorts deal ties out over their ranges. What tasks need to know of
+their neighbours comes to the driver, a row or two per task.
 
 Defined results: a NULL text is empty; texts shorter than ``length`` keep every byte; copies of
 a text of at least ``length`` bytes lose all of it; a cut may fall between the bytes of one
 character, so kept texts are binary; rows that repeat a doc_id are documents of
 their own; NULL doc_ids and other columns are carried; an empty table gives an empty result.
+A run of one character has an end at every byte and costs the more for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +49,21 @@ from foliant.llm.common import materialize
 from foliant.operators.pinning import pinned
 
 LENGTH = 200
-# One end in so many places; one in so many where none came for long.
-EVERY, OFTEN = 48, 8
 WINDOW = 8
-SLICE, SEEN = 4 << 20, 1 << 17
+# Bytes looked at together; texts a task remembers; contexts that one task puts in order.
+SLICE, SEEN, GROUP = 4 << 20, 1 << 17, 20_000
 KEY = ["k1", "k2"]
 
 
-def _reach(length: int) -> tuple[int, int]:
-    """How far behind its start a string's first trigger may lie, and from where a weak one counts."""
-    return length * 3 // 4, length // 2
+def _reach(length: int) -> int:
+    """How far behind its start a string's trigger may lie."""
+    return length * 4 // 5
+
+
+def common(a: bytes, b: bytes) -> int:
+    """How many bytes two strings share at their beginning."""
+    n = min(len(a), len(b))
+    return n - ((int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")).bit_length() + 7) // 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,60 +71,65 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def triggers(data: np.ndarray, chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Places of strong and of weak triggers, ascending."""
-    strong, weak = [], []
-    first, second = (1 << 32) // EVERY, (1 << 32) // EVERY + (1 << 32) // OFTEN
-    for at in range(0, len(data) - WINDOW + 1, chunk):
-        part = data[at : at + chunk + WINDOW - 1]
-        words = np.empty(len(part) - WINDOW + 1, np.uint64)
-        for k in range(WINDOW):
-            aligned = part[k : k + (len(part) - k) // WINDOW * WINDOW].view("<u8")
-            words[k::WINDOW] = aligned[: len(words[k::WINDOW])]
-        low = _mix(words) & np.uint64(0xFFFFFFFF)
-        strong.append(np.flatnonzero(low < first) + at)
-        weak.append(np.flatnonzero((low >= first) & (low < second)) + at)
+def _hashes(part: np.ndarray) -> np.ndarray:
+    """A hash of the eight bytes from each place on."""
+    words = np.empty(max(len(part) - WINDOW + 1, 0), np.uint64)
+    for k in range(min(WINDOW, len(words))):
+        aligned = part[k : k + (len(part) - k) // WINDOW * WINDOW].view("<u8")
+        words[k::WINDOW] = aligned[: len(words[k::WINDOW])]
+    return _mix(words)
+
+
+def triggers(data: np.ndarray, reach: int, chunk: int = SLICE) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of starts with one trigger: each run's first start, and the trigger.
+
+    A start's trigger is the first least hash within ``reach`` places.
+    """
+    first, found = [], []
+    low = np.uint64((1 << 31) - 1)
+    starts = len(data) - WINDOW + 1 - reach
+    for at in range(0, max(starts, 0), chunk):
+        n = min(chunk, starts - at)
+        # Hash before place: the least of both is the first of the least.
+        keys = _hashes(data[at : at + n + reach + WINDOW - 1]) & ~low
+        keys |= np.arange(len(keys), dtype=np.uint64)
+        # Least of every window from two runs of minima over blocks of its size.
+        blocks = np.full(-(-len(keys) // (reach + 1)) * (reach + 1), ~np.uint64(0))
+        blocks[: len(keys)] = keys
+        blocks = blocks.reshape(-1, reach + 1)
+        ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+        back = np.minimum.accumulate(blocks, axis=1).reshape(-1)
+        least = (np.minimum(ahead[:n], back[reach : reach + n]) & low).astype(np.int64)
+        runs = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        first.append(runs + at)
+        found.append(least[runs] + at)
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *strong]), np.concatenate([none, *weak])
+    first, found = np.concatenate([none, *first]), np.concatenate([none, *found])
+    on = np.concatenate([[True], found[1:] != found[:-1]]) if len(found) else np.zeros(0, bool)
+    return first[on], found[on]
 
 
 class Parse:
     """Phrase ends of adjoining texts, ``data[cuts[i]:cuts[i + 1]]``.
 
     ``at`` are the ends, ``low`` and ``high`` the least and greatest number of bytes that a
-    string which belongs to the end may have before it; ``owner`` the text. ``gaps`` are
-    ranges of starts that belong to no end: (owner, first, last).
+    string which belongs to the end has before it; ``owner`` the text. Every start of a
+    string belongs to one end.
     """
 
     def __init__(self, data: np.ndarray, cuts: np.ndarray, length: int):
-        reach, quiet = _reach(length)
-        strong, weak = triggers(data)
-        far = len(data) + 2 * length
-        before = np.concatenate([[-far], strong])
-        after = np.append(strong, far)
-        ends, starts = cuts[1:], cuts[:-1]
-        owner = np.searchsorted(ends, strong, "right")
-        high = np.minimum(np.minimum(reach, strong - before[:-1] - 1), strong - starts[owner])
-        low = np.maximum(0, strong + length - ends[owner])
-        beside = np.searchsorted(strong, weak)
-        owner_w = np.searchsorted(ends, weak, "right")
-        previous = np.concatenate([[-far], weak[:-1]]) if len(weak) else weak
-        high_w = np.minimum.reduce([np.full(len(weak), reach), weak - before[beside] - 1, weak - starts[owner_w], weak - previous + quiet - 1])
-        low_w = np.maximum.reduce([np.full(len(weak), quiet), weak + length - ends[owner_w], weak + reach + 1 - after[beside]])
-        at, owner = np.concatenate([strong, weak]), np.concatenate([owner, owner_w])
-        low, high = np.concatenate([low, low_w]), np.concatenate([high, high_w])
-        on = np.flatnonzero(low <= high)
-        on = on[np.argsort(at[on] - high[on], kind="stable")]
-        self.at, self.owner, self.low, self.high = at[on], owner[on], low[on], high[on]
-        # Starts between the ranges of neighbouring ends; each text adds its own two borders.
-        long = np.flatnonzero(ends - starts >= length)
-        first = np.concatenate([self.at - self.high, starts[long] - 1, ends[long] - length + 1])
-        last = np.concatenate([self.at - self.low, starts[long] - 1, ends[long] - length + 1])
-        text = np.concatenate([self.owner, long, long])
-        order = np.lexsort([first, text])
-        first, last, text = first[order], last[order], text[order]
-        free = np.flatnonzero((text[1:] == text[:-1]) & (first[1:] > last[:-1] + 1))
-        self.gaps = list(zip(text[free].tolist(), (last[free] + 1).tolist(), (first[free + 1] - 1).tolist()))
+        first, at = triggers(data, _reach(length))
+        last = np.append(first[1:], max(len(data) - WINDOW + 1 - _reach(length), 0)) - 1
+        long = np.flatnonzero(np.diff(cuts) >= length)
+        begin, end = cuts[:-1][long], cuts[1:][long] - length
+        # The runs that each text's starts overlap.
+        a, b = np.searchsorted(last, begin), np.searchsorted(first, end, "right")
+        n = b - a
+        run = np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)
+        text = np.repeat(np.arange(len(long)), n)
+        self.owner, self.at = long[text], at[run]
+        self.high = self.at - np.maximum(first[run], begin[text])
+        self.low = self.at - np.minimum(last[run], end[text])
 
 
 def behind(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -152,71 +161,61 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text), "_text": text.cast("binary")})
 
 
-ODD = "array<struct<word: binary, n: bigint, runs: array<struct<a: int, b: int>>>>"
-MARKS = f"k1 bigint, k2 bigint, n bigint, hashes array<bigint>, places array<int>, odd {ODD}"
+MARKS = "tid bigint, k1 bigint, k2 bigint, hashes array<bigint>, places array<int>"
 
 
 def parsed(texts: DataFrame, length: int) -> DataFrame:
-    """Ends and trigger-free strings of each text of (k1, k2, _text); a copy in the same task is only counted."""
+    """The ends of each text of (k1, k2, _text); a copy in the same task gives its key alone."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        tid = TaskContext.get().partitionId() << 33
         seen: set[tuple[int, int]] = set()
-        schema = pa.schema(
-            [("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("hashes", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())),
-             ("odd", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])))]
-        )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
             for row, to, data, cuts in _slices(batch, 2):
                 p = Parse(data, cuts, length)
-                hashes = behind(data, p.at, length - _reach(length)[0])
-                order = np.argsort(p.owner, kind="stable")
-                bounds = np.searchsorted(p.owner[order], np.arange(to - row + 1))
-                odd: dict[int, dict[bytes, list[int]]] = {}
-                for owner, a, b in p.gaps:
-                    found = odd.setdefault(owner, {})
-                    for i in range(a, b + 1):
-                        found.setdefault(data[i : i + length].tobytes(), []).append(i - int(cuts[owner]))
-                out = []
+                hashes = behind(data, p.at, length - _reach(length))
+                bounds = np.searchsorted(p.owner, np.arange(to - row + 1))
+                columns: list[list] = [[], [], [], [], []]
                 for i in range(to - row):
-                    k = keys[row + i]
-                    line = {"k1": k[0], "k2": k[1], "n": 1, "hashes": None, "places": None, "odd": None}
-                    if k not in seen:
+                    k, own = keys[row + i], slice(bounds[i], bounds[i + 1])
+                    known = k in seen
+                    if not known:
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(k)
-                        own = order[bounds[i] : bounds[i + 1]]
-                        line["hashes"], line["places"] = hashes[own], (p.at[own] - cuts[i]).astype(np.int32)
-                        if i in odd:
-                            line["odd"] = [{"word": w, "n": len(at), "runs": _runs(at)} for w, at in odd[i].items()]
-                    out.append(line)
-                yield pa.RecordBatch.from_pylist(out, schema)
+                    line = (tid, *k, None if known else hashes[own], None if known else (p.at[own] - cuts[i]).astype(np.int32))
+                    for column, x in zip(columns, line):
+                        column.append(x)
+                    tid += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in MARKS.split(", ")])
 
     return texts.select(*KEY, "_text").mapInArrow(read, MARKS)
 
 
-def _runs(places: list[int]) -> list[dict[str, int]]:
-    """Ascending places as first and last of runs."""
-    at = np.array(places)
-    cut = np.flatnonzero(np.diff(at) != 1)
-    return [{"a": a, "b": b} for a, b in zip(at[np.concatenate([[0], cut + 1])].tolist(), at[np.append(cut, len(at) - 1)].tolist())]
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, without those that repeat an earlier key of the task."""
+    from zstandard import ZstdCompressor
 
-
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows without those that repeat an earlier key of the task."""
     seen: set[tuple[int, int]] = set()
+    pack = ZstdCompressor(level=3).compress
     for batch in batches:
-        on = []
+        on, texts = [], []
         for i, k in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             if k not in seen:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(k)
                 on.append(i)
-        yield batch.take(pa.array(on, pa.int64()))
+                texts.append(pack(batch.column(2)[i].as_py()))
+        kept = batch.select([0, 1]).take(pa.array(on, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(texts, pa.binary())], ["k1", "k2", "packed"])
 
 
-CONTEXTS = "k1 bigint, k2 bigint, place int, low int, high int, hash bigint, f1 bigint, f2 bigint"
+CONTEXTS = "hash bigint, f1 bigint, f2 bigint, tid bigint, place int, low int, high int"
 
 
 def contexts(suspects: DataFrame, length: int) -> DataFrame:
@@ -224,130 +223,315 @@ def contexts(suspects: DataFrame, length: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
+        from zstandard import ZstdDecompressor
 
+        unpack = ZstdDecompressor().decompress
         names = [c.split()[0] for c in CONTEXTS.split(", ")]
         for batch in batches:
-            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            wanted = batch.column(3).to_pylist()
-            for row, to, data, cuts in _slices(batch, 2):
-                p = Parse(data, cuts, length)
-                named = [np.array(w, np.int64) + cuts[i] for i, w in enumerate(wanted[row:to])]
-                on = np.flatnonzero(np.isin(p.at, np.concatenate(named)))
-                at, low, high, owner = p.at[on], p.low[on], p.high[on], p.owner[on]
-                whole = memoryview(np.ascontiguousarray(data))
-                prints = b"".join(
-                    xxh3_128_digest(whole[a - h : a - lo + length], h * length + lo) for a, h, lo in zip(at.tolist(), high.tolist(), low.tolist())
-                )
+            for tid, packed, places in zip(*(c.to_pylist() for c in batch.columns)):
+                text = unpack(packed)
+                data = np.frombuffer(text, np.uint8)
+                p = Parse(data, np.array([0, len(text)]), length)
+                on = np.flatnonzero(np.isin(p.at, np.array(places, np.int64)))
+                at, low, high = p.at[on], p.low[on], p.high[on]
+                prints = b"".join(xxh3_128_digest(text[a - h : a - lo + length], h * length + lo) for a, h, lo in zip(at.tolist(), high.tolist(), low.tolist()))
                 f = np.frombuffer(prints, "<i8").reshape(-1, 2)
-                hashes = behind(data, at, length - _reach(length)[0])
-                place = at - cuts[owner]
                 int32 = lambda x: pa.array(x.astype(np.int32))
-                columns = [pa.array(k1[row + owner]), pa.array(k2[row + owner]), int32(place), int32(low), int32(high)]
-                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, (hashes, f[:, 0].copy(), f[:, 1].copy()))], names)
+                columns = [pa.array(behind(data, at, length - _reach(length))), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(at), tid)), int32(at), int32(low), int32(high)], names)
+
+    return suspects.select("tid", "packed", "places").mapInArrow(read, CONTEXTS)
+
+
+# What becomes of a context: repeated as it is; to be ordered with others of its hash, being found once or one
+# of equal ones; and, in addition, the first and the last of each task.
+REPEATED, RIM, FIRST, LAST = range(4)
+SORTED = "kind int, part int, hash bigint, f1 bigint, f2 bigint, tid bigint, place int, low int, high int, n int"
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """Contexts in order, each told by its neighbours. ``n`` is 1 for those found once, else 2.
+
+    A task's first and last context are left to ``_edges`` if no neighbour in the task equals them.
+    """
+    schema = pa.schema([(c.split()[0], {"int": pa.int32(), "bigint": pa.int64()}[c.split()[1]]) for c in SORTED.split(", ")])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        out: list[tuple] = []
+        head = run = None
+        size = runs = 0
+        beside = False
+
+        def close(next_hash):
+            """The run is complete; one of it is ordered if its hash has other contexts, or might have."""
+            if size > 1 and (beside or next_hash in (None, run[0]) or runs == 1):
+                out.append((RIM, part, run[0], None, None, *run[3:], 2))
+            if size == 1 and runs > 1 and next_hash is not None and (beside or next_hash == run[0]):
+                out.append((RIM, part, run[0], None, None, *run[3:], 1))
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if run and row[:3] == run[:3]:
+                    if size == 1:
+                        out.append((REPEATED, None, None, None, None, *run[3:], None))
+                    out.append((REPEATED, None, None, None, None, *row[3:], None))
+                    size += 1
+                    continue
+                if run:
+                    if runs == 1:
+                        head = (FIRST, part, *run, min(size, 2))
+                    close(row[0])
+                    beside = run[0] == row[0]
+                run, size, runs = row, 1, runs + 1
+            if out:
+                yield batch_of(out)
+                out = []
+        if run:
+            close(None)
+            last = (LAST, part, *run, min(size, 2))
+            yield batch_of([*out, head or (FIRST, *last[1:]), last])
 
-    return suspects.select(*KEY, "_text", "places").mapInArrow(read, CONTEXTS)
+    order = ["hash", "f1", "f2", "tid", "place"]
+    placed = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.mapInArrow(read, SORTED)
 
 
-CUT = "k1 bigint, k2 bigint, place int, low int, high int, n bigint, left binary, follow binary"
+def _edges(settled: DataFrame) -> DataFrame:
+    """The contexts that only the next task's tell: two rows of each task come to the driver."""
+    rows = settled.where(F.col("kind") >= FIRST).orderBy("part", "kind").collect()
+    key = lambda r: (r["hash"], r["f1"], r["f2"])
+    out = {}
+    for i, r in enumerate(rows):
+        if r["n"] > 1:
+            continue
+        near = [rows[j] for j in (i - 1, i + 1) if 0 <= j < len(rows)]
+        twice = any(key(x) == key(r) and (x["tid"], x["place"]) != (r["tid"], r["place"]) for x in near)
+        # A task's only context is its first and its last.
+        same = (r["tid"], r["place"])
+        if twice or same not in out:
+            kind = REPEATED if twice else RIM
+            out[same] = (kind, r["part"], r["hash"], None, None, r["tid"], r["place"], r["low"], r["high"], 1)
+    return settled.sparkSession.createDataFrame(list(out.values()), SORTED)
+
+
+CUT = "hash bigint, tid bigint, place int, low int, high int, n int, phrase binary, follow binary"
 
 
 def _cut_out(texts: DataFrame, length: int) -> DataFrame:
-    """Phrase and follower of each context of ``ends``, as bytes."""
+    """The phrase's bytes before each of ``ends``, last one first, and those behind it."""
+    schema = pa.schema(
+        [("hash", pa.int64()), ("tid", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("n", pa.int32()), ("phrase", pa.binary()), ("follow", pa.binary())]
+    )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+
+        unpack = ZstdDecompressor().decompress
+        for batch in batches:
+            for tid, packed, ends in zip(*(c.to_pylist() for c in batch.columns)):
+                text = unpack(packed)
+                rows = []
+                for e in ends:
+                    at = e["place"]
+                    rows.append({**e, "tid": tid, "phrase": text[at - e["high"] : at][::-1], "follow": text[at : at - e["low"] + length]})
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return texts.select("tid", "packed", "ends").mapInArrow(read, CUT)
+
+
+def followers(follow: list[bytes]) -> Iterator[tuple[list[int], list[int]]]:
+    """For each of sorted strings the places from which on all agree with it, by number of bytes.
+
+    (agree, places), ascending: strings from place ``places[i]`` on agree in more than
+    ``agree[i]`` bytes. The lists are reused.
+    """
+    agree, places = [-1], [0]
+    for i, x in enumerate(follow):
+        if i:
+            n = common(follow[i - 1], x)
+            while agree[-1] >= n:
+                agree.pop()
+                places.pop()
+            agree.append(n)
+            places.append(i)
+        yield agree, places
+
+
+def repeated_starts(group: list[dict], length: int) -> list[tuple[int, int, int]]:
+    """(tid, first start, last start) of repeated strings in the contexts of one hash that are found once."""
+    found: list[list[tuple[int, int]]] = [[] for _ in group]
+    once = [i for i, c in enumerate(group) if c["n"] == 1]
+    if not once or len(group) < 2:
+        return []
+    # The dictionary's order: equal phrases stand together, followers that share most next to each other.
+    order = sorted(range(len(group)), key=lambda i: (group[i]["phrase"], group[i]["follow"]))
+    most_phrase = most_follow = 0
+    for i, j in zip(order, order[1:]):
+        a, b = group[i], group[j]
+        if a["phrase"] == b["phrase"]:
+            least = length - common(a["follow"], b["follow"])
+            found[i].append((least, a["high"]))
+            found[j].append((least, b["high"]))
+        else:
+            most_phrase = max(most_phrase, common(a["phrase"], b["phrase"]))
+    # The parse's order: the same for equal followers.
+    order = sorted(range(len(group)), key=lambda i: (group[i]["follow"], group[i]["phrase"]))
+    for i, j in zip(order, order[1:]):
+        a, b = group[i], group[j]
+        if a["follow"] == b["follow"]:
+            most = common(a["phrase"], b["phrase"])
+            found[i].append((a["low"], most))
+            found[j].append((b["low"], most))
+        else:
+            most_follow = max(most_follow, common(a["follow"], b["follow"]))
+    low, high = length - most_follow, most_phrase
+
+    def open_(i: int) -> Iterator[int]:
+        for x in range(max(group[i]["low"], low), min(group[i]["high"], high) + 1):
+            if not any(a <= x <= b for a, b in found[i]):
+                yield x
+
+    if low <= high and any(next(open_(i), None) is not None for i in once):
+        # The corpus order, of strings whose equals may differ in both.
+        ranks: dict[tuple[bytes, int], int] = {}
+        keys: list[list[tuple[bytes, int]]] = [[] for _ in group]
+        for i, (agree, places) in zip(order, followers([group[i]["follow"] for i in order])):
+            c, at = group[i], 0
+            for x in range(min(c["high"], high), max(c["low"], low) - 1, -1):
+                # Ascending number of bytes: the last place that agrees in fewer.
+                while at + 1 < len(agree) and agree[at + 1] < length - x:
+                    at += 1
+                key = (c["phrase"][:x], places[at])
+                keys[i].append(key)
+                ranks[key] = ranks.get(key, 0) + 1
+        for i in once:
+            found[i] += [(len(k[0]), len(k[0])) for k in keys[i] if ranks[k] > 1]
+    out = []
+    for i in once:
+        c = group[i]
+        ranges = [(max(a, c["low"]), min(b, c["high"])) for a, b in found[i]]
+        out += [(c["tid"], c["place"] - b, c["place"] - a) for a, b in ranges if a <= b]
+    return out
+
+
+STARTS = "tid bigint, a int, b int"
+
+
+def _in_groups(cut: DataFrame, length: int) -> DataFrame:
+    """``repeated_starts`` of each hash; the rows of one hash are few."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[dict] = []
+        kinds = (pa.int64(), pa.int32(), pa.int32())
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["tid", "a", "b"])
+
         for batch in batches:
-            for i in range(len(batch)):
-                k1, k2, text, ends = (batch.column(j)[i].as_py() for j in range(4))
-                rows = [
-                    {**e, "k1": k1, "k2": k2, "left": text[e["place"] - e["high"] : e["place"]], "follow": text[e["place"] : e["place"] + length - e["low"]]}
-                    for e in ends
-                ]
-                yield pa.RecordBatch.from_pylist(
-                    rows,
-                    pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()),
-                               ("n", pa.int64()), ("left", pa.binary()), ("follow", pa.binary())]),
-                )
+            out = []
+            for row in batch.to_pylist():
+                if group and group[0]["hash"] != row["hash"]:
+                    out += repeated_starts(group, length)
+                    group = []
+                group.append(row)
+            if out:
+                yield batch_of(out)
+        if out := repeated_starts(group, length) if group else []:
+            yield batch_of(out)
 
-    return texts.select(*KEY, "_text", "ends").mapInArrow(read, CUT)
+    return cut.repartition("hash").sortWithinPartitions("hash").mapInArrow(read, STARTS)
 
 
 RANK = 40
-SUFFIXES = "part int, k1 bigint, k2 bigint, place int, n bigint, a int, suffix binary, rank bigint, first binary, last binary, agree array<int>, rows array<bigint>"
+STRINGS = "part int, tid bigint, place int, n int, a int, suffix binary, rank bigint, first binary, last binary, agree array<int>, rows array<bigint>"
 
 
 def _parse_order(cut: DataFrame, length: int) -> DataFrame:
-    """Every string of the contexts with its follower's rank.
+    """Those strings of the contexts that agree with a neighbour behind the end, with their follower's rank.
 
-    Rows are sorted by what follows. For each the rows are kept from which on all agree with
-    it, by number of bytes; a string with ``a`` bytes before the end takes the row from which
-    on the next ``length - a`` bytes agree. Where that lies before the task's first row, the
+    Rows are sorted by what follows, over any number of tasks. A string takes as rank the row from
+    which on all agree with it as far as it goes. Where that lies before the task's first row, the
     rank is NULL and ``_ranked`` fills it in from the last row of each task (``suffix`` NULL).
+    Whoever agrees with a row in most bytes is its neighbour: strings that need more have
+    no equal. Over the borders of tasks they may have.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        first = last = None
-        agree: list[int] = []
-        rows: list[int] = []
-        place = 0
-        names = [c.split()[0] for c in SUFFIXES.split(", ")]
+        names = [c.split()[0] for c in STRINGS.split(", ")]
         schema = pa.schema(
-            list(zip(names, [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]))
+            list(zip(names, [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]))
         )
         empty = dict.fromkeys(names)
+        first = waiting = None
+        agree: list[int] = []
+        rows: list[int] = []
+        place = before = 0
+
+        def strings(row: dict, shared: int) -> Iterator[dict]:
+            """What ``row`` may share with a neighbour, ``shared`` bytes behind the end at most."""
+            at = 0
+            for a in range(row["high"], max(row["low"], length - shared) - 1, -1):
+                # Ascending number of bytes: the last row that agrees in fewer.
+                while at < len(agree) and agree[at] < length - a:
+                    at += 1
+                yield {**empty, "part": part, **{c: row[c] for c in ("tid", "place", "n")}, "a": a, "suffix": row["phrase"][:a], "rank": rows[at - 1] if at else None}
+
         for batch in batches:
-            out = []
+            out: list[dict] = []
             for row in batch.to_pylist():
-                follow = row["follow"]
-                if last is None:
-                    first = follow
+                if waiting is None:
+                    # What the task before ends with is not known here.
+                    first, shared = row["follow"], length
                 else:
-                    common = len(commonprefix([last, follow]))
-                    while agree and agree[-1] >= common:
+                    shared = common(waiting["follow"], row["follow"])
+                    out += strings(waiting, max(before, shared))
+                    while agree and agree[-1] >= shared:
                         agree.pop()
                         rows.pop()
-                    agree.append(common)
+                    agree.append(shared)
                     rows.append((part << RANK) + place)
-                last = follow
+                waiting, before = row, shared
                 place += 1
-                at = 0
-                for a in range(row["high"], row["low"] - 1, -1):
-                    # Ascending number of bytes: the last row that agrees in fewer.
-                    while at < len(agree) and agree[at] < length - a:
-                        at += 1
-                    suffix = row["left"][len(row["left"]) - a :]
-                    out.append({**empty, "part": part, **{c: row[c] for c in ("k1", "k2", "place", "n")}, "a": a, "suffix": suffix, "rank": rows[at - 1] if at else None})
             yield pa.RecordBatch.from_pylist(out, schema)
-        if last is not None:
-            yield pa.RecordBatch.from_pylist([{**empty, "part": part, "first": first, "last": last, "agree": agree, "rows": rows}], schema)
+        if waiting is not None:
+            out = [*strings(waiting, length), {**empty, "part": part, "first": first, "last": waiting["follow"], "agree": agree, "rows": rows}]
+            yield pa.RecordBatch.from_pylist(out, schema)
 
-    return cut.mapInArrow(read, SUFFIXES)
+    # The other columns deal ties out.
+    order = ["follow", "tid", "place"]
+    return cut.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(read, STRINGS)
 
 
 def _ranked(found: DataFrame, length: int) -> DataFrame:
     """``found`` with every rank; what tasks pass on to the next comes to the driver, one row each."""
-    depths = range(length - _reach(length)[0], length + 1)
+    depths = range(length - _reach(length), length + 1)
     base: dict[int, list[int]] = {}
     before = None
     for r in found.where("suffix IS NULL").orderBy("part").collect():
         own = r["part"] << RANK
-        common = len(commonprefix([before["last"], r["first"]])) if before else -1
+        shared = common(before["last"], r["first"]) if before else -1
         values = []
         for i, depth in enumerate(depths):
-            if common < depth:
+            if shared < depth:
                 values.append(own)
             else:
                 inside = [x for x, y in zip(before["rows"], before["agree"]) if y < depth]
                 values.append(inside[-1] if inside else base[before["part"]][i])
         base[r["part"]] = values
         before = r
-    spark = found.sparkSession
-    known = spark.createDataFrame(list(base.items()), "part int, base array<bigint>")
+    known = found.sparkSession.createDataFrame(list(base.items()), "part int, base array<bigint>")
     rows = found.where("suffix IS NOT NULL").join(F.broadcast(known), "part")
     rank = F.coalesce("rank", F.get("base", F.lit(length - depths[0]) - F.col("a")))
-    return rows.select(*KEY, "place", "n", "a", "suffix", rank.alias("rank"))
+    return rows.select("tid", "place", "n", "a", "suffix", rank.alias("rank"))
 
 
 def _dictionary_order(suffixes: DataFrame) -> DataFrame:
@@ -365,69 +549,68 @@ def _dictionary_order(suffixes: DataFrame) -> DataFrame:
     return distinct.repartitionByRange("suffix").sortWithinPartitions("suffix").mapInArrow(read, "suffix binary, suffix_rank bigint")
 
 
-def _rim(known: DataFrame, suspects: DataFrame, length: int) -> DataFrame:
-    """Starts of repeated strings in contexts found once: (k1, k2, a, b), first and last start."""
-    shared = known.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), F.min("n").alias("least"))
-    shared = pinned(shared.where("many > 1 AND least = 1").select("hash"))
-    open_ = known.join(shared, "hash")
-    ends = open_.select("first.*", "n").groupBy(*KEY).agg(F.collect_list(F.struct("place", "low", "high", "n")).alias("ends"))
-    cut = _cut_out(suspects.select(*KEY, "_text").join(pinned(ends), KEY), length)
-    # The other columns deal ties out.
-    order = ["follow", "k1", "k2", "place"]
-    placed = materialize(cut, "cut-contexts").repartitionByRange(*order).sortWithinPartitions(*order)
-    strings = materialize(_ranked(materialize(_parse_order(placed, length), "parse-order"), length), "strings")
-    dictionary = pinned(_dictionary_order(strings))
-    corpus = strings.join(dictionary, "suffix").select(*KEY, "place", "n", "a", "suffix_rank", "rank")
+def _over_ranges(cut: DataFrame, length: int) -> DataFrame:
+    """The starts of repeated strings in hot groups, by sorts over all of them."""
+    strings = materialize(_ranked(materialize(_parse_order(cut, length), "parse-order"), length), "strings")
+    corpus = strings.join(pinned(_dictionary_order(strings)), "suffix").select("tid", "place", "n", "a", "suffix_rank", "rank")
     twice = corpus.groupBy("suffix_rank", "rank").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     found = corpus.where("n = 1").join(pinned(twice.select("suffix_rank", "rank")), ["suffix_rank", "rank"])
     start = F.col("place") - F.col("a")
-    return found.select(*KEY, start.alias("a"), start.alias("b"))
-
-
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """For (k1, k2, _text): the texts that hold repeats with their spans, and the keys of copied texts.
-
-    Spans are (start, end) of repeated bytes, ascending and apart, counted over different
-    texts; a copied text is repeated as a whole.
-    """
-    reach = _reach(length)[0]
-    if length - reach < WINDOW:
+    return found.select("tid", start.alias("a"), start.alias("b"))
+
+
+def _rim(rim: DataFrame, suspects: DataFrame, length: int, group: int) -> DataFrame:
+    """The starts of repeated strings in contexts found once."""
+    sizes = rim.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"))
+    # A hash whose contexts are all repeated has nothing to find.
+    sizes = pinned(sizes.where("size > 1 AND least = 1").select("hash", (F.col("size") > group).alias("hot")))
+    rows = rim.join(sizes, "hash")
+    end = F.struct("hash", "place", "low", "high", "n")
+    texts = suspects.select("tid", "packed")
+    cut = lambda rows: _cut_out(texts.join(rows.groupBy("tid").agg(F.collect_list(end).alias("ends")), "tid"), length)
+    found = _in_groups(cut(rows.where(~F.col("hot"))), length)
+    if rows.where("hot").isEmpty():
+        return found
+    return found.unionByName(_over_ranges(materialize(cut(rows.where("hot")), "hot-contexts"), length))
+
+
+def _texts_with_repeats(texts: DataFrame, length: int, group: int) -> tuple[DataFrame, DataFrame]:
+    """(k1, k2, spans, kept) of the texts with repeats in them, and the keys of copied texts."""
+    if length - _reach(length) < WINDOW:
         raise ValueError(f"strings of {length} bytes are too short to hold a trigger and its context")
     texts = texts.where(F.octet_length("_text") >= length)
     marks = materialize(parsed(texts, length), "phrase-ends")
-    copied = marks.groupBy(*KEY).agg(F.sum("n").alias("n")).where("n > 1").select(*KEY)
-    ends = marks.select(*KEY, F.inline(F.arrays_zip(F.col("hashes").alias("hash"), F.col("places").alias("place"))))
+    copied = marks.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEY)
+    named = marks.where("hashes IS NOT NULL").groupBy(*KEY).agg(F.min("tid").alias("tid"))
+    ends = marks.select("tid", F.inline(F.arrays_zip(F.col("hashes").alias("hash"), F.col("places").alias("place"))))
     often = pinned(ends.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"))
-    places = ends.join(often, "hash").select(*KEY, "place")
-    odd = marks.select(*KEY, F.inline("odd")).dropDuplicates([*KEY, "word"])
-    words = pinned(odd.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").select("word"))
-    odd = materialize(odd.join(words, "word").select(*KEY, F.inline("runs")), "trigger-free")
-    # -1: a text that is needed for its trigger-free strings.
-    wanted = places.unionByName(odd.select(*KEY, F.lit(-1).alias("place")))
-    wanted = wanted.groupBy(*KEY).agg(F.array_sort(F.collect_set("place")).alias("places"))
-    once = texts.select(*KEY, "_text").mapInArrow(_once, "k1 bigint, k2 bigint, _text binary")
-    suspects = materialize(once.join(pinned(wanted), KEY).dropDuplicates(KEY), "suspects")
-    found = materialize(contexts(suspects, length), "contexts")
-    known = found.groupBy("f1", "f2").agg(
-        F.count(F.lit(1)).alias("n"), F.first("hash").alias("hash"), F.min(F.struct(*KEY, "place", "low", "high")).alias("first")
-    )
-    known = materialize(known, "distinct-contexts")
-    inside = found.join(pinned(known.where("n > 1").select("f1", "f2")), ["f1", "f2"])
-    inside = inside.select(*KEY, (F.col("place") - F.col("high")).alias("a"), (F.col("place") - F.col("low")).alias("b"))
-    starts = inside.unionByName(_rim(known, suspects, length)).unionByName(odd)
-    runs = starts.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("starts"))
-    return materialize(_merged(suspects.select(*KEY, "_text").join(pinned(runs), KEY), length), "repeats"), copied
+    places = ends.join(often, "hash").groupBy("tid").agg(F.collect_list("place").alias("places"))
+    wanted = places.join(pinned(named), "tid")
+    packed = texts.select(*KEY, "_text").mapInArrow(_packed, "k1 bigint, k2 bigint, packed binary")
+    suspects = packed.join(pinned(wanted), KEY).dropDuplicates(KEY).select("tid", *KEY, "packed", "places")
+    suspects = materialize(suspects, "suspects")
+    settled = materialize(_settled(contexts(suspects, length)), "settled-contexts")
+    settled = settled.where(F.col("kind") < FIRST).unionByName(_edges(settled))
+    start = lambda c: (F.col("place") - F.col(c)).alias("a" if c == "high" else "b")
+    inside = settled.where(F.col("kind") == REPEATED).select("tid", start("high"), start("low"))
+    rim = settled.where(F.col("kind") == RIM).select("hash", "tid", "place", "low", "high", "n")
+    starts = inside.unionByName(_rim(rim, suspects, length, group))
+    runs = starts.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("starts"))
+    return _merged(suspects.select("tid", *KEY, "packed").join(runs, "tid"), length), copied
 
 
 def _merged(texts: DataFrame, length: int) -> DataFrame:
     """Runs of starts as spans, and the bytes outside them."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from zstandard import ZstdDecompressor
+
+        unpack = ZstdDecompressor().decompress
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             spans, kept = [], []
-            for text, starts in zip(batch.column(2), batch.column(3).to_pylist()):
-                text, merged = text.as_py(), []
+            for packed, starts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                text, merged = unpack(packed), []
                 for x in starts:
                     if merged and x["a"] <= merged[-1]["end"]:
                         merged[-1]["end"] = max(merged[-1]["end"], x["b"] + length)
@@ -438,50 +621,47 @@ def _merged(texts: DataFrame, length: int) -> DataFrame:
                 spans.append(merged)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(spans, span), pa.array(kept, pa.binary())], ["k1", "k2", "spans", "kept"])
 
-    return texts.select(*KEY, "_text", "starts").mapInArrow(read, "k1 bigint, k2 bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
+    return texts.select(*KEY, "packed", "starts").mapInArrow(read, "k1 bigint, k2 bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
 
 
-def _answers(docs: DataFrame, length: int) -> DataFrame:
-    """One row per text with repeats: its key, and ``spans`` and ``kept`` or ``whole``."""
-    spans, copied = repeated_spans(docs.select(*KEY, "_text"), length)
-    both = spans.withColumn("whole", F.lit(False)).unionByName(copied.withColumn("whole", F.lit(True)), allowMissingColumns=True)
-    # A copied text has no need of its spans.
-    return both.groupBy(*KEY).agg(F.max("whole").alias("whole"), F.max_by("spans", F.col("spans").isNotNull()).alias("spans"), F.max_by("kept", F.col("kept").isNotNull()).alias("kept"))
+def _joined(rows: DataFrame, answers: DataFrame, copied: DataFrame) -> DataFrame:
+    """``rows`` with what was found for their text; ``whole`` for copied texts."""
+    whole = pinned(copied.withColumn("whole", F.lit(True)))
+    return rows.join(pinned(answers), KEY, "left").join(whole, KEY, "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """``docs`` with ``spans`` of repeated bytes and ``kept``, the text without them, as binary.
 
     Columns of these two names are replaced.
     """
     rows = _keyed(docs.select("text", F.struct(*docs.columns).alias("_row")))
+    found, copied = _texts_with_repeats(rows.select(*KEY, "_text"), length, group)
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.octet_length("_text").cast("bigint").alias("end")))
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    joined = rows.join(pinned(_answers(rows, length)), KEY, "left")
-    return joined.select(
+    return _joined(rows, found, copied).select(
         *[F.col(f"_row.`{c}`") for c in docs.columns if c not in ("spans", "kept")],
         F.when(F.col("whole"), whole).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(F.col("whole"), F.lit(b"")).otherwise(F.coalesce("kept", "_text")).alias("kept"),
     )
 
 
-def repeats_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats_digest(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
 
     Only texts with repeats are looked at again; the others' digest is taken on the way in.
     """
     rows = _keyed(docs.select("doc_id", "text"))
-    size = F.octet_length("_text").cast("bigint")
-    narrow = rows.select("doc_id", *KEY, size.alias("n_bytes"), F.sha2("_text", 256).alias("_all"))
+    found, copied = _texts_with_repeats(rows.select(*KEY, "_text"), length, group)
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
-    found = _answers(rows, length)
-    found = found.select(*KEY, "whole", removed.alias("_removed"), F.size("spans").cast("bigint").alias("_spans"), F.sha2("kept", 256).alias("_sha"))
-    joined = narrow.join(pinned(found), KEY, "left")
+    found = found.select(*KEY, removed.alias("_removed"), F.size("spans").cast("bigint").alias("_spans"), F.sha2("kept", 256).alias("_sha"))
+    narrow = rows.select("doc_id", *KEY, F.octet_length("_text").cast("bigint").alias("n_bytes"), F.sha2("_text", 256).alias("_all"))
     nothing = F.sha2(F.lit(b""), 256)
-    return joined.select(
+    whole = F.col("whole")
+    return _joined(narrow, found, copied).select(
         "doc_id",
         "n_bytes",
-        F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("whole"), F.lit(1)).otherwise(F.coalesce("_spans", F.lit(0))).cast("bigint").alias("n_spans"),
-        F.when(F.col("whole"), nothing).otherwise(F.coalesce("_sha", "_all")).alias("kept_sha256"),
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("_removed", F.lit(0))).alias("n_removed"),
+        F.when(whole, F.lit(1)).otherwise(F.coalesce("_spans", F.lit(0))).cast("bigint").alias("n_spans"),
+        F.when(whole, nothing).otherwise(F.coalesce("_sha", "_all")).alias("kept_sha256"),
     )
