@@ -51,7 +51,7 @@ from foliant.operators.pinning import pinned
 LENGTH = 200
 WINDOW = 8
 # Bytes looked at together; texts a task remembers; contexts that one task puts in order.
-SLICE, SEEN, GROUP = 4 << 20, 1 << 17, 20_000
+SLICE, SEEN, GROUP = 1 << 20, 1 << 17, 20_000
 KEY = ["k1", "k2"]
 
 
