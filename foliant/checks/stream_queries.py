@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from foliant.checks import bindings as b
 from foliant.checks.registry import query
+from foliant.functions.text import title_key
 from foliant.plans.crawl import judge_pages
 from foliant.session import scratch
 from foliant.streaming import crawl as s
+from foliant.streaming.titles import flag_first_titles, state_on_disk
 
 
 def _landed(spark, rows):
@@ -62,3 +64,37 @@ def stream_store(spark, d):
         _finish(s.run(s.stream_triage(stream), state, batch=s.store_sink(store, order="pos")))
     books = spark.read.schema("ISBN string, Title string").json(f"{store}/books")
     return books.select(F.col("ISBN").alias("isbn"), F.col("Title").alias("title"))
+
+
+FIRST_SQL = f"""
+    WITH t AS (SELECT doc_id, {b.title_key_sql("text")} AS k FROM documents)
+    SELECT doc_id, CASE WHEN k IS NOT NULL THEN row_number() OVER (PARTITION BY k ORDER BY doc_id % 4, doc_id) = 1 END AS is_first FROM t"""
+
+
+@query("stream_first_titles", FIRST_SQL)
+def stream_first(spark, d):
+    """The first document of each text by order of arrival, over four batches and a restart."""
+    out, state = scratch(spark, "first-titles"), scratch(spark, "first-titles-state")
+    docs = b.table(spark, d, "documents").select("doc_id", F.col("doc_id").alias("pos"), title_key("text").alias("title_key"))
+    stream = _landed(spark, docs)
+    for _ in range(2):
+        with state_on_disk(spark):
+            query = s.run(flag_first_titles(stream, "pos").select("doc_id", "is_first"), state, out)
+        _finish(query)
+    return spark.read.parquet(out)
+
+
+@query("stream_settled_store", f"""WITH {b.PAGES_SQL}, landed AS (
+      SELECT *, row_number() OVER (PARTITION BY early, lower(title) ORDER BY page_id % 4, page_id) AS n FROM judged)
+    SELECT 'book' AS part, isbn, title FROM landed WHERE early IS NULL AND n = 1
+    UNION ALL SELECT 'duplicate', isbn, NULL FROM landed WHERE early IS NULL AND n > 1""")
+def stream_settled_store(spark, d):
+    """Landed pages settled by the state of their titles; what was saved and what was a duplicate."""
+    store, state = scratch(spark, "settled-store"), scratch(spark, "settled-state")
+    stream = _landed(spark, b.crawled_pages(spark, d))
+    for _ in range(2):
+        _finish(s.run_settled(s.stream_triage(stream), store, state, order="pos"))
+    books = spark.read.schema("ISBN string, Title string").json(f"{store}/books")
+    noted = spark.read.parquet(f"{store}/checkpoint").where("disposition = 'duplicate'")
+    saved = books.select(F.lit("book").alias("part"), F.col("ISBN").alias("isbn"), F.col("Title").alias("title"))
+    return saved.unionByName(noted.select(F.lit("duplicate").alias("part"), "isbn", F.lit(None).cast("string").alias("title")))

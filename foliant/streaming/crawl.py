@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foliant.functions.text import title_key
+from foliant.operators import triage as t
 from foliant.operators.pages import GENRE_HREF
 from foliant.plans.crawl import judge_pages, new_dispositions, numbered, saved_books, settle_duplicates, stored_title_keys
 from foliant.sources.writers import CSV, scraped_csv_rows
+from foliant.streaming.titles import flag_first_titles, state_on_disk
 
 
 def stream_pages(
@@ -36,8 +38,8 @@ def stream_dedup_titles(
 ) -> DataFrame:
     """One row per title over the whole life of the query.
 
-    Of several rows that come in one micro-batch any may be the one kept; ``store_sink``
-    keeps the first by its order. The state grows with the number of distinct titles. With ``event_time`` and
+    Of several rows that come in one micro-batch any may be the one kept; ``flag_first_titles``
+    keeps the first by an order. The state grows with the number of distinct titles. With ``event_time`` and
     ``delay`` it only spans that interval and stays bounded, at the price of
     letting a title through again after it.
     """
@@ -52,12 +54,54 @@ def stream_dispositions(dispositions: DataFrame) -> DataFrame:
     return dispositions.groupBy("disposition").agg(F.count(F.lit(1)).alias("isbns"))
 
 
+def stream_settled(judged: DataFrame, order: str, known: DataFrame | None = None, ttl_ms: int | None = None) -> DataFrame:
+    """Judged pages with every disposition filled in: the first page of a title is saved.
+
+    First by micro-batch, within one by ``order``; see ``flag_first_titles``. ``known`` lists
+    the title keys of books stored before the query's first batch.
+    """
+    flagged = flag_first_titles(judged, order, known, ttl_ms)
+    verdict = F.when(F.col("is_first"), t.SAVED).otherwise(F.lit(t.DUPLICATE))
+    return flagged.withColumn("disposition", F.coalesce("disposition", verdict)).drop("is_first", "title_key")
+
+
+def settled_sink(store: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer of settled pages: books as JSON and CSV, checkpoint.
+
+    Every batch owns one partition of each dataset and overwrites it. The state of the query
+    knows the titles, so no batch reads what earlier ones have written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = f"batch={batch_id}"
+        settled_at = f"{store}/settled/{part}"
+        batch.write.mode("overwrite").parquet(settled_at)
+        _write_store(batch.sparkSession.read.parquet(settled_at), store, part)
+
+    return write
+
+
+def _write_store(settled: DataFrame, store: str, part: str) -> DataFrame:
+    books = saved_books(settled)
+    books.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{store}/books/{part}")
+    scraped_csv_rows(books).write.mode("overwrite").options(**CSV).csv(f"{store}/books_csv/{part}")
+    new_dispositions(settled).write.mode("overwrite").parquet(f"{store}/checkpoint/{part}")
+    return books
+
+
+def run_settled(judged: DataFrame, store: str, checkpoint: str, order: str, known: DataFrame | None = None, **options) -> StreamingQuery:
+    """Start the crawl into ``store``: titles settled by state, then written batch by batch."""
+    with state_on_disk(judged.sparkSession):
+        return run(stream_settled(judged, order, known), checkpoint, batch=settled_sink(store), **options)
+
+
 def store_sink(store: str, order: str = "isbn") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer of judged pages: books as JSON and CSV, titles, checkpoint.
 
     Every batch owns one partition of each dataset and overwrites it, so a batch
     that is run again after a failure leaves the store as if it had run once. The
-    known titles are a narrow dataset of earlier batches, joined by key.
+    known titles are a narrow dataset of earlier batches, joined by key, which every batch
+    reads: ``run_settled`` keeps them as state instead.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -68,11 +112,7 @@ def store_sink(store: str, order: str = "isbn") -> Callable[[DataFrame, int], No
         settled = settle_duplicates(rows, order, _titles_before(spark, store, batch_id))
         settled.write.mode("overwrite").parquet(settled_at)
         rows.unpersist()
-        settled = spark.read.parquet(settled_at)
-        books = saved_books(settled)
-        books.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{store}/books/{part}")
-        scraped_csv_rows(books).write.mode("overwrite").options(**CSV).csv(f"{store}/books_csv/{part}")
-        new_dispositions(settled).write.mode("overwrite").parquet(f"{store}/checkpoint/{part}")
+        books = _write_store(spark.read.parquet(settled_at), store, part)
         stored_title_keys(books).write.mode("overwrite").parquet(f"{store}/titles/{part}")
 
     return write
