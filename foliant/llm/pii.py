@@ -12,7 +12,8 @@ Only rows with a digit or an at sign reach Python; all others stay in the JVM.
 
 Defined results: a NULL text stays NULL and an empty one empty, both with no spans;
 repeated rows get equal results; other columns and their names do not matter; an empty
-table gives an empty result. Texts are taken whole.
+table gives an empty result. Texts are taken whole, in time in proportion to their length
+whatever they hold; an address whose name has more than 64 characters is none.
 """
 
 from __future__ import annotations
@@ -214,19 +215,58 @@ KINDS = {
 }
 
 
+# A mailbox name of more characters is no valid one.
+LONGEST_NAME = 64
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+NAME = re.compile(r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*")
+
+
 def finder():
-    return re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (_, pattern) in KINDS.items()))
+    """All kinds but e-mail; no pattern looks further than its own value is long."""
+    return re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, (_, pattern) in KINDS.items() if kind != "email"))
 
 
-def _valid(m: re.Match, turn) -> tuple[int, str | None]:
-    """End and pseudonym of the value that begins with ``m``; a card may be followed by other digits."""
-    told, end = KINDS[m.lastgroup][0](m[0], turn), m.end()
-    if told is None and m.lastgroup == "card":
-        for gap in reversed(list(re.finditer("[ -]", m[0]))):
-            told, end = _card(m[0][: gap.start()], turn), m.start() + gap.start()
-            if told is not None:
-                break
-    return end, told
+def _addresses(text: str) -> list[tuple[int, int, int]]:
+    """(first place of the name, place of the at sign, end) of e-mail addresses.
+
+    Names are read backwards from their at sign, so that no run of letters is looked at twice.
+    """
+    out, before = [], 0
+    at = text.find("@")
+    while at >= 0:
+        domain = DOMAIN.match(text, at + 1)
+        name = domain and NAME.match(text[max(before, at - LONGEST_NAME - 2) : at][::-1])
+        if name and len(name[0]) <= LONGEST_NAME:
+            out.append((at - len(name[0]), at, domain.end()))
+        before = at + 1
+        at = text.find("@", before)
+    return out
+
+
+DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
+
+
+def _card_end(found: str) -> int:
+    """How much of ``found`` is the longest valid card that digits do not follow at once; 0 if none is."""
+    n, best, sums = 0, 0, [0, 0]
+    for at, c in enumerate(found):
+        if c in " -":
+            continue
+        d = ord(c) - 48
+        # By parity of the number's length: which digits count double.
+        sums[n & 1] += DOUBLED[d]
+        sums[~n & 1] += d
+        n += 1
+        if n >= 13 and sums[n & 1] % 10 == 0 and found[at + 1 : at + 2] in (" ", "-", ""):
+            best = at + 1
+    return best
+
+
+def _valid(kind: str, found: str, start: int, turn) -> tuple[int, str | None]:
+    """End and pseudonym of the value ``found`` at ``start``; a card may be followed by other digits."""
+    if kind == "card":
+        found = found[: _card_end(found)]
+    return start + len(found), KINDS[kind][0](found, turn) if found else None
 
 
 def replace_all(text: str, key: bytes, pattern=None, back: bool = False) -> tuple[str, list[tuple[str, int, int, str]]]:
@@ -234,20 +274,35 @@ def replace_all(text: str, key: bytes, pattern=None, back: bool = False) -> tupl
     pattern = pattern or finder()
     turn = lambda value, size, tweak: permute(value, size, key, tweak.encode(), back)
     out, spans, at, size = [], [], 0, 0
-    m = pattern.search(text)
-    while m:
-        end, told = _valid(m, turn)
+    addresses = iter(_addresses(text))
+    address, m, begin = next(addresses, None), pattern.search(text), 0
+    while True:
+        # The first value from ``begin`` on; of those that begin together the address.
+        while address:
+            first = max(address[0], begin)
+            first += text[first : first + 1] == "."
+            if first < address[1]:
+                break
+            address = next(addresses, None)
+        if m and m.start() < begin:
+            m = pattern.search(text, begin)
+        if address and (not m or first <= m.start()):
+            kind, start, found = "email", first, text[first : address[2]]
+        elif m:
+            kind, start, found = m.lastgroup, m.start(), m[0]
+        else:
+            break
+        end, told = _valid(kind, found, start, turn)
         if told is None:
             # Another value may begin within what did not validate.
-            m = pattern.search(text, m.start() + 1)
+            begin = start + 1
             continue
-        out.append(text[at : m.start()])
-        size += m.start() - at
-        spans.append((m.lastgroup, size, len(told), told))
+        out.append(text[at:start])
+        size += start - at
+        spans.append((kind, size, len(told), told))
         out.append(told)
         size += len(told)
-        at = end
-        m = pattern.search(text, at)
+        at = begin = end
     out.append(text[at:])
     return "".join(out), spans
 

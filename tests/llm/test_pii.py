@@ -1,5 +1,8 @@
 """Pseudonyms: bijection, formats, linking, round trip."""
 
+import random
+import re
+
 import pytest
 
 from foliant.llm.pii import KEY, luhn, mask, permute, pii, replace_all, restore
@@ -82,3 +85,67 @@ def test_documents(spark):
     assert told.columns == df.columns
     assert [r.spans for r in told.collect()] == [r[2] for r in rows]
     assert pii(df.limit(0)).count() == 0
+
+
+def plain(text, key):
+    """The plain finder: every kind tried at every place, in the order of ``KINDS``."""
+    from foliant.llm.pii import KINDS, _card, permute
+
+    turn = lambda value, size, tweak: permute(value, size, key, tweak.encode())
+    patterns = [(kind, make, re.compile(p)) for kind, (make, p) in KINDS.items()]
+    out, spans, at = "", [], 0
+    while at < len(text):
+        for kind, make, pattern in patterns:
+            m = pattern.match(text, at)
+            if not m or kind == "email" and len(re.search(r"(?:[A-Za-z0-9_%+-]+\.)*[A-Za-z0-9_%+-]+$", text[: m.start() + m[0].index("@")])[0]) > 64:
+                continue
+            told, end = make(m[0], turn), m.end()
+            if told is None and kind == "card":
+                for cut in [i for i in range(len(m[0]) - 1, 0, -1) if m[0][i] in " -"]:
+                    told, end = _card(m[0][:cut], turn), at + cut
+                    if told is not None:
+                        break
+            if told is not None:
+                spans.append((kind, len(out), len(told), told))
+                out, at = out + told, end
+            break
+        else:
+            told = None
+        if told is None:
+            out, at = out + text[at], at + 1
+    return out, spans
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_spans_against_a_plain_finder(seed):
+    from foliant.llm.pii import replace_all
+
+    rng = random.Random(seed)
+    parts = ["a@b.co", "x.y%z+1@mail-1.example.org", "@", ".", "..", "-", "a", "B9", "_", " ", "4111 1111 1111 1111", "4111-1111-1111-1111 22", "+1 (212) 555-0199", "192.168.1.7",
+             "2024-02-29", "1/2/1999", "078-05-1120", "DE89 3704 0044 0532 0130 00", "d41d8cd98f00b204e9800998ecf8427e", "1", "00", "=\"", "\"", "a.b.c", "é"]
+    for _ in range(60):
+        text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        assert replace_all(text, b"k") == plain(text, b"k"), text
+
+
+@pytest.mark.parametrize("part", ["a", "7", "a.", "1-", "@", "a@", "a@b.co ", "+1", "aB3", "4111 ", "1.", "2024-", "é@"])
+def test_long_runs_take_linear_time(part):
+    import time
+
+    from foliant.llm.pii import finder, replace_all
+
+    text, pattern = part * (1_000_000 // len(part)), finder()
+    start = time.process_time()
+    if part == "a@b.co ":
+        text = text[:100_000]
+    told, _ = replace_all(text, b"k", pattern)
+    assert len(told) == len(text)
+    # A second on an idle core; a quadratic search takes hours.
+    assert time.process_time() - start < 15
+
+
+def test_long_names_are_no_addresses():
+    from foliant.llm.pii import replace_all
+
+    assert replace_all("a" * 64 + "@b.co", b"k")[1][0][2] == 69
+    assert replace_all("a" * 65 + "@b.co", b"k") == ("a" * 65 + "@b.co", [])
