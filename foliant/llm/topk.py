@@ -12,11 +12,10 @@ Blocks meet the queries by a key of their own: a task holds one block and stream
 queries past it. The best k of each block are cut to the best k of all by a window.
 
 Defined results: vectors that are NULL or hold NULL or non-finite components take no part;
-shorter vectors are filled up with zeros; quantised components beyond 2^40 are held at
-it; rows that repeat a vec_id are candidates and queries of their own, and a query's
+shorter vectors are filled up with zeros; quantised components and scores must fit 64
+bits, else the query raises an error; rows that repeat a vec_id are candidates and queries of their own, and a query's
 own row only is left out; a NULL vec_id is a candidate that loses every tie and no
-query; other columns are ignored; an empty table gives an empty result. Scores are
-64-bit and wrap around beyond that.
+query; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,20 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foliant.llm.common import materialize
 
 SCALE, EVERY, K, BLOCK = 64, 20, 20, 8192
-LIMIT = 1 << 40
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``_row``, ``vec_id`` and whole components ``_v`` of the vectors that take part."""
-    whole = F.transform(
-        "embedding",
-        lambda x: F.floor(F.greatest(F.lit(-float(LIMIT)), F.least(F.lit(float(LIMIT)), x.cast("double") * scale))).cast("bigint"),
-    )
+    def entry(x: Column) -> Column:
+        far = F.raise_error(F.lit("a component of an embedding leaves 64 bits")).cast("bigint")
+        return F.when(F.abs(x.cast("double") * scale) < 2.0**63, F.floor(x.cast("double") * scale).cast("bigint")).otherwise(far)
+
+    whole = F.transform("embedding", entry)
     finite = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")), F.lit(False)))
     kept = vectors.where(F.col("embedding").isNotNull() & finite)
     return kept.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole.alias("_v")).withColumn("_row", F.monotonically_increasing_id())
@@ -119,7 +118,17 @@ class Block:
         places = self._places(sure)
         if found < k:
             places = np.concatenate([places, self._places(open_)[: k - found]])
-        return places, self.rows[places] @ weights
+        return places, self._scores(places, weights)
+
+    def _scores(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        rows = self.rows[places]
+        if (np.abs(rows.astype(np.float64)) @ np.abs(weights.astype(np.float64))).max(initial=0) < 2.0**62:
+            return rows @ weights
+        # Near the end of 64 bits in numbers without one.
+        exact = [int(x) for x in rows.astype(object) @ weights.astype(object)]
+        if any(not -(2**63) <= x < 2**63 for x in exact):
+            raise OverflowError("a score leaves 64 bits")
+        return np.array(exact, np.int64)
 
     def _places(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))

@@ -50,3 +50,14 @@ def test_fewer_than_k_and_empty(spark):
     assert [tuple(r) for r in top_k(df).collect()] == [(0, 1, 1, 64 * 128)]
     assert top_k(df.where("vec_id = 0")).count() == 0
     assert top_k(df.limit(0)).count() == 0
+
+
+def test_large_components(spark):
+    kind = "vec_id long, embedding array<double>"
+    far = [(0, [1.0, 1.0]), (1, [2.0**36, 1.0]), (2, [2.0**48, -1.0]), (3, [-(2.0**48), 0.0]), (4, [2.0**36, 0.0])]
+    got = [tuple(r) for r in top_k(spark.createDataFrame(far, kind)).orderBy("rank").collect()]
+    assert got == [(0, 1, 2, 64 * (2**54 - 64)), (0, 2, 1, 64 * (2**42 + 64)), (0, 3, 4, 64 * 2**42), (0, 4, 3, -64 * 2**54)]
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], kind)).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(spark.createDataFrame([(0, [1.0]), (1, [2.0**60])], kind)).collect()
