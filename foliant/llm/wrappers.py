@@ -14,14 +14,18 @@ container holds all text in slots outside menus, headers, footers and the like.
 the others hold is the same on all pages, so no slot of any page is left behind.
 Pages then give the texts found along that path, without such elements and without the
 texts that are the same on all of at least four distinct pages of the host. Within an
-article or main element no text counts as the same. A page that does not fit its wrapper
+article or main element no text counts as the same, and a header is the article's own. A class that has a
+word for furniture in it marks a group that is not around the article, or, on pages without
+one, that holds less than half of the page's text; a form around the main text is no
+furniture. A page that does not fit its wrapper
 is judged by a wrapper of its own, and where all of its text lies in menus and the like,
 all of it is given.
 
 Defined results: a NULL or empty page has no text; NULL and unreadable urls share a host;
 repeated rows are pages of their own but count once for what is the same on all pages; further columns are
 ignored; an empty table gives an empty result. Pages are read whole, and truncated ones
-as far as they go.
+as far as they go; elements nested more than 200 levels deep give their text to their
+ancestor at that level.
 """
 
 from __future__ import annotations
@@ -46,6 +50,10 @@ BLOCK = set(
 )
 CLOSES_P = BLOCK - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 CONTAINER = set("#page html body main article section div center table tbody tr td".split())
+# Elements whose class may hint at furniture: groups, not the pieces of a text.
+HINTS = set("div section ul ol dl table span iframe figure center".split())
+# Levels of elements; what is nested deeper is read as if it stood at this level.
+DEEPEST = 200
 FURNITURE = set("aside button dialog footer form head header menu nav search".split())
 # Words of class, id and role that name what is not the article.
 NAMES = set(
@@ -55,8 +63,9 @@ NAMES = set(
     "sharebar sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 
+# A quote counts where it follows an equals sign only.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<(/?)([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
@@ -68,23 +77,40 @@ ALIKE = {"li": "ul ol menu", "dd": "dl", "dt": "dl", "tr": "table tbody thead tf
 
 
 class Node:
-    __slots__ = ("tag", "key", "kids", "furniture", "main")
+    """``main``: an article or around one; ``hinted``: perhaps furniture; ``size``: letters in it, furniture left out."""
 
-    def __init__(self, tag: str, key: str, furniture: bool):
-        self.tag, self.key, self.furniture, self.kids = tag, key, furniture, []
-        self.main = tag in ("article", "main")
+    __slots__ = ("tag", "key", "kids", "furniture", "hinted", "main", "size")
+
+    def __init__(self, tag: str, key: str, furniture: bool, hinted: bool = False):
+        self.tag, self.key, self.furniture, self.hinted, self.kids = tag, key, furniture, hinted, []
+        self.main, self.size = tag in ("article", "main"), 0
+
+
+# Words that turn a name into a statement about an element, as in has-sidebar.
+STATES = set("has no not is with without and".split())
+
+
+def _parts(token: str) -> list[str]:
+    return re.findall(r"[^\W\d_]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
 
 
 def _named(token: str) -> bool:
     """Is a whole class, id or role made of nothing but ``NAMES``? (``ad-banner`` and ``navMenu`` are, ``has-sidebar`` is not.)"""
     if token.lower() in NAMES:
         return True
-    parts = re.findall(r"[^\W\d_]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower())
+    parts = _parts(token)
     return bool(parts) and all(p in NAMES for p in parts)
 
 
-def _open(tag: str, attributes: str) -> Node:
-    names, furniture = "", tag in FURNITURE
+def _hinted(token: str) -> bool:
+    """Does a part of a class, id or role name furniture? (``site-header`` and ``comment-list`` do.)"""
+    parts = _parts(token)
+    return any(p in NAMES for p in parts) and not any(p in STATES for p in parts)
+
+
+def _open(tag: str, attributes: str, within: bool) -> Node:
+    """``within``: in an article, whose header is no page's."""
+    names, furniture, hinted = "", tag in FURNITURE and not (within and tag == "header"), False
     if attributes:
         for kind, value in ATTRIBUTE.findall(attributes):
             value = value.strip("\"'")
@@ -92,27 +118,56 @@ def _open(tag: str, attributes: str) -> Node:
                 names += "." + re.sub(r"\d+", "", " ".join(value.split()))
             if tag not in ("html", "body", "main", "article"):
                 furniture = furniture or any(map(_named, value.split()))
+                hinted = hinted or tag in HINTS and any(map(_hinted, value.split()))
         furniture = furniture or bool(HIDDEN.search(attributes))
-    return Node(tag, tag + names, furniture)
+    return Node(tag, tag + names, furniture, hinted)
 
 
 def parse(page: str) -> Node:
     """The tree of a page, with the omitted and misplaced end tags of ordinary pages."""
     root = Node("#page", "#page", False)
     stack = [root]
+    # Open elements beyond ``DEEPEST``, how many of each tag, and how many of them are furniture.
+    deep: list[tuple[str, bool]] = []
+    counts: dict[str, int] = {}
+    hidden = within = 0
     at, n = 0, len(page)
 
     def text(part: str) -> None:
+        if hidden:
+            return
         if part and not part.isspace():
             stack[-1].kids.append(entities.unescape(part) if "&" in part else part)
         elif part and stack[-1].kids:
             stack[-1].kids.append(" ")
 
-    def close(tag: str) -> None:
+    def close() -> None:
+        nonlocal within
         node = stack.pop()
+        within -= node.tag in ("article", "main")
         if node.main and len(stack) > 0:
             stack[-1].main = True
 
+    def close_to(size: int) -> None:
+        """Leave ``size`` elements open."""
+        nonlocal hidden
+        deep.clear()
+        counts.clear()
+        hidden = 0
+        while len(stack) > size:
+            close()
+
+    def close_deep(tag: str) -> None:
+        nonlocal hidden
+        while deep:
+            last, furniture = deep.pop()
+            counts[last] -= 1
+            hidden -= furniture
+            if last in BLOCK:
+                stack[-1].kids.append(Node(last, last, False))
+            if last == tag:
+                return
+
     while at < n:
         m = TOKEN.search(page, at)
         if not m:
@@ -128,10 +183,14 @@ def parse(page: str) -> Node:
             if tag == "br":
                 stack[-1].kids.append(Node("br", "br", False))
                 continue
+            if counts.get(tag):
+                close_deep(tag)
+                continue
+            if deep and tag not in BLOCK:
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    while len(stack) > i:
-                        close(tag)
+                    close_to(i)
                     break
                 if tag not in BLOCK and stack[i].tag in SCOPES:
                     break
@@ -141,32 +200,83 @@ def parse(page: str) -> Node:
                 at = RAW_END[tag].search(page, at).end()
             continue
         if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    while len(stack) > i:
-                        close("p")
-                    break
-                if stack[i].tag in SCOPES:
-                    break
-        if tag in ALIKE:
+            if counts.get("p"):
+                close_deep("p")
+            elif not deep:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag == "p":
+                        close_to(i)
+                        break
+                    if stack[i].tag in SCOPES:
+                        break
+        if tag in ALIKE and not deep:
             stops = ALIKE[tag].split()
             same = ("dd", "dt") if tag in ("dd", "dt") else ("td", "th") if tag in ("td", "th") else (tag,)
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in same:
-                    while len(stack) > i:
-                        close(tag)
+                    close_to(i)
                     break
                 if stack[i].tag in stops:
                     break
-        node = _open(tag, m[3] or "")
-        stack[-1].kids.append(node)
-        if tag not in VOID and not (m[3] or "").endswith("/"):
-            stack.append(node)
-    while len(stack) > 1:
-        close("")
+        node = _open(tag, m[3] or "", within > 0)
+        leaf = tag in VOID or (m[3] or "").endswith("/")
+        if len(stack) <= DEEPEST:
+            stack[-1].kids.append(node)
+            if not leaf:
+                stack.append(node)
+                within += tag in ("article", "main")
+            continue
+        # Too deep for an element of its own: its text is its ancestor's, a block still ends the line.
+        if tag in BLOCK:
+            stack[-1].kids.append(Node(tag, tag, False))
+        if not leaf:
+            deep.append((tag, node.furniture))
+            counts[tag] = counts.get(tag, 0) + 1
+            hidden += node.furniture
+    close_to(1)
+    _judge(root)
     return root
 
 
+def _judge(root: Node) -> None:
+    """Settle what only the whole page tells: hints beside the main text, and forms around it."""
+
+    def measure(node: Node) -> int:
+        node.size = sum(len(k) if isinstance(k, str) else measure(k) for k in node.kids)
+        return 0 if node.furniture else node.size
+
+    def settle(node: Node, total: int, within: bool) -> None:
+        for kid in node.kids:
+            if isinstance(kid, str):
+                continue
+            inside = within or kid.tag in ("article", "main")
+            # Without an article the main text is where most of the page's is.
+            if kid.hinted and not kid.main and (root.main or 2 * kid.size < total):
+                kid.furniture = True
+            if kid.tag == "form" and not within and (kid.main or not root.main and 2 * kid.size > total):
+                kid.furniture = False
+            settle(kid, total, inside)
+
+    outside = measure(root)
+    forms = _forms(root)
+    settle(root, max(outside, outside + forms), False)
+
+
+def _forms(root: Node) -> int:
+    """Letters in the outermost forms."""
+    total, todo = 0, [root]
+    while todo:
+        node = todo.pop()
+        for kid in node.kids:
+            if isinstance(kid, str):
+                continue
+            if kid.tag == "form":
+                total += kid.size
+            elif not kid.furniture:
+                todo.append(kid)
+    return total
+
+
 def _dropped(node: Node) -> bool:
     """Furniture, unless it is a mere name of something around the article."""
     return node.furniture and (node.tag in FURNITURE or not node.main or node.tag in ("article", "main"))

@@ -82,6 +82,16 @@ def test_no_slot_is_left_behind():
     ("<div class='content no-sidebar'><p>x</p></div><div class='sidebar'>y</div>", "x"), ("<article class='social'>x</article>", "x"),
     ("<div class='postWithComments'>x</div><div id='navMenu'>y</div><div class='ad-banner-2'>z</div>", "x"),
     ("<div class='widget'><p>a</p></div><footer>b</footer>", "a\nb"), ("<form><p>x</p></form>", "x"),
+    # Quotes that follow no equals sign; headers and forms of the main text.
+    ("<p data-x=it's>First words. I don't know.</p><p>Second</p>", "First words. I don't know.\nSecond"), ("<p title=\"5\" tall\">x</p>y", "x\ny"),
+    ("<article><header><h1>Title</h1></header><p>Body</p></article><header>Site</header>", "Title\nBody"),
+    ("<form id=aspnet><div><p>Body text here</p></div></form><p>tail</p>", "Body text here\ntail"),
+    ("<form><nav>Menu</nav><article><p>In</p></article><button>Go</button></form>", "In"), ("<form><label>Find</label></form><p>A text that is longer</p>", "A text that is longer"),
+    # Parts of names, beside an article and on pages without one.
+    ("<div class='site-header'>s</div><article>x</article><div id='left-sidebar'>l</div><ul class='main-nav'><li>m</ul>", "x"),
+    ("<article>x<div class='ad-slot'>Buy</div></article><ol class='comment-list'><li>First! I say more than the article does.</ol>", "x"),
+    ("<div class='cookie-bar'>ok</div><div class='story'><p>Words of the story.</p></div><div class='user-comments'>no</div>", "Words of the story."),
+    ("<div class='news-related'><p>All that the page has to say</p></div>", "All that the page has to say"),
 ])
 def test_names_are_whole_classes(html, text):
     assert extract(html, None) == text
@@ -96,3 +106,21 @@ def test_copies_in_many_tasks_and_equal_texts_of_articles(spark):
     got = {r.page_id: r.text for r in main_texts(df).collect()}
     assert {got[i] for i in range(8)} == {"Only once\nfirst\nsecond\nthird\nEnd"}
     assert all(got[10 + i] == "Summary\n" + ("text %d " % i * 9).strip() for i in range(8))
+
+
+def deep(levels, tag, inner):
+    return f"<{tag}>" * levels + inner + f"</{tag}>" * levels
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "span", "ul", "table", "article"])
+def test_any_depth(tag):
+    assert extract(deep(100_000, tag, "<p>one</p>two<br>three"), None) == "one\ntwo\nthree"
+    assert extract(deep(100_000, tag, "<p>a <i>b</i></p><nav>menu</nav><p>c"), None) == "a b\nc"
+    assert extract("<p>x</p>" + f"<{tag}>" * 100_000 + "y" + "</div></span>" * 1000 + "z", None).replace("\n", "") == "xyz"
+
+
+def test_deep_pages_among_others(spark):
+    rows = [(i, "http://deep.org/", f"<body>{deep(5000 * (i % 2), 'div', f'<p>text {i} of the page</p>')}</body>") for i in range(8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in main_texts(df).collect()} == {i: f"text {i} of the page" for i in range(8)}
+    assert wrappers(df).count() == 1
