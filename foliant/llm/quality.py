@@ -13,7 +13,7 @@ and its characters. The base rules and the word counts are those of the whole te
 
 Defined results: a NULL text has no words and fails the base rules; a NULL source is a
 host of its own; repeated rows get one verdict each; further columns are ignored by
-``quality`` and kept as they are by ``keep_good`` (``n_chars`` too); empty tables give empty results. Texts are taken
+``quality`` and kept as they are by ``keep_good`` (but for ``n_chars``, which follows the text); empty tables give empty results. Texts are taken
 whole, whatever their length.
 """
 
@@ -177,8 +177,11 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """
     packed = docs.select("text", "source", F.struct(*docs.columns).alias("_row"))
     kept = pinned(judged(packed, **limits).select("_row", "_places", "kept")).where("kept")
-    clean = without_lines(F.col("_row.text"), F.col("_places")).alias("text")
-    return kept.select(*(clean if name == "text" else F.col("_row").getField(name).alias(name) for name in docs.columns))
+    clean = without_lines(F.col("_row.text"), F.col("_places"))
+    own = lambda name: F.col("_row").getField(name)
+    # A stated length follows the text.
+    changed = {"text": clean, "n_chars": F.when(F.col("_places").isNull(), own("n_chars")).otherwise(F.length(clean))}
+    return kept.select(*(changed.get(name, own(name)).cast(docs.schema[name].dataType).alias(name) for name in docs.columns))
 
 
 SQL = f"""
@@ -199,12 +202,11 @@ base AS (
     coalesce(n, 0) AS n_repeat_words
   FROM docs LEFT JOIN repeats ON docs.r = repeats.r),
 lines AS (
-  SELECT r, source, x, length(x) - length(replace(x, ' ', '')) + 1 AS n, i FROM (
-    SELECT r, source, unnest(y) AS x, unnest(range(len(y))) AS i FROM (
+  SELECT r, source, x, length(x) - length(replace(x, ' ', '')) + 1 AS n, doc FROM (
+    SELECT r, source, unnest(y) AS x, array_to_string(y, chr(10)) AS doc FROM (
       SELECT r, source, [z FOR z IN [trim(v, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) FOR v IN string_split(lower(text), chr(10))] IF z <> ''] AS y FROM docs))),
-mains AS (SELECT r, first(x ORDER BY n DESC, x) AS main FROM lines GROUP BY r),
 frequent AS (
-  SELECT source, x FROM (SELECT l.source, l.x, count(DISTINCT main) AS docs FROM lines l JOIN mains USING (r) GROUP BY ALL)
+  SELECT source, x FROM (SELECT l.source, l.x, count(DISTINCT doc) AS docs FROM lines l GROUP BY ALL)
   JOIN (SELECT source AS s, count(*) AS total FROM docs GROUP BY source) ON source IS NOT DISTINCT FROM s
   WHERE docs > {MIN_DOCS} AND docs > {SHARE} * total),
 gone AS (
