@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from foliant.checks import bindings as b
 from foliant.checks.ingest_queries import CATALOG_ROW_SQL, _catalog_row
 from foliant.checks.registry import query
+from foliant.checks.search_queries import HIT, hits_sql
 from foliant.functions.jsons import to_json_text
 from foliant.operators import pages as p
 from foliant.operators.normalize import normalize_books
@@ -19,6 +20,7 @@ from foliant.plans.search import scan_search, search_page, search_records, simil
 from foliant.schemas import RECORD_FIELDS
 from foliant.session import scratch
 from foliant.sources import readers as r, writers as w
+from foliant.sources.blocks import search_blocks, write_block_index
 
 
 def _texts(spark, d) -> DataFrame:
@@ -166,6 +168,29 @@ def scan_search_raw(spark, d):
     return scan_search(r.read_books_jsonl(spark, path), PAGE_SPEC).select("position", "book_id", "title")
 
 
+def _indexed(name: str, spec: SearchSpec, where: str) -> None:
+    @query(name, hits_sql(where, spec.sort_by, spec.limit, spec.offset))
+    def run(spark, d) -> DataFrame:
+        """The stored catalog through its block index."""
+        catalog, index = scratch(spark, "indexed-catalog"), scratch(spark, "block-index")
+        records = b.records(spark, d).withColumn("pos", F.struct(F.lit("f").alias("file"), F.lit(0).alias("block"), F.col("pos").alias("row")))
+        w.write_catalog(catalog_of(records), catalog)
+        write_block_index(spark, catalog, index)
+        return search_blocks(spark, catalog, index, spec).select(HIT)
+
+
+_indexed(
+    "search_text_indexed", SearchSpec(title_query="RED w_dget", limit=50),
+    "title ILIKE '%RED w_dget%' OR description ILIKE '%RED w_dget%'",
+)
+_indexed(
+    "search_conjunction_indexed",
+    SearchSpec(title_query="gear", publisher_query="brand#1", language_code="eng", is_ebook=True, author_id=7, shelf="Gear", sort_by="rating", limit=100),
+    """(title ILIKE '%gear%' OR description ILIKE '%gear%') AND publisher ILIKE '%brand#1%' AND language_code = 'eng' AND is_ebook
+       AND list_contains(author_ids, '7') AND list_contains(shelves, 'gear')""",
+)
+
+
 @query("export_results_csv", f"""WITH {b.CATALOG_SQL}
     SELECT book_id, title, array_to_string(author_ids, ',') AS authors, CAST(average_rating AS VARCHAR) AS average_rating,
            isbn, asin, publisher, '/book/show/' || book_id AS link FROM catalog""")
