@@ -134,7 +134,7 @@ def collected(spark, d):
 @query("checkpoint_roundtrip", f"WITH {REMOVED_SQL} SELECT isbn, disposition FROM removed")
 def checkpoint_roundtrip(spark, d):
     path = scratch(spark, "checkpoint")
-    w.write_checkpoint(removed_isbns(b.books(spark, d)), path)
+    w.write_checkpoint(removed_isbns(b.books(spark, d)), path, chunks=4)
     return r.read_checkpoint(spark, path).select("isbn", "disposition")
 
 

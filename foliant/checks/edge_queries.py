@@ -12,11 +12,12 @@ from foliant.functions.jsons import to_json_text
 from foliant.operators import pages as p
 from foliant.operators.normalize import normalize_books
 from foliant.operators.predicates import SearchSpec
+from foliant.operators.sets import blocked_isbns
 from foliant.operators.subjects import subjects_lower
 from foliant.operators.summaries import parse_summary
 from foliant.plans.catalog import build_catalog, build_catalog_files, catalog_of
 from foliant.plans.crawl import reload_store, triage_pages
-from foliant.plans.search import scan_search, search_page, search_records, similar
+from foliant.plans.search import scan_first, scan_search, search_page, search_records, similar
 from foliant.schemas import RECORD_FIELDS
 from foliant.session import scratch
 from foliant.sources import readers as r, writers as w
@@ -168,6 +169,28 @@ def scan_search_raw(spark, d):
     return scan_search(r.read_books_jsonl(spark, path), PAGE_SPEC).select("position", "book_id", "title")
 
 
+@query("scan_first_files", f"""WITH {b.CATALOG_SQL}, found AS (
+      SELECT book_id, title, p_partkey FROM catalog WHERE is_ebook AND list_contains(author_ids, '3') ORDER BY p_partkey LIMIT 15 OFFSET 4)
+    SELECT row_number() OVER (ORDER BY p_partkey) AS position, book_id, title FROM found""")
+def scan_first_files(spark, d):
+    """The first matches of many record files; reading stops with the page."""
+    path = scratch(spark, "many-files")
+    b.records(spark, d).repartitionByRange(12, "pos").sortWithinPartitions("pos").drop("pos").write.option("ignoreNullFields", "false").json(path)
+    return scan_first(spark, path, SearchSpec(is_ebook=True, author_id=3, sort_by=None, limit=15, offset=4)).select("position", "book_id", "title")
+
+
+@query("log_undecodable_bytes", f"""
+    SELECT DISTINCT {b.isbn_sql('p_partkey')} AS isbn FROM part""")
+def log_undecodable(spark, d):
+    """ISBNs named as blocked, with bytes in them that are not UTF-8, in several places and kinds."""
+    path, n = scratch(spark, "odd-log"), F.col("p_partkey")
+    odd = F.get(F.array(*[F.unhex(F.lit(x)) for x in ("FF", "C0AF", "EDA080", "E282", "F5808080", "80")]), (n % 6).cast("int"))
+    isbn = b.isbn_of("p_partkey")
+    raw = F.concat(F.lit("é Book '403 Forbidden' for ISBN ").cast("binary"), F.substring(isbn, 1, 4).cast("binary"), odd, F.substring(isbn, 5, 99).cast("binary"), odd, F.lit("\ufffd ok").cast("binary"))
+    b.table(spark, d, "part").select(raw.cast("string").alias("value")).write.text(path)
+    return blocked_isbns(r.read_crawl_log(spark, path))
+
+
 def _indexed(name: str, spec: SearchSpec, where: str) -> None:
     @query(name, hits_sql(where, spec.sort_by, spec.limit, spec.offset))
     def run(spark, d) -> DataFrame:

@@ -8,7 +8,7 @@ from foliant.checks import bindings as b
 from foliant.checks.registry import query
 from foliant.operators.cards import book_detail, result_cards
 from foliant.operators.predicates import SearchSpec, apply_spec
-from foliant.operators.ranking import page, page_summary, result_position, sort_keys, sort_results
+from foliant.operators.ranking import deep_page, page, page_summary, positions, result_position, sort_keys, sort_results
 from foliant.operators.summaries import catalog_status, match_count
 from foliant.plans.search import fetch_full_records, lookup, scan_search, search, similar
 from foliant.schemas import RECORD_FIELDS, RECORD_NESTED
@@ -122,6 +122,19 @@ def page_three(spark, d):
     return result_position(page(rows, 3), sort_keys("popularity")).select(HIT)
 
 
+@query("deep_page", f"""{WITH}, ranked AS (
+      SELECT {", ".join(HIT[1:])}, row_number() OVER (ORDER BY average_rating DESC NULLS LAST, book_id) AS position FROM catalog)
+    SELECT {", ".join(HIT)} FROM ranked WHERE position > 700 AND position <= 1100""")
+def deep_page_of_all(spark, d):
+    """A page far behind the first rows, with places in the whole result."""
+    return deep_page(b.catalog(spark, d), sort_keys("rating"), 400, 700).select(HIT)
+
+
+@query("all_positions", f"""{WITH} SELECT book_id, row_number() OVER (ORDER BY publication_year DESC NULLS LAST, book_id) AS position FROM catalog""")
+def all_positions(spark, d):
+    return positions(b.catalog(spark, d).select("book_id", "publication_year"), sort_keys("year")).select("book_id", "position")
+
+
 @query("page_summary", f"""{WITH}, hits AS (
       SELECT book_id FROM catalog WHERE language_code = 'fre' ORDER BY ratings_count DESC, book_id LIMIT 10 OFFSET 10)
     SELECT 'Page 2' AS label, count(*) AS rows,

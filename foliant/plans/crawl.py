@@ -15,8 +15,9 @@ from foliant.operators.pages import GENRE_HREF, RECORD, extract_books
 from foliant.operators.sets import (
     blocked_isbns, merge_checkpoint, processed_isbns, restore_blocked, resume_queue, split_queue, still_failed,
 )
+from foliant.operators.summaries import restore_summary
 from foliant.session import materialize
-from foliant.sources.readers import read_checkpoint, read_scraped_books
+from foliant.sources.readers import read_checkpoint, read_crawl_log, read_scraped_books
 from foliant.sources.writers import CSV, checkpoint_objects, path_exists, replace_table, rewrite_clean_books, scraped_csv_rows
 
 
@@ -112,10 +113,10 @@ def removed_isbns(books: DataFrame) -> DataFrame:
     return flagged.select(F.col("ISBN").alias("isbn"), F.col("bucket").alias("disposition"))
 
 
-def reload_store(spark: SparkSession, books: str, csv: str, checkpoint: str, chunks: int = 1) -> int:
+def reload_store(spark: SparkSession, books: str, csv: str, checkpoint: str, chunks: int) -> int:
     """Clean a stored crawl: JSON and CSV are written anew, what goes is noted in the checkpoint.
 
-    Returns how many books went; if none did, nothing is touched. The checkpoint is
+    Returns how many books went; if none did, nothing is touched. ``chunks`` as for ``write_checkpoint``. The checkpoint is
     written first and the stores are swapped whole, so that a job that fails in between
     can simply be run again.
     """
@@ -161,6 +162,18 @@ class Repair:
     flagged: DataFrame
 
 
+def repair_store(spark: SparkSession, checkpoint: str, log: str, chunks: int) -> dict[str, int]:
+    """``repair_checkpoint`` of a stored checkpoint, written back; returns what ``restore_summary`` counts.
+
+    Nothing is written if no entry is restored.
+    """
+    repair = repair_checkpoint(read_checkpoint(spark, checkpoint).select("isbn", "disposition"), read_crawl_log(spark, log))
+    counts = restore_summary(repair.flagged).head().asDict()
+    if counts["restored"]:
+        replace_table(checkpoint_objects(repair.checkpoint, chunks), checkpoint, format="json")
+    return counts
+
+
 def repair_checkpoint(checkpoint: DataFrame, log: DataFrame) -> Repair:
     """Take ISBNs out of the failed list that the log shows as blocked.
 

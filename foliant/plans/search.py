@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliant.operators.normalize import normalize_books, record_columns
 from foliant.operators.predicates import SearchSpec, apply_scan_spec, apply_spec
 from foliant.operators.ranking import (
     limit_offset, result_position, scan_sort_keys, sort_keys, sort_results,
 )
+from foliant.session import materialize
+from foliant.sources.readers import read_books
 
 
 def search(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
@@ -21,7 +24,7 @@ def search(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
     """
     rows = catalog.drop("record")
     hits = limit_offset(sort_results(apply_spec(rows, spec), spec.sort_by), spec.limit, spec.offset)
-    return result_position(hits, sort_keys(spec.sort_by))
+    return result_position(hits, sort_keys(spec.sort_by), limit=spec.limit)
 
 
 def fetch_full_records(hits: DataFrame, records: DataFrame) -> DataFrame:
@@ -50,14 +53,37 @@ def search_page(catalog: DataFrame, spec: SearchSpec) -> DataFrame:
 def scan_search(raw: DataFrame, spec: SearchSpec, order: str = "pos") -> DataFrame:
     """Search without a catalog, over raw or normalised records.
 
-    Without ``sort_by`` the first matches in source order are returned; otherwise
-    matches are sorted before the offset is taken, as in the catalog search.
+    Without ``sort_by`` the first matches in source order are returned (``scan_first`` stops
+    reading files at the last of them); otherwise matches are sorted before the offset is
+    taken, as in the catalog search.
     """
     records = normalize_books(raw) if "plain" in raw.columns else raw
     found = apply_scan_spec(records, spec)
     keys = scan_sort_keys(spec.sort_by) if spec.sort_by else [F.asc(order)]
     hits = limit_offset(found.orderBy(*keys), spec.limit, spec.offset)
-    return result_position(hits, keys)
+    return result_position(hits, keys, limit=spec.limit)
+
+
+def scan_first(spark: SparkSession, path: str | list[str], spec: SearchSpec, format: str = "jsonl") -> DataFrame:
+    """The first matches of record files in source order; files behind the last one are not read.
+
+    Files are read in order, the first alone and then four times as many each time, until the
+    page is full: one job per step, and never more than the page is kept of it.
+    """
+    # The order of ``pos``.
+    files = sorted(spark.read.text(path).inputFiles())
+    need, at, step = spec.offset + spec.limit, 0, 1
+    found: list[DataFrame] = []
+    while need > 0 and at < len(files):
+        records = normalize_books(read_books(spark, files[at : at + step], format))
+        hits = materialize(apply_scan_spec(records, spec).orderBy("pos").limit(need), "first-matches")
+        need -= hits.count()
+        found.append(hits)
+        at, step = at + step, step * 4
+    if not found:
+        return scan_search(read_books(spark, path, "jsonl"), spec)
+    hits = limit_offset(reduce(DataFrame.unionByName, found).orderBy("pos"), spec.limit, spec.offset)
+    return result_position(hits, [F.asc("pos")], limit=spec.limit)
 
 
 def lookup(catalog: DataFrame, book_id: str | int) -> DataFrame:

@@ -267,9 +267,23 @@ def _entries(disposition: str) -> Column:
     return F.coalesce(listed, F.array().cast("array<struct<isbn:string,disposition:string,at:int>>"))
 
 
+# Well-formed sequences of bytes, two hexadecimal digits each.
+_CONTINUED = "[89AB][0-9A-F]"
+_SEQUENCE = "|".join([
+    "[0-7][0-9A-F]", f"(?:C[2-9A-F]|D[0-9A-F]){_CONTINUED}", f"E0[AB][0-9A-F]{_CONTINUED}", f"E[1-9ABCEF]{_CONTINUED}{_CONTINUED}",
+    f"ED[89][0-9A-F]{_CONTINUED}", f"F0[9AB][0-9A-F]{_CONTINUED}{_CONTINUED}", f"F[1-3]{_CONTINUED}{_CONTINUED}{_CONTINUED}", f"F48[0-9A-F]{_CONTINUED}{_CONTINUED}",
+])
+
+
+def decodable(text: Column) -> Column:
+    """``text`` without the bytes that are not UTF-8; a replacement character of its own stays."""
+    sound = F.unhex(F.regexp_replace(F.hex(text.cast("binary")), f"({_SEQUENCE})|..", "$1")).cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(sound)
+
+
 def read_crawl_log(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines as ``value``; bytes that are not UTF-8 do not stop the scan."""
-    return spark.read.text(path)
+    """Log lines as ``value``; bytes that are not UTF-8 are left out."""
+    return spark.read.text(path).select(decodable(F.col("value")).alias("value"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -62,7 +62,7 @@ def checkpoint_objects(dispositions: DataFrame, chunks: int) -> DataFrame:
     return dispositions.groupBy(chunk.alias("chunk")).agg(*lists).drop("chunk")
 
 
-def write_checkpoint(dispositions: DataFrame, path: str, mode: str = "error", chunks: int = 1) -> None:
+def write_checkpoint(dispositions: DataFrame, path: str, chunks: int, mode: str = "error") -> None:
     """Write the checkpoint as ``chunks`` JSON objects of three lists, one per line.
 
     One object holds its lists in one task: give about one chunk per 100,000 entries.
