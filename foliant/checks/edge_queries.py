@@ -285,6 +285,21 @@ def genre_links(spark, d):
     return p.extract_books(pages).select("page_id", F.array_join("Genre", "|").alias("genres"))
 
 
+@query("stray_quotes", """
+    SELECT page_id, 'It''s ' || page_id AS title, 'Don''t' AS description, 'Poems ' || page_id || '|Travel' AS genres, page_id % 5 + 0.5::DOUBLE AS point FROM pages""")
+def stray_quotes(spark, d):
+    """Quotes that open no value in start tags and texts, tags that never end, an unended script."""
+    n = F.col("page_id").cast("string")
+    body = F.concat(
+        F.lit("<article><h1 data-testid=bookTitle data-x=it's>It's "), n, F.lit("</h1><h1 title=\"5\" tall\">no</h1><div tall\" data-testid=description>Don't</div>"),
+        F.lit("<a it's href='/genres/p'>Poems "), n, F.lit("</a><a \" href=/genres/t>Travel</a><div ' class=RatingStatistics__rating>"), (F.col("page_id") % 5 + F.lit(0.5)).cast("string"),
+        F.lit("</div>"), F.repeat(F.lit("<a x=\"/genres/ "), F.lit(201)),
+    )
+    pages = b.table(spark, d, "pages").select("page_id", F.concat(F.lit("<html>"), body, F.lit("<script>")).alias("html"))
+    found = p.extract_books(pages)
+    return found.select("page_id", F.col("Title").alias("title"), F.col("Desc").alias("description"), F.array_join("Genre", "|").alias("genres"), F.col("Point").alias("point"))
+
+
 # --- whole crawl jobs -------------------------------------------------------------------
 
 

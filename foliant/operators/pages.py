@@ -42,14 +42,20 @@ RECORD = [
 # --- markup --------------------------------------------------------------------
 
 
-def without_scripts(html: Column) -> Column:
-    """Drop comments and whole scripts and styles, so that no tag is found there."""
-    return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>", "")
+# The rest of a start tag. A quote that follows an equals sign opens a value, which may hold a closing
+# bracket; any other quote is a character like others. Possessive, so that no page makes the pattern go back.
+QUOTED = r"""=\s*+(?:"[^"]*+"|'[^']*+')?+"""
+REST = rf"(?:[^>=]++|{QUOTED})*+"
+
 
+def without_scripts(html: Column) -> Column:
+    """Drop comments, whole scripts and styles, so that no tag is found there, and a tag that never ends.
 
-# The rest of a start tag: a quoted value may hold a closing bracket. Possessive, so
-# that no page makes the pattern go back.
-REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+    Every tag is taken whole, so that a page is gone through once whatever it holds; without
+    unended tags no later pattern reads to the end of the page for each of them.
+    """
+    hidden = r"<!--.*?(?:-->|\z)|<(script|style|template)\b.*?(?:</\1\s*>|\z)"
+    return F.regexp_replace(html, rf"(?is){hidden}|(<[a-z/!?]{REST}>)|<[a-z/!?]{REST}\z", "$2")
 
 
 def attribute(name: str, value: str) -> str:
@@ -67,7 +73,7 @@ def start_tag(tag: str, having: str = "") -> str:
     """Pattern of a whole start tag, of one with an attribute that matches ``having``."""
     if not having:
         return rf"<{tag}(?=[\s/>]){REST}>"
-    before = rf"""(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s(?!{having}))*+"""
+    before = rf"(?:[^>=\s]++|{QUOTED}|\s(?!{having}))*+"
     return rf"<{tag}(?=[\s/>]){before}\s{having}{REST}>"
 
 
@@ -129,7 +135,7 @@ def meta_content(html: Column, having: str) -> Column:
     """``content`` of the first matching ``<meta>``: '' if it has none, NULL without such a tag."""
     tag = F.regexp_substr(html, F.lit(rf"(?is){start_tag('meta', having)}"))
     # Up to the attribute that is called content, not one whose name ends so.
-    before = r"""(?is)^<meta(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s(?!content\s*=))*+\scontent\s*=\s*"""
+    before = rf"(?is)^<meta(?:[^>=\s]++|{QUOTED}|\s(?!content\s*=))*+\scontent\s*=\s*"
     double = F.regexp_extract(tag, before + '"([^"]*)"', 1)
     single = F.regexp_extract(tag, before + "'([^']*)'", 1)
     bare = F.regexp_extract(tag, before + r"""([^\s"'>]+)""", 1)
@@ -168,8 +174,11 @@ def description_meta(html: Column) -> Column:
 def link_markup(html: Column, href_contains: str = GENRE_HREF) -> Column:
     """Texts of all links whose target contains ``href_contains``, entities still encoded."""
     target = rf"""href\s*=\s*(?:"(?-i:[^"]*\Q{href_contains}\E[^"]*)"|'(?-i:[^']*\Q{href_contains}\E[^']*)'|(?-i:[^\s"'>]*\Q{href_contains}\E[^\s"'>]*))"""
-    link = rf"(?is){start_tag('a', target)}(.*?)</a\s*>"
-    found = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(1)), markup_text)
+    # Up to the next link's start or end. All other tags are taken whole: nothing begins within one.
+    text = r"([^<]*+(?:<(?!/?a[\s/>])[^<]*+)*+)"
+    link = rf"(?is){start_tag('a', target)}{text}|<[a-z/!?]{REST}>"
+    texts = F.filter(F.regexp_extract_all(html, F.lit(link), F.lit(1)), lambda t: t != "")
+    found = F.transform(texts, markup_text)
     return F.when(F.contains(html, F.lit(href_contains)), found).otherwise(F.array().cast("array<string>"))
 
 

@@ -146,3 +146,29 @@ def test_fields_only_build_what_they_need(spark):
     assert "getReviews" not in plan and "toReadSignal" not in plan
     counts = p.extract_books(pages, fields=["WantToReadCount"])
     assert counts.head().WantToReadCount == 7 and "Python" not in counts._jdf.queryExecution().toString()
+
+
+def test_quotes_that_open_no_value(spark):
+    cases = {
+        "<h1 data-testid=bookTitle data-x=it's>Right</h1><p>don't</p>": "Right",
+        '<h1 data-testid="bookTitle" title="5" tall">Right</h1>': "Right",
+        "<h1 \" data-testid='bookTitle'>Right</h1><p>\"</p>": "Right",
+        "<h1 title='a > b' data-testid=bookTitle>Right</h1>": "Right",
+        "<h1 data-testid='bookTitle' x='unended>Right</h1>": "Right",
+        "<h1>Right</h1><script>'</script><h1 data-testid=bookTitle": "Right",
+        "<title>Right</title><!-- <h1>no</h1>": "Right",
+    }
+    df = spark.createDataFrame(list(cases.items()), "html string, want string")
+    for row in p.extract_books(df.withColumn("page", F.col("html")), fields=["Title"]).collect():
+        assert row.Title == row.want, row.page
+
+
+def test_unended_tags_take_linear_time(spark):
+    import time
+
+    pages = ["<h1>T</h1>" + part * 50_001 for part in ('<a x="/genres/ ', "<a href='/genres/", "<a ", "<div data-testid=description ", "<script>", "<!--", '<meta content="', "</a")]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    start = time.time()
+    assert {r.Title for r in p.extract_books(df, fields=["Title", "Genre", "Desc"]).collect()} == {"T"}
+    # A quadratic search takes hours.
+    assert time.time() - start < 60
