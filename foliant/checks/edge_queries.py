@@ -17,11 +17,12 @@ from foliant.operators.subjects import subjects_lower
 from foliant.operators.summaries import parse_summary
 from foliant.plans.catalog import build_catalog, build_catalog_files, catalog_of
 from foliant.plans.crawl import reload_store, triage_pages
-from foliant.plans.search import scan_first, scan_search, search_page, search_records, similar
+from foliant.plans.search import scan_first, scan_search, search, search_page, search_records, similar
 from foliant.schemas import RECORD_FIELDS
 from foliant.session import scratch
 from foliant.sources import readers as r, writers as w
 from foliant.sources.blocks import search_blocks, write_block_index
+from foliant.sources.layout import cluster_catalog
 
 
 def _texts(spark, d) -> DataFrame:
@@ -214,6 +215,18 @@ _indexed(
 )
 
 
+@query("search_clustered", hits_sql(
+    "average_rating >= 2.5 AND publication_year BETWEEN 1993 AND 1996 AND ratings_count >= 0", "rating", 100))
+def search_clustered(spark, d):
+    """Ranges of several columns over the catalog along the curve."""
+    source, target = scratch(spark, "plain-catalog"), scratch(spark, "clustered-catalog")
+    records = b.records(spark, d).withColumn("pos", F.struct(F.lit("f").alias("file"), F.lit(0).alias("block"), F.col("pos").alias("row")))
+    w.write_catalog(catalog_of(records), source, sort_by=None)
+    cluster_catalog(spark, source, target, files=16)
+    spec = SearchSpec(rating_min=2.5, publication_year_min=1993, publication_year_max=1996, sort_by="rating", limit=100)
+    return search(r.load_catalog(spark, target), spec).select(HIT)
+
+
 @query("export_results_csv", f"""WITH {b.CATALOG_SQL}
     SELECT book_id, title, array_to_string(author_ids, ',') AS authors, CAST(average_rating AS VARCHAR) AS average_rating,
            isbn, asin, publisher, '/book/show/' || book_id AS link FROM catalog""")
