@@ -19,6 +19,7 @@ from foliant.plans.crawl import clean_books, removed_isbns
 from foliant.plans.novels import novel_counters, novel_isbns
 from foliant.schemas import RECORD_FIELDS
 from foliant.session import scratch
+from foliant.sources.counters import append_counted, kept_counts
 from foliant.sources import readers as r, writers as w
 
 TERMS = {"include": b.NOVEL_TERMS, "exclude": b.OTHER_TERMS, "prefilter": b.NOVEL_TERMS}
@@ -240,3 +241,14 @@ def crawl_log_read(spark, d):
     path = scratch(spark, "log")
     b.log_lines(spark, d).write.text(path)
     return r.read_crawl_log(spark, path)
+
+
+@query("counts_over_appends", f"""
+    SELECT 3 AS appends, sum(CASE WHEN p_partkey % 2 = 0 THEN 3 ELSE 2 END)::BIGINT AS rows, count(DISTINCT {b.isbn_sql('p_partkey')}) AS keys FROM part""")
+def counts_over_appends(spark, d):
+    """Rows and distinct ISBNs after three appends that overlap, from what each append left; this many are counted exactly."""
+    store, kept = scratch(spark, "counted-store"), scratch(spark, "counters")
+    books = b.table(spark, d, "part").select("p_partkey", b.isbn_of("p_partkey").alias("isbn"), F.col("p_name").alias("title"))
+    for part in (books, books.where("p_partkey % 2 = 0"), books):
+        append_counted(part.drop("p_partkey"), store, kept, "isbn", precision=21)
+    return kept_counts(spark, kept).select(F.col("appends").cast("int").alias("appends"), "rows", "keys")

@@ -10,6 +10,7 @@ from foliant.functions.text import title_key
 from foliant.plans.crawl import judge_pages
 from foliant.session import scratch
 from foliant.streaming import crawl as s
+from foliant.streaming.progress import ProgressLog, observed, read_progress
 from foliant.streaming.titles import flag_first_titles, state_on_disk
 
 
@@ -98,3 +99,25 @@ def stream_settled_store(spark, d):
     noted = spark.read.parquet(f"{store}/checkpoint").where("disposition = 'duplicate'")
     saved = books.select(F.lit("book").alias("part"), F.col("ISBN").alias("isbn"), F.col("Title").alias("title"))
     return saved.unionByName(noted.select(F.lit("duplicate").alias("part"), "isbn", F.lit(None).cast("string").alias("title")))
+
+
+@query("stream_progress", f"""WITH {b.PAGES_SQL}, landed AS (
+      SELECT *, row_number() OVER (PARTITION BY early, lower(title) ORDER BY page_id % 4, page_id) AS n FROM judged)
+    SELECT page_id % 4 AS batch, count(*) AS read, count(*) FILTER (early IS NULL AND n = 1) AS saved, count(*) FILTER (early = 'failed') AS failed,
+      count(*) FILTER (early IS NULL AND n > 1) AS duplicate, count(*) FILTER (early = 'non_english') AS non_english,
+      count(*) FILTER (early = 'blocked') AS blocked FROM landed GROUP BY ALL""")
+def stream_progress(spark, d):
+    """Counts of every batch, landed by a listener while the crawl ran; the restart finds nothing new."""
+    store, state, log = scratch(spark, "progress-store"), scratch(spark, "progress-state"), scratch(spark, "progress")
+    judged = s.stream_triage(_landed(spark, b.crawled_pages(spark, d)))
+    listener = ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        for _ in range(2):
+            with state_on_disk(spark):
+                started = s.run(observed(s.stream_settled(judged, "pos")), state, batch=s.settled_sink(store))
+            _finish(started)
+            listener.wait(started)
+    finally:
+        spark.streams.removeListener(listener)
+    return read_progress(spark, log).drop("query")
