@@ -14,12 +14,17 @@ small whatever the layout, and never end within an escape.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+# Functions that run in Python workers travel by value: no package has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUOTE, COMMA, BACKSLASH, OPEN, CLOSE, BEGIN, END = b'",\\{}[]'
 SPLIT = ["fid", "block"]
 # How much of what cannot be read is given as a malformed row.
