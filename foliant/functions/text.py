@@ -92,10 +92,13 @@ def startswith_any(text: Column, prefixes: Iterable[str]) -> Column:
 
 
 def epoch_ms_to_date(ms: Column | str) -> Column:
-    """Epoch milliseconds -> ``yyyy-MM-dd`` in UTC, whatever the session's zone; 0 and NULL -> NULL."""
+    """Epoch milliseconds -> ``yyyy-MM-dd`` in UTC, whatever the session's zone; 0 and NULL -> NULL.
+
+    Years beyond 9999 have more digits and, unlike Spark's own text of them, no plus sign.
+    """
     value = F.nullif(col(ms), F.lit(0))
     day = ((value - F.pmod(value, F.lit(86_400_000))) / 86_400_000).cast("int")
-    return F.date_add(F.lit("1970-01-01").cast("date"), day).cast("string")
+    return F.ltrim(F.date_add(F.lit("1970-01-01").cast("date"), day).cast("string"), F.lit("+"))
 
 
 def excerpt(c: Column | str, size: int) -> Column:

@@ -58,6 +58,11 @@ def test_nan(spark):
     assert values(spark, ["nan", "NaN", "1"], t.nan_to_null(t.try_float("c"))) == [None, None, 1.0]
 
 
+def test_dates_of_five_digit_years_have_no_sign(spark):
+    last = 2_932_896 * 86_400_000
+    assert values(spark, [last, last + 86_400_000], t.epoch_ms_to_date("c"), "bigint") == ["9999-12-31", "10000-01-01"]
+
+
 def test_counts_dates_and_labels(spark):
     assert values(spark, ["1,234 ratings", "none", "", None], t.parse_count("c")) == [1234, 0, 0, 0]
     days = values(spark, [0, None, 86_400_000, 1_500_000_000_123], t.epoch_ms_to_date("c"), "bigint")
