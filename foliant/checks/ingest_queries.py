@@ -246,9 +246,9 @@ def crawl_log_read(spark, d):
 @query("counts_over_appends", f"""
     SELECT 3 AS appends, sum(CASE WHEN p_partkey % 2 = 0 THEN 3 ELSE 2 END)::BIGINT AS rows, count(DISTINCT {b.isbn_sql('p_partkey')}) AS keys FROM part""")
 def counts_over_appends(spark, d):
-    """Rows and distinct ISBNs after three appends that overlap, from what each append left; this many are counted exactly."""
+    """Rows and distinct ISBNs after three appends that overlap, from what each append left, counted exactly."""
     store, kept = scratch(spark, "counted-store"), scratch(spark, "counters")
     books = b.table(spark, d, "part").select("p_partkey", b.isbn_of("p_partkey").alias("isbn"), F.col("p_name").alias("title"))
     for part in (books, books.where("p_partkey % 2 = 0"), books):
-        append_counted(part.drop("p_partkey"), store, kept, "isbn", precision=21)
-    return kept_counts(spark, kept).select(F.col("appends").cast("int").alias("appends"), "rows", "keys")
+        append_counted(part.drop("p_partkey"), store, kept, "isbn", exact=True)
+    return kept_counts(spark, kept, exact=True).select(F.col("appends").cast("int").alias("appends"), "rows", "keys")

@@ -34,6 +34,20 @@ def test_missing_keys_are_rows(spark, tmp_path):
     assert append_counted(none, str(tmp_path / "s"), str(tmp_path / "k"), "isbn") == {"rows": 1, "keys": 0}
 
 
+def test_exact_keys_beyond_what_a_sketch_holds(spark, tmp_path):
+    store, kept = str(tmp_path / "store"), str(tmp_path / "kept")
+    assert kept_counts(spark, kept, exact=True).head().asDict() == {"appends": 0, "rows": 0, "keys": 0}
+    rows = spark.range(260_000).select(F.col("id").cast("string").alias("isbn"))
+    missing = spark.createDataFrame([(None,)], "isbn string")
+    for part, n in ((rows, 260_000), (rows.where("isbn < '5'").unionByName(rows.limit(9)), None), (rows.unionByName(missing), 260_000)):
+        found = append_counted(part, store, kept, "isbn", exact=True)
+        assert n is None or found["keys"] == n
+    found = kept_counts(spark, kept, exact=True).head()
+    assert found.appends == 3 and found["keys"] == 260_000 and found.rows == spark.read.schema("isbn string").json(store).count()
+    rebuild_counters(rows, kept, "isbn", exact=True)
+    assert kept_counts(spark, kept, exact=True).head().asDict() == {"appends": 1, "rows": 260_000, "keys": 260_000}
+
+
 def test_counts_of_batches_over_a_restart(spark, tmp_path):
     folder, store, state, log = (str(tmp_path / x) for x in ("in", "store", "state", "log"))
     schema = spark.createDataFrame([], PAGES_DDL).schema
