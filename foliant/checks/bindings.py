@@ -54,7 +54,7 @@ def catalog(spark: SparkSession, d: str) -> DataFrame:
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("l_returnflag") == "R").alias("returned"),
             F.min(F.year("l_shipdate")).cast("bigint").alias("first_year"),
-            F.collect_set(F.col("l_suppkey").cast("string")).alias("suppliers"),
+            F.collect_set("l_suppkey").alias("suppliers"),
         )
     )
     key = F.col("p_partkey")
@@ -74,7 +74,7 @@ def catalog(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_brand").alias("publisher"),
         F.get(F.array(*[F.lit(x) for x in LANGUAGES]), (key % 5).cast("int")).alias("language_code"),
         (F.col("p_size") % 2 == 0).alias("is_ebook"),
-        F.coalesce(F.array_sort("suppliers"), F.array().cast("array<string>")).alias("author_ids"),
+        F.coalesce(F.array_sort(F.col("suppliers").cast("array<string>")), F.array().cast("array<string>")).alias("author_ids"),
         F.concat(F.array(F.lower("p_type")), F.split("p_name", " ")).alias("shelves"),
         F.array((key + 1).cast("string"), (key + 7).cast("string")).alias("similar_books"),
     )
@@ -115,7 +115,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
             "author_ids",
             lambda a: F.struct(
                 a.alias("author_id"),
-                F.when(F.try_to_number(a, F.lit("999999999999")) % 2 == 0, F.lit("Editor"))
+                F.when(a.try_cast("bigint") % 2 == 0, F.lit("Editor"))
                 .otherwise(blank).alias("role"),
             ),
         ),

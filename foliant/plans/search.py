@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliant.operators.normalize import normalize_books, record_columns
+from foliant.operators.pinning import pinned
 from foliant.operators.predicates import SearchSpec, apply_scan_spec, apply_spec
 from foliant.operators.ranking import (
     limit_offset, result_position, scan_sort_keys, sort_keys, sort_results,
@@ -57,7 +58,8 @@ def scan_search(raw: DataFrame, spec: SearchSpec, order: str = "pos") -> DataFra
     reading files at the last of them); otherwise matches are sorted before the offset is
     taken, as in the catalog search.
     """
-    records = normalize_books(raw) if "plain" in raw.columns else raw
+    # Conditions and sort keys name a field many times over: each is to be computed once.
+    records = pinned(normalize_books(raw)) if "plain" in raw.columns else raw
     found = apply_scan_spec(records, spec)
     keys = scan_sort_keys(spec.sort_by) if spec.sort_by else [F.asc(order)]
     hits = limit_offset(found.orderBy(*keys), spec.limit, spec.offset)

@@ -172,3 +172,10 @@ def test_cards_and_detail(raw):
     assert detail["1"].shelves == "• to-read (3)\n• s1"
     assert (detail["8"].published, detail["8"].edition, detail["8"].pages) == ("N/A", "Standard", "N/A")
     assert detail["1"].published == "1991"
+
+
+def test_fields_of_raw_records_are_computed_once_for_all_conditions(spark, write):
+    raw = r.read_books_jsonl(spark, write('{"book_id": "1", "is_ebook": "true", "average_rating": "3.5"}'))
+    found = scan_search(raw, SearchSpec(is_ebook=True, rating_min=2.0, sort_by="rating"))
+    assert "Generate inline" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [x.book_id for x in found.collect()] == ["1"]
