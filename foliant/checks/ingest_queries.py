@@ -18,7 +18,7 @@ from foliant.plans.catalog import build_catalog
 from foliant.plans.crawl import clean_books, removed_isbns
 from foliant.plans.novels import novel_counters, novel_isbns
 from foliant.schemas import RECORD_FIELDS
-from foliant.session import scratch
+from foliant.session import materialize, scratch
 from foliant.sources.counters import append_counted, kept_counts
 from foliant.sources import readers as r, writers as w
 
@@ -111,7 +111,8 @@ def dedup_last(spark, d):
 @query("catalog_build", CATALOG_ROW_SQL)
 def catalog_build(spark, d):
     """Records to JSON Lines with an outdated and an id-less copy each, then the whole build."""
-    records = b.records(spark, d).drop("pos")
+    # Written once: each of the copies would make all records anew.
+    records = materialize(b.records(spark, d).drop("pos"), "records")
     path = scratch(spark, "raw-books")
     w.append_books_json(records.withColumn("title", F.lit("outdated")), f"{path}/a")
     w.append_books_json(records, f"{path}/b")
