@@ -1,4 +1,4 @@
-"""Sources. Readers are lazy scans; ``auto`` and checkpoints look at the kind of each file first.
+"""Sources. Readers are lazy scans; ``auto`` and checkpoints look at the kind of each file first, arrays read by splits at their starts.
 
 Readers of record files return ``(plain, scraped, pos)``, see ``_raw``.
 ``pos`` is ``STRUCT<file, block, row>`` and orders records as in the source: files
@@ -185,24 +185,37 @@ def detect_books_formats(spark: SparkSession, path: str | list[str]) -> dict[str
     """The files of each kind: ``jsonl``, ``rows`` or ``whole`` (an array of another layout).
 
     A file that starts with a bracket is an array; it has ``rows`` if every line is a record of its
-    own. The texts are read once for it, as lines and without parsing; name the format
-    where that is known.
+    own. The texts are read once for the first line of each file, and arrays once more, as lines and
+    without parsing more than what stands on one; name the format where that is known.
     """
-    line = strip("value")
-    body = F.regexp_replace(line, ROW_FRAME, "")
-    record = F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}"))
-    own = (F.length(body) == 0) | (record & one_json(body, lenient=True))
-    lines = spark.read.text(path).select(line.alias("line"), own.alias("own"), *file_pos())
-    lines = lines.where(F.length("line") > 0).withColumn("row", F.monotonically_increasing_id())
     first = F.min_by(F.startswith("line", F.lit("[")), F.struct("block", "row"))
-    files = lines.groupBy("file").agg(first.alias("array"), F.bool_and("own").alias("rows"))
+    lines = _lines(spark, path).withColumn("row", F.monotonically_increasing_id())
+    is_array = {f["file"]: f["array"] for f in lines.groupBy("file").agg(first.alias("array")).collect()}
+    arrays = sorted(f for f, array in is_array.items() if array)
+    rows = _have_rows(_lines(spark, arrays)) if arrays else set()
     found: dict[str, list[str]] = {}
-    for f in files.orderBy("file").collect():
-        kind = "jsonl" if not f["array"] else "rows" if f["rows"] else "whole"
-        found.setdefault(kind, []).append(f["file"])
+    for file, array in sorted(is_array.items()):
+        kind = "jsonl" if not array else "rows" if file in rows else "whole"
+        found.setdefault(kind, []).append(file)
     return found
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines that are not blank, stripped, with their place."""
+    return spark.read.text(path).select(strip("value").alias("line"), *file_pos()).where(F.length("line") > 0)
+
+
+def _have_rows(lines: DataFrame) -> set[str]:
+    """The files of which every line is a record of its own, or only part of the frame."""
+    body = F.regexp_replace("line", ROW_FRAME, "")
+    record = F.startswith(body, F.lit("{")) & F.endswith(body, F.lit("}")) & one_json(body, lenient=True)
+    opens = F.startswith("line", F.lit("{")) | F.startswith("line", F.lit("["))
+    # Other lines, which most lines of other layouts are, need no look at their end.
+    own = F.when(opens, (F.length(body) == 0) | record).otherwise(F.col("line").isin("]", ","))
+    files = lines.select("file", own.alias("own")).groupBy("file").agg(F.bool_and("own").alias("rows"))
+    return {f["file"] for f in files.where("rows").collect()}
+
+
 def read_books(spark: SparkSession, path: str, format: str = "auto", keep_malformed: bool = False) -> DataFrame:
     """Records of either file kind; ``format`` is ``auto``, ``jsonl`` or an array layout.
 

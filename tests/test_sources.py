@@ -168,3 +168,12 @@ def _records(spark, df):
         [], ", ".join([f"{n} string" for n in RECORD_TEXT] + [f"{n} {t}" for n, t in RECORD_NESTED.items()])
     )
     return empty.unionByName(df, allowMissingColumns=True)
+
+
+def test_lines_of_record_files_are_not_looked_into_for_their_kind(spark, write, monkeypatch):
+    path, looked = write('{"title": "One"}\n{"title": "Two"}\n'), []
+    real = r._have_rows
+    monkeypatch.setattr(r, "_have_rows", lambda lines: looked.append(1) or real(lines))
+    assert list(r.detect_books_formats(spark, path)) == ["jsonl"] and not looked
+    assert list(r.detect_books_formats(spark, write('[\n{"a": 1}\n,\n{"a": 2}\n]\n', "rows"))) == ["rows"] and looked
+    assert list(r.detect_books_formats(spark, write('[\n{"a":\n1}\n]\n', "whole"))) == ["whole"]
