@@ -19,19 +19,25 @@ from foliant.plans.catalog import build_catalog, build_catalog_files, catalog_of
 from foliant.plans.crawl import reload_store, triage_pages
 from foliant.plans.search import scan_first, scan_search, search, search_page, search_records, similar
 from foliant.schemas import RECORD_FIELDS
-from foliant.session import scratch
+from foliant.session import materialize, scratch
 from foliant.sources import readers as r, writers as w
 from foliant.sources.blocks import search_blocks, write_block_index
 from foliant.sources.layout import cluster_catalog
 
 
+# Records of an array: what one task sorts and writes does not grow with their number.
+FILE_RECORDS = 50_000
+
+
 def _texts(spark, d) -> DataFrame:
-    """Every record as one JSON text, with its number."""
-    return b.records(spark, d).select(to_json_text(F.struct(*RECORD_FIELDS)).alias("json"), F.col("pos").alias("n"))
+    """Every record as one JSON text, with its number; written once, for each use would make all records anew."""
+    texts = b.records(spark, d).select(to_json_text(F.struct(*RECORD_FIELDS)).alias("json"), F.col("pos").alias("n"))
+    return materialize(texts, "texts")
 
 
-def _array_files(rows: DataFrame, path: str, gap: str, files: int = 3) -> None:
-    """Arrays of the records in order, ``gap`` between two; written row by row."""
+def _array_files(rows: DataFrame, path: str, gap: str) -> None:
+    """Arrays of the records in order, three at least, ``gap`` between two; written row by row."""
+    files = max(3, -(-rows.count() // FILE_RECORDS))
 
     def framed(frames):
         import pandas as pd
@@ -82,7 +88,7 @@ def array_any_layout(spark, d):
     odd = F.concat(F.lit('}, {"x": [\\" ] \\'), F.col("title_without_series"))
     records = b.records(spark, d).withColumn("title_without_series", odd)
     pretty = F.to_json(F.struct(*RECORD_FIELDS), {"pretty": "true", "ignoreNullFields": "false"})
-    _array_files(records.select(pretty.alias("json"), F.col("pos").alias("n")), path, "\n")
+    _array_files(materialize(records.select(pretty.alias("json"), F.col("pos").alias("n")), "texts"), path, "\n")
     return _catalog_row(build_catalog(r.read_books_json_array(spark, path, "split")))
 
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from foliant.session import materialize
+
 # Functions that run in Python workers travel by value: no package has to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -229,10 +231,11 @@ def _pieces(wanted: tuple[int, ...]):
 def array_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The texts of the elements of each array, ``(value, file, block)``, in order.
 
-    The input is read three times, twice of it without parsing. How splits start is broadcast:
+    The input is read three times, twice of it without parsing, and the first time at once: how splits start is
+    used by all that follows, so it is written to the shared folder. It is broadcast:
     one row of about a hundred bytes per split, a millionth of the input.
     """
-    starts = split_starts(spark, path)
+    starts = materialize(split_starts(spark, path), "split-starts")
     known = _chunks(spark, path).join(F.broadcast(starts.drop("file")), SPLIT)
     known = known.select("chunk", *SPLIT, "inside", "depth", "first", "unended")
     whole = known.mapInArrow(_pieces((WHOLE,)), PIECES)

@@ -4,7 +4,9 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from foliant.checks import edge_queries
 from foliant.operators.summaries import parse_summary
 from foliant.sources import readers as r
 from foliant.sources.arrays import HEAD, MIDDLE, TAIL, WHOLE, _Cutter, _structural, array_elements, split_starts
@@ -159,3 +161,17 @@ def test_array_of_one_giant_element(spark, write, small_splits):
     small_splits(4000)
     found = r.read_books_json_array(spark, path, "split").orderBy("pos").collect()
     assert [len(x.plain.authors) for x in found] == [2000, 1]
+
+
+def test_an_array_file_holds_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(edge_queries, "FILE_RECORDS", 10, raising=False)
+    rows = spark.range(100).select(F.concat(F.lit('{"book_id":"'), F.col("id").cast("string"), F.lit('"}')).alias("json"), F.col("id").alias("n"))
+    edge_queries._array_files(rows, str(tmp_path / "a"), "\n")
+    assert len(list((tmp_path / "a").glob("part-*.txt"))) >= 9
+    assert array_elements(spark, str(tmp_path / "a")).where("value LIKE '%book_id%'").count() == 100
+
+
+def test_starts_of_splits_are_found_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"x": 1}, {"x": 2}]')
+    plan = array_elements(spark, str(tmp_path / "a.json"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2
