@@ -15,11 +15,16 @@ from foliant.streaming.titles import flag_first_titles, state_on_disk
 
 
 def _landed(spark, rows):
-    """Rows written as four files, to be read one per batch in the order they were written."""
+    """The stream of a folder after each of four landings and once more with nothing new.
+
+    Every landing is written by as many tasks as the rows have, and makes one batch of the query
+    that is then run over the folder; each run but the first is a restart.
+    """
     folder = scratch(spark, "landed")
     for part in range(4):
-        rows.where(F.pmod(F.col("pos"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(folder)
-    return s.stream_pages(spark, folder, rows.schema, files_per_batch=1)
+        rows.where(F.pmod(F.col("pos"), F.lit(4)) == part).write.mode("append").parquet(folder)
+        yield s.stream_pages(spark, folder, rows.schema)
+    yield s.stream_pages(spark, folder, rows.schema)
 
 
 def _finish(query) -> None:
@@ -32,10 +37,10 @@ def _finish(query) -> None:
 def stream_dedup(spark, d):
     out, state = scratch(spark, "titles"), scratch(spark, "titles-state")
     docs = b.table(spark, d, "documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("Title"))
-    stream = _landed(spark, docs)
-    # The second run finds the state of the first and nothing new.
-    for _ in range(2):
-        _finish(s.run(s.stream_dedup_titles(stream).select("title_key"), state, out))
+    for stream in _landed(spark, docs):
+        with state_on_disk(spark):
+            query = s.run(s.stream_dedup_titles(stream).select("title_key"), state, out)
+        _finish(query)
     return spark.read.parquet(out)
 
 
@@ -44,13 +49,13 @@ def stream_dedup(spark, d):
 def stream_counts(spark, d):
     """Running counts in complete mode; the last state is the result."""
     out, state = scratch(spark, "counts"), scratch(spark, "counts-state")
-    stream = _landed(spark, b.crawled_pages(spark, d))
-    judged = judge_pages(stream).select(F.coalesce("disposition", F.lit("open")).alias("disposition"))
 
     def keep(batch, batch_id):
         batch.write.mode("overwrite").parquet(out)
 
-    _finish(s.run(s.stream_dispositions(judged), state, batch=keep, mode="complete"))
+    for stream in _landed(spark, b.crawled_pages(spark, d)):
+        judged = judge_pages(stream).select(F.coalesce("disposition", F.lit("open")).alias("disposition"))
+        _finish(s.run(s.stream_dispositions(judged), state, batch=keep, mode="complete"))
     return spark.read.parquet(out)
 
 
@@ -60,8 +65,7 @@ def stream_counts(spark, d):
 def stream_store(spark, d):
     """Landed pages through the stateless triage into the store of books."""
     store, state = scratch(spark, "store"), scratch(spark, "store-state")
-    stream = _landed(spark, b.crawled_pages(spark, d))
-    for _ in range(2):
+    for stream in _landed(spark, b.crawled_pages(spark, d)):
         _finish(s.run(s.stream_triage(stream), state, batch=s.store_sink(store, order="pos")))
     books = spark.read.schema("ISBN string, Title string").json(f"{store}/books")
     return books.select(F.col("ISBN").alias("isbn"), F.col("Title").alias("title"))
@@ -74,11 +78,10 @@ FIRST_SQL = f"""
 
 @query("stream_first_titles", FIRST_SQL)
 def stream_first(spark, d):
-    """The first document of each text by order of arrival, over four batches and a restart."""
+    """The first document of each text by order of arrival, over four batches and restarts."""
     out, state = scratch(spark, "first-titles"), scratch(spark, "first-titles-state")
     docs = b.table(spark, d, "documents").select("doc_id", F.col("doc_id").alias("pos"), title_key("text").alias("title_key"))
-    stream = _landed(spark, docs)
-    for _ in range(2):
+    for stream in _landed(spark, docs):
         with state_on_disk(spark):
             query = s.run(flag_first_titles(stream, "pos").select("doc_id", "is_first"), state, out)
         _finish(query)
@@ -92,8 +95,7 @@ def stream_first(spark, d):
 def stream_settled_store(spark, d):
     """Landed pages settled by the state of their titles; what was saved and what was a duplicate."""
     store, state = scratch(spark, "settled-store"), scratch(spark, "settled-state")
-    stream = _landed(spark, b.crawled_pages(spark, d))
-    for _ in range(2):
+    for stream in _landed(spark, b.crawled_pages(spark, d)):
         _finish(s.run_settled(s.stream_triage(stream), store, state, order="pos"))
     books = spark.read.schema("ISBN string, Title string").json(f"{store}/books")
     noted = spark.read.parquet(f"{store}/checkpoint").where("disposition = 'duplicate'")
@@ -107,15 +109,14 @@ def stream_settled_store(spark, d):
       count(*) FILTER (early IS NULL AND n > 1) AS duplicate, count(*) FILTER (early = 'non_english') AS non_english,
       count(*) FILTER (early = 'blocked') AS blocked FROM landed GROUP BY ALL""")
 def stream_progress(spark, d):
-    """Counts of every batch, landed by a listener while the crawl ran; the restart finds nothing new."""
+    """Counts of every batch, landed by a listener while the crawl ran; the last restart finds nothing new."""
     store, state, log = scratch(spark, "progress-store"), scratch(spark, "progress-state"), scratch(spark, "progress")
-    judged = s.stream_triage(_landed(spark, b.crawled_pages(spark, d)))
     listener = ProgressLog(spark, log)
     spark.streams.addListener(listener)
     try:
-        for _ in range(2):
+        for stream in _landed(spark, b.crawled_pages(spark, d)):
             with state_on_disk(spark):
-                started = s.run(observed(s.stream_settled(judged, "pos")), state, batch=s.settled_sink(store))
+                started = s.run(observed(s.stream_settled(s.stream_triage(stream), "pos")), state, batch=s.settled_sink(store))
             _finish(started)
             listener.wait(started)
     finally:

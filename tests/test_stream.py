@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from foliant.checks import stream_queries
 from foliant.plans.crawl import triage_pages
 from foliant.streaming import crawl as s
 from page_rows import PAGES_DDL, page_rows
@@ -77,3 +78,10 @@ def test_bounded_state_variant(spark, tmp_path):
     timed = stream(spark, folder).withColumnRenamed("page_title", "Title").withColumn("at", F.current_timestamp())
     finish(s.run(s.stream_dedup_titles(timed, event_time="at", delay="1 hour").select("title_key"), state, out))
     assert spark.read.parquet(out).count() == len({r[2].strip().lower() for r in page_rows(20)})
+
+
+def test_landings_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream_queries, "scratch", lambda spark, name: str(tmp_path))
+    rows = spark.range(60).select(F.col("id").alias("pos")).repartition(3)
+    found = [len(list(tmp_path.glob("*.parquet"))) for _ in stream_queries._landed(spark, rows)]
+    assert found == [3, 6, 9, 12, 12]
