@@ -114,9 +114,9 @@ def catalog_build(spark, d):
     # Written once: each of the copies would make all records anew.
     records = materialize(b.records(spark, d).drop("pos"), "records")
     path = scratch(spark, "raw-books")
-    w.append_books_json(records.withColumn("title", F.lit("outdated")), f"{path}/a")
-    w.append_books_json(records, f"{path}/b")
-    w.append_books_json(records.withColumn("book_id", F.lit("")), f"{path}/c")
+    w.append_books_json(records.withColumn("title", F.lit("outdated")), f"{path}/a", "gzip")
+    w.append_books_json(records, f"{path}/b", "gzip")
+    w.append_books_json(records.withColumn("book_id", F.lit("")), f"{path}/c", "gzip")
     target = scratch(spark, "catalog")
     raw = r.read_books_jsonl(spark, f"{path}/*")
     w.write_catalog(build_catalog(raw), target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from foliant.operators.compact import compactly
 from foliant.operators.dedup import keep_last_by_id
 from foliant.operators.normalize import has_book_id, normalize_books, to_catalog
 from foliant.operators.summaries import observe_ingest, observe_parsing
@@ -14,7 +15,8 @@ from foliant.sources.writers import write_catalog
 def build_catalog(raw: DataFrame, observation: Observation | None = None, with_record: bool = True) -> DataFrame:
     """Raw records -> one typed row per ``book_id``, the last record winning.
 
-    One shuffle, on ``book_id``, with earlier records of an id dropped before it.
+    One shuffle, on ``book_id``, with earlier records of an id dropped before it. It carries the
+    records; typed rows, which hold most texts twice, are made of what is left.
     """
     return catalog_of(normalize_books(raw), observation, with_record)
 
@@ -23,8 +25,13 @@ def catalog_of(records: DataFrame, observation: Observation | None = None, with_
     """The same from normalised records that carry ``pos``."""
     if observation is not None:
         records = observe_ingest(records, observation)
-    rows = to_catalog(records.where(has_book_id()), with_record)
-    return keep_last_by_id(rows, "book_id", "pos").drop("pos")
+    return compactly(
+        records.where(has_book_id()),
+        lambda rows: keep_last_by_id(rows, "book_id", "pos").drop("pos"),
+        ["book_id", "pos"],
+        lambda last: to_catalog(last, with_record),
+        ["book_id"],
+    )
 
 
 def build_catalog_files(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliant.functions.jsons import to_json_text
 from foliant.functions.text import falsy_coalesce
+from foliant.operators.compact import compactly
 from foliant.schemas import DISPOSITIONS, SCRAPED_FIELDS
 
 # Cells are written as they are: quotes doubled, blanks kept, NULL as nothing.
@@ -16,6 +17,8 @@ CSV = {
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 BLOOM_COLUMNS = ["isbn", "isbn13", "asin"]
+# Compressed texts are read by one task per file, so their files are kept small.
+RECORDS_PER_FILE = 10_000
 
 
 def write_isbn_list(isbns: DataFrame, path: str, mode: str = "error") -> None:
@@ -23,9 +26,15 @@ def write_isbn_list(isbns: DataFrame, path: str, mode: str = "error") -> None:
     isbns.select("isbn").distinct().write.mode(mode).text(path)
 
 
-def append_books_json(books: DataFrame, path: str) -> None:
-    """Append nested records as JSON Lines; NULL fields are written out."""
-    books.write.mode("append").option("ignoreNullFields", "false").json(path)
+def append_books_json(books: DataFrame, path: str, compression: str | None = None) -> None:
+    """Append nested records as JSON Lines; NULL fields are written out.
+
+    With ``compression`` (``gzip``) a file holds at most ``RECORDS_PER_FILE`` records.
+    """
+    files = books.write.mode("append").option("ignoreNullFields", "false")
+    if compression:
+        files = files.options(compression=compression, maxRecordsPerFile=RECORDS_PER_FILE)
+    files.json(path)
 
 
 def scraped_csv_rows(books: DataFrame) -> DataFrame:
@@ -80,7 +89,7 @@ def write_catalog(catalog: DataFrame, path: str, sort_by: str | None = "book_id"
     values. With ``sort_by=None`` rows stay as they are.
     """
     if sort_by:
-        catalog = catalog.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        catalog = compactly(catalog, lambda rows: rows.repartitionByRange(sort_by).sortWithinPartitions(sort_by), [sort_by])
     blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM_COLUMNS}
     replace_table(catalog, path, blooms | {"parquet.bloom.filter.adaptive.enabled": "true"})
 
